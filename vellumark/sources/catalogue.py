@@ -30,21 +30,20 @@ def _is_missing(error: AnalysisException) -> bool:
 def read_catalogue_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = RAW_SCHEMA,
-    multi_line: bool = True,
-    escape: str = '"',
+    columns: list[str] = RAW_COLUMNS,
+    multi_line: bool = False,
+    escape: str = "\\",
 ) -> DataFrame:
-    """Permissive CSV scan with an explicit schema, so no inference pass.
+    """Permissive CSV scan of the named columns, all as text.
 
-    ``multi_line`` keeps quoted line breaks inside one record; such files
-    cannot be split, so turn it off for large files without them.
+    Names come from the header and types are fixed, so there is no inference
+    pass. ``multi_line`` keeps quoted line breaks inside one record, but such
+    files cannot be split; ``escape='"'`` reads doubled quotes.
     """
     try:
-        return (
-            spark.read.schema(schema)
-            .option("header", True)
+        raw = (
+            spark.read.option("header", True)
             .option("mode", "PERMISSIVE")
-            .option("enforceSchema", False)
             .option("multiLine", multi_line)
             .option("escape", escape)
             .csv(path)
@@ -53,6 +52,7 @@ def read_catalogue_csv(
         if _is_missing(error):
             raise MissingInput(f"No catalogue CSV at {path}.") from error
         raise
+    return raw.select(*columns)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
