@@ -15,56 +15,77 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(round_half_up(part / F.nullif(whole, F.lit(0)) * 100, 2), F.lit(0.0))
 
 
-def _distinct(name: str, approximate: bool) -> Column:
-    counted = F.approx_count_distinct(name) if approximate else F.count_distinct(name)
-    return counted + F.coalesce(F.max(F.col(name).isNull().cast("int")), F.lit(0))
+def _stat_rows(df: DataFrame, approximate: bool) -> DataFrame:
+    """Statistics per column in long form, from one pass over ``df``.
 
-
-def _wide_stats(df: DataFrame, approximate: bool) -> DataFrame:
-    """Every statistic of every column in one aggregate, as one row."""
+    Cells are first counted per (column, value), which combines frequent
+    values before the shuffle; each statistic then weighs a value by its count.
+    With ``approximate`` nothing is counted per value and no shuffle of
+    values takes place.
+    """
     numeric = {name for name, kind in df.dtypes if kind in NUMERIC_TYPES}
-    stats = [F.count("*").alias("total_rows")]
-    for i, name in enumerate(df.columns):
-        blank = F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")
-        stats += [F.count_if(blank).alias(f"null_{i}"), _distinct(name, approximate).alias(f"distinct_{i}")]
-        if name in numeric:
-            stats += [
-                F.min(name).cast("double").alias(f"min_{i}"),
-                F.max(name).cast("double").alias(f"max_{i}"),
-                F.round(F.avg(name), 4).alias(f"mean_{i}"),
-            ]
-    return df.agg(*stats)
-
-
-def _column_struct(wide: DataFrame, columns: list[str]) -> Column:
-    def measure(kind: str, i: int) -> Column:
-        name = f"{kind}_{i}"
-        return (F.col(name) if name in wide.columns else F.lit(None).cast("double")).alias(kind)
-
-    return F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column"),
-                F.col(f"null_{i}").alias("null_count"),
-                _percent(F.col(f"null_{i}"), F.col("total_rows")).alias("null_pct"),
-                F.col(f"distinct_{i}").alias("distinct_count"),
-                measure("min", i),
-                measure("max", i),
-                measure("mean", i),
+    cells = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("at"),
+                        # Adding zero turns -0.0 into 0.0, which are one value.
+                        (F.col(name) + F.lit(0).cast(kind) if name in numeric else F.col(name))
+                        .cast("string")
+                        .alias("value"),
+                        (F.col(name).cast("double") if name in numeric else F.lit(None).cast("double")).alias("number"),
+                    )
+                    for i, (name, kind) in enumerate(df.dtypes)
+                ]
             )
-            for i, name in enumerate(columns)
-        ]
+        )
+    )
+    blank = F.col("value").isNull() | (F.trim("value") == "")
+    if approximate:
+        return cells.groupBy("at").agg(
+            F.count("*").alias("total_rows"),
+            F.count_if(blank).alias("null_count"),
+            (F.approx_count_distinct("value") + F.max(F.col("value").isNull().cast("int"))).alias("distinct_count"),
+            F.min("number").alias("min"),
+            F.max("number").alias("max"),
+            F.round(F.avg("number"), 4).alias("mean"),
+        )
+    values = cells.groupBy("at", "value").agg(F.count("*").alias("rows"), F.max("number").alias("number"))
+    present = F.sum(F.when(F.col("number").isNotNull(), F.col("rows")))
+    return values.groupBy("at").agg(
+        F.sum("rows").alias("total_rows"),
+        F.coalesce(F.sum(F.when(blank, F.col("rows"))), F.lit(0)).alias("null_count"),
+        F.count("*").alias("distinct_count"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+        F.round(F.sum(F.col("number") * F.col("rows")) / present, 4).alias("mean"),
+    )
+
+
+def _placed_stats(df: DataFrame, approximate: bool) -> DataFrame:
+    listed = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(name).alias("column")) for i, name in enumerate(df.columns)])
+    names = df.sparkSession.range(1).select(F.inline(listed))
+    zero = F.lit(0).cast("long")
+    return names.join(_stat_rows(df, approximate), "at", "left").select(
+        "at",
+        "column",
+        F.coalesce("null_count", zero).alias("null_count"),
+        _percent(F.col("null_count"), F.col("total_rows")).alias("null_pct"),
+        F.coalesce("distinct_count", zero).alias("distinct_count"),
+        "min",
+        "max",
+        "mean",
     )
 
 
 def column_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row per column: nulls or blanks, distinct values, numeric range and mean.
 
-    Null counts as one distinct value. Exact distinct counts expand each row
-    once per column; ``approximate`` avoids that for wide tables.
+    Null counts as one distinct value. Exact distinct counts shuffle the
+    distinct values of every column; ``approximate`` avoids that.
     """
-    wide = _wide_stats(df, approximate)
-    return wide.select(F.inline(_column_struct(wide, df.columns)))
+    return _placed_stats(df, approximate).drop("at")
 
 
 def key_duplicates(df: DataFrame, key: list[str]) -> DataFrame:
@@ -93,13 +114,15 @@ def quality_report(df: DataFrame, key: list[str] | None = None, approximate: boo
     """The whole report as one nested row."""
     if key is None:
         key = ["content_id"] if "content_id" in df.columns else df.columns[:1]
-    wide = _wide_stats(df, approximate)
-    columns = wide.select("total_rows", _column_struct(wide, df.columns).alias("columns"))
+    # One entry per column of the table: a list as short as its schema.
+    columns = _placed_stats(df, approximate).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("columns"))
     duplicates = key_duplicates(df, key).select(F.struct("*").alias("duplicates")).scalar()
-    joined = columns.withColumn("duplicates", duplicates)
+    joined = columns.select(
+        F.transform("columns", lambda c: c.dropFields("at")).alias("columns"), duplicates.alias("duplicates")
+    )
     null_pct = F.aggregate("columns", F.lit(0.0), lambda total, c: total + c["null_pct"]) / F.size("columns")
     return joined.select(
-        "total_rows",
+        F.col("duplicates.total_rows").alias("total_rows"),
         F.size("columns").alias("column_count"),
         "columns",
         "duplicates",

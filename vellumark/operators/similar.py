@@ -32,6 +32,7 @@ MAX_DISTANCE = 0.75
 MIN_COSINE = 0.7
 NEIGHBOURS = 3
 BLOCK_ROWS = 2048
+MAX_SLABS = 10_000
 
 PAIR_SCHEMA = "left_id string, right_id string, cosine_similarity double, embedding_distance double"
 _PAIR_NAMES = ["left_id", "right_id", "cosine_similarity", "embedding_distance"]
@@ -90,27 +91,46 @@ def _buckets(rows: DataFrame, hashing: Hashing | None) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, total: int, block_rows: int) -> DataFrame:
-    """Cut each bucket into blocks of consecutive ids of about ``block_rows``."""
-    slabs = max(1, math.ceil(total / block_rows))
+    """Cut each bucket into blocks of ``block_rows`` consecutive ids.
+
+    Ids are ranged into slabs, each small enough to number its rows per bucket
+    in one task; the sizes of the earlier slabs shift these numbers, so no
+    task ever sorts a whole bucket. Buckets of a single item are left out.
+    """
+    slabs = min(MAX_SLABS, max(1, math.ceil(total / block_rows)))
     ranged = rows.repartitionByRange(slabs, "id").withColumn("slab", F.spark_partition_id())
     # Range borders are sampled, so the placement is written once and reread.
     placed = materialise(ranged, "similar-rows")
     cells = placed.groupBy("bucket", "slab").agg(F.count("*").alias("cell_rows"))
-    before = Window.partitionBy("bucket").orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = cells.select(
-        "bucket",
-        "slab",
-        F.floor(F.coalesce(F.sum("cell_rows").over(before), F.lit(0)) / block_rows).alias("block"),
-    ).withColumn("last_block", F.max("block").over(Window.partitionBy("bucket")))
-    return placed.join(numbered, ["bucket", "slab"]).select("bucket", "block", "last_block", "id", "unit")
+    whole = Window.partitionBy("bucket")
+    before = whole.orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+    sized = (
+        cells.withColumn("before", F.coalesce(F.sum("cell_rows").over(before), F.lit(0)))
+        .withColumn("bucket_rows", F.sum("cell_rows").over(whole))
+        .filter(F.col("bucket_rows") > 1)
+        .drop("cell_rows")
+    )
+    within = Window.partitionBy("bucket", "slab").orderBy("id")
+    place = F.col("before") + F.col("in_cell") - 1
+    return (
+        placed.withColumn("in_cell", F.row_number().over(within))
+        .join(sized, ["bucket", "slab"])
+        .select(
+            "bucket",
+            F.floor(place / block_rows).alias("block"),
+            F.floor((F.col("bucket_rows") - 1) / block_rows).alias("last_block"),
+            "id",
+            "unit",
+        )
+    )
 
 
-def _search(left: pd.DataFrame, right: pd.DataFrame, later_only: bool, limits: dict) -> pd.DataFrame:
+def _search(left: pd.DataFrame, right: pd.DataFrame, limits: dict) -> pd.DataFrame:
     """Pairs within the limits, at most ``neighbours`` per left row if that is set."""
     right = right.sort_values("id", kind="stable")
     left_ids, right_ids = left["id"].to_numpy(object), right["id"].to_numpy(object)
     left_units, right_units = np.vstack(left["unit"].to_numpy()), np.vstack(right["unit"].to_numpy())
-    first = np.searchsorted(right_ids, left_ids, side="right") if later_only else np.zeros(len(left_ids), int)
+    first = np.searchsorted(right_ids, left_ids, side="right")
     columns = np.arange(len(right_ids))
     keep = limits["neighbours"]
     found = []
@@ -161,7 +181,7 @@ def _near_pairs(blocks: DataFrame, limits: dict) -> DataFrame:
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["own"]]
-        pairs = _search(own, rows, True, limits) if len(own) else pd.DataFrame(columns=_PAIR_NAMES)
+        pairs = _search(own, rows, limits) if len(own) else pd.DataFrame(columns=_PAIR_NAMES)
         return pairs.assign(bucket=key[0])
 
     return placed.groupBy("bucket", "group").applyInPandas(compare, PAIR_SCHEMA + ", bucket string")
@@ -212,7 +232,7 @@ def _far_pairs(blocks: DataFrame, near: DataFrame, limits: dict, block_rows: int
         if not len(lefts) or not len(rights):
             return pd.DataFrame(columns=_PAIR_NAMES)
         rights = rights.rename(columns={"right_id": "id", "right_unit": "unit"})
-        return _search(lefts, rights, False, limits)
+        return _search(lefts, rights, limits)
 
     left_groups = left.groupBy("bucket", "tile", "against")
     right_groups = right.groupBy("right_bucket", "right_tile", "right_against")

@@ -140,33 +140,16 @@ def top_terms(records: DataFrame) -> DataFrame:
     )
 
 
-def tfidf_summary(stats: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
-    """Mean and maximum of the rounded scores per (type, term).
-
-    A score depends on the term, its count and the document length only, so
-    rows are first counted per such combination. What is joined and averaged
-    is that much smaller table, and a very frequent term is already combined
-    before any shuffle.
-    """
-    combinations = (
-        stats.select("content_type", "token_count", F.explode_outer("terms").alias("entry"))
-        .select("content_type", "entry.term", "entry.term_count", "token_count")
-        .groupBy("content_type", "term", "term_count", "token_count")
-        .agg(F.count("*").alias("documents"))
-    )
-    frequency = combinations.groupBy("term").agg(F.sum("documents").alias("document_frequency"))
-    scored = attach_document_frequency(combinations, frequency, hot_terms).withColumn(
-        "tfidf_score",
-        tfidf_score(F.col("term_count"), F.col("token_count"), F.col("document_frequency"), _document_total(stats)),
-    )
+def tfidf_summary(records: DataFrame) -> DataFrame:
+    """Mean and maximum of the rounded scores per (type, term)."""
     # Scores have four decimals: whole ten-thousandths add up without error.
     units = F.floor(F.col("tfidf_score") * 10000 + 0.5)
     return (
-        scored.groupBy("content_type", "term")
+        records.groupBy("content_type", "term")
         .agg(
-            F.sum(units * F.col("documents")).alias("units"),
+            F.sum(units).alias("units"),
             F.max("tfidf_score").alias("max_tfidf"),
-            F.sum("documents").alias("document_count"),
+            F.count("*").alias("document_count"),
         )
         .select(
             "content_type",

@@ -261,12 +261,12 @@ def top_terms(spark, folder):
 
 @query
 def tfidf_summary(spark, folder):
-    return terms.tfidf_summary(_stats(spark, folder))
+    return terms.tfidf_summary(terms.tfidf_records(_stats(spark, folder)))
 
 
 @query
 def tfidf_summary_stemmed(spark, folder):
-    return terms.tfidf_summary(_stemmed_stats(spark, folder))
+    return terms.tfidf_summary(terms.tfidf_records(_stemmed_stats(spark, folder)))
 
 
 @query
@@ -416,7 +416,7 @@ def report_bigrams(spark, folder):
 
 @query
 def report_tfidf_terms(spark, folder):
-    return marts.top_tfidf_terms(terms.tfidf_summary(_stats(spark, folder)))
+    return marts.top_tfidf_terms(terms.tfidf_summary(terms.tfidf_records(_stats(spark, folder))))
 
 
 @query
@@ -557,23 +557,27 @@ def vector_group_similarity(spark, folder):
 
 
 def _metric_tables(spark, folder):
+    """Tables of a run; the costly ones are read back as written."""
+
+    def written(name, build):
+        return built_once(spark, f"run-{name}", folder, build)
+
     raw = raw_catalogue(spark, folder)
     cleaned = clean.clean_catalogue(raw)
     stats = _stats(spark, folder)
-    documents = _documents(spark, folder)
     return {
         "raw": raw,
         "cleaned": cleaned,
         "agg": clean.catalogue_summary(cleaned),
-        "tokenised": tokens.tokenised_documents(documents),
+        "tokenised": tokens.tokenised_documents(_documents(spark, folder)),
         "filtered": stats,
         "stemmed": stats,
         "text_features": stats,
-        "keywords": terms.keyword_counts(stats),
-        "bigrams": terms.bigram_counts(stats),
-        "tfidf": terms.tfidf_summary(stats),
+        "keywords": written("keywords", lambda: terms.keyword_counts(stats)),
+        "bigrams": written("bigrams", lambda: terms.bigram_counts(stats)),
+        "tfidf": written("tfidf", lambda: terms.tfidf_summary(terms.tfidf_records(stats))),
         "sentiment": stats,
-        "topic_clusters": _labelled_topics(spark, folder),
+        "topic_clusters": written("topics", lambda: _labelled_topics(spark, folder)),
         "similarity_pairs": _vector_pairs(spark, folder),
     }
 

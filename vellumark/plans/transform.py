@@ -64,7 +64,8 @@ def run_tables(raw: DataFrame) -> dict[str, DataFrame]:
     cleaned = clean_catalogue(raw)
     documents = text_documents(cleaned)
     stats = analysed(documents)
-    features = materialise(text_features(stats, top_terms(tfidf_records(stats))), "features")
+    records = tfidf_records(stats)
+    features = materialise(text_features(stats, top_terms(records)), "features")
     clustered = topics(stats)
     return {
         "raw": raw,
@@ -76,7 +77,7 @@ def run_tables(raw: DataFrame) -> dict[str, DataFrame]:
         "text_features": features,
         "keywords": keyword_counts(stats),
         "bigrams": bigram_counts(stats),
-        "tfidf": tfidf_summary(stats),
+        "tfidf": tfidf_summary(records),
         "sentiment": sentiment_table(stats),
         "topic_clusters": topic_table(clustered, features),
         "similarity_pairs": similar_titles(clustered),
