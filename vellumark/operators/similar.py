@@ -52,6 +52,16 @@ class Hashing:
     seed: int = 42
 
 
+def hashing_for(items: int) -> Hashing:
+    """Hashing whose buckets stay near one block as the items grow.
+
+    Nearest neighbours move closer as items are added, so they keep sharing
+    buckets although these get narrower.
+    """
+    hashes = math.ceil(math.log(max(items, 1) / BLOCK_ROWS, 3)) if items > BLOCK_ROWS else 1
+    return Hashing(hashes_per_table=max(hashes, Hashing.hashes_per_table))
+
+
 # The wide single hashes of the plain title job.
 WIDE_HASHING = Hashing(bucket_length=1.5, tables=3, hashes_per_table=1)
 

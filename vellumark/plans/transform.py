@@ -13,7 +13,7 @@ from vellumark.operators.clean import catalogue_summary, clean_catalogue
 from vellumark.operators.features import text_features
 from vellumark.operators.ordering import ordered
 from vellumark.operators.sentiment import sentiment_table, with_sentiment
-from vellumark.operators.similar import Hashing, describe_pairs, similar_pairs
+from vellumark.operators.similar import describe_pairs, hashing_for, similar_pairs
 from vellumark.operators.terms import (
     bigram_counts,
     keyword_counts,
@@ -53,8 +53,9 @@ def topics(stats: DataFrame) -> DataFrame:
     ), "clustered")
 
 
-def similar_titles(clustered: DataFrame, exact_rows: int = EXACT_PAIR_ROWS, hashing: Hashing = Hashing()) -> DataFrame:
-    chosen = None if clustered.count() <= exact_rows else hashing
+def similar_titles(clustered: DataFrame, exact_rows: int = EXACT_PAIR_ROWS) -> DataFrame:
+    items = clustered.count()
+    chosen = None if items <= exact_rows else hashing_for(items)
     pairs = similar_pairs(clustered, "normalized_embedding", hashing=chosen)
     return describe_pairs(pairs, clustered)
 
