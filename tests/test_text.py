@@ -54,9 +54,15 @@ def test_empty_documents_are_dropped(raw):
 def test_one_pass_tokens_equal_the_steps(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "text string")
     steps = text.filter_tokens(text.split_tokens(text.normalise_text(F.col("text"))))
-    rows = df.select("text", steps.alias("steps"), text.content_tokens(F.col("text")).alias("fused")).collect()
+    rows = df.select(
+        "text",
+        steps.alias("steps"),
+        text.content_tokens(F.col("text")).alias("fused"),
+        text.has_content(F.col("text")).alias("any"),
+    ).collect()
     for row in rows:
         assert row["steps"] == row["fused"] == expected_tokens(row["text"])
+        assert row["any"] == bool(row["fused"])
 
 
 def test_bigrams(spark):

@@ -48,6 +48,17 @@ def content_tokens(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Colu
     return F.filter(runs, lambda t: ~t.isin(stop))
 
 
+def has_content(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """Whether ``content_tokens`` would find any token; stops at the first one.
+
+    A size test on the token array would be pushed below the projection that
+    builds it and so build it twice.
+    """
+    stop = "|".join(stop_words)
+    unlisted = f"(?!(?:{stop})(?![a-z0-9]))" if stop else ""
+    return F.lower(text).rlike(f"(?<![a-z0-9]){unlisted}(?=[0-9]*[a-z])[a-z0-9]{{3,}}")
+
+
 def lexicon_hits(tokens: Column, lexicon: Iterable[str]) -> Column:
     words = list(lexicon)
     return F.size(F.filter(tokens, lambda t: t.isin(words))).cast("long")

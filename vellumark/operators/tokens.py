@@ -14,6 +14,7 @@ from ..functions.text import (
     content_tokens,
     document_text,
     filter_tokens,
+    has_content,
     normalise_text,
     split_tokens,
 )
@@ -39,8 +40,6 @@ def normalised_documents(documents: DataFrame) -> DataFrame:
 def tokenised_documents(documents: DataFrame) -> DataFrame:
     """Documents as token arrays, without those that hold no token."""
     tokens = split_tokens(normalise_text(F.col("text")))
-    # The emptiness test reads the text rather than the tokens, which would
-    # have to be built a second time below the projection.
     return documents.filter(F.lower("text").rlike("[a-z0-9]")).select(*DOCUMENT_COLUMNS, tokens.alias("tokens"))
 
 
@@ -51,8 +50,9 @@ def filtered_documents(tokenised: DataFrame, stop_words: Iterable[str] = STOP_WO
 
 def content_documents(documents: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """The tokenise and filter steps in one pass over the text."""
-    tokens = content_tokens(F.col("text"), stop_words)
-    return documents.select(*DOCUMENT_COLUMNS, tokens.alias("tokens")).filter(F.size("tokens") > 0)
+    stop = list(stop_words)
+    tokens = content_tokens(F.col("text"), stop)
+    return documents.filter(has_content(F.col("text"), stop)).select(*DOCUMENT_COLUMNS, tokens.alias("tokens"))
 
 
 def stemmed_documents(filtered: DataFrame) -> DataFrame:

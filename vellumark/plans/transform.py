@@ -60,14 +60,15 @@ def similar_titles(clustered: DataFrame, exact_rows: int = EXACT_PAIR_ROWS) -> D
     return describe_pairs(pairs, clustered)
 
 
-def run_tables(raw: DataFrame) -> dict[str, DataFrame]:
-    """Every table of a run by name."""
-    cleaned = clean_catalogue(raw)
+def text_tables(raw: DataFrame, cleaned: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Cleaned, grouped and text tables by name; no model is trained.
+
+    ``cleaned`` is the cleaned table where it has been written already.
+    """
+    cleaned = clean_catalogue(raw) if cleaned is None else cleaned
     documents = text_documents(cleaned)
     stats = analysed(documents)
     records = tfidf_records(stats)
-    features = materialise(text_features(stats, top_terms(records)), "features")
-    clustered = topics(stats)
     return {
         "raw": raw,
         "cleaned": cleaned,
@@ -75,12 +76,27 @@ def run_tables(raw: DataFrame) -> dict[str, DataFrame]:
         "tokenised": tokenised_documents(documents),
         "filtered": content_documents(documents),
         "stemmed": stats,
-        "text_features": features,
+        "text_features": materialise(text_features(stats, top_terms(records)), "features"),
         "keywords": keyword_counts(stats),
         "bigrams": bigram_counts(stats),
         "tfidf": tfidf_summary(records),
         "sentiment": sentiment_table(stats),
-        "topic_clusters": topic_table(clustered, features),
+    }
+
+
+def run_tables(raw: DataFrame, cleaned: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every table of a run by name.
+
+    Without any document there is nothing to train on, and the tables that
+    need a model are left out.
+    """
+    tables = text_tables(raw, cleaned)
+    if tables["stemmed"].isEmpty():
+        return tables
+    clustered = topics(tables["stemmed"])
+    return {
+        **tables,
+        "topic_clusters": topic_table(clustered, tables["text_features"]),
         "similarity_pairs": similar_titles(clustered),
     }
 
@@ -93,11 +109,15 @@ OUTPUTS = [
 
 def run(spark: SparkSession, source: str, out: str, sort: bool = False) -> None:
     """Write all tables below ``out``; ``sort`` stores them in presentation order."""
-    tables = run_tables(read_catalogue_csv(spark, source))
+    raw = read_catalogue_csv(spark, source)
+    write_table(clean_catalogue(raw), f"{out}/cleaned")
+    tables = run_tables(raw, spark.read.parquet(f"{out}/cleaned"))
     written = dict(tables)
-    for name in OUTPUTS:
+    for name in OUTPUTS[1:]:
+        if name not in tables:
+            continue
         df = tables[name]
-        write_table(ordered(df, name) if sort and name != "cleaned" else df, f"{out}/{name}")
+        write_table(ordered(df, name) if sort else df, f"{out}/{name}")
         written[name] = spark.read.parquet(f"{out}/{name}")
     write_preview_csv(ordered(written["agg"], "agg"), f"{out}/preview.csv")
     write_report(run_metrics(written, source), f"{out}/metrics.json")
