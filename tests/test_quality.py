@@ -58,3 +58,9 @@ def test_alerts(flawed):
     assert {r["column"]: r["over_alert"] for r in rows} == {
         "content_id": False, "name": True, "score": True, "size": True,
     }
+
+
+def test_long_values(spark):
+    texts = ["x" * 500, "x" * 499 + "y", "x" * 500, " " * 500, " " * 501 + "z"]
+    row = quality.column_stats(spark.createDataFrame([(t,) for t in texts], "text string")).first()
+    assert (row["null_count"], row["distinct_count"]) == (1, 4)

@@ -57,7 +57,7 @@ def test_keywords_and_bigrams(stats):
     assert {tuple(r[:2]): r[2] for r in terms.bigram_counts(stats).collect()} == pairs
 
 
-@pytest.mark.parametrize("hot_terms", [1, 3, 1000])
+@pytest.mark.parametrize("hot_terms", [1, 8, 30, 10**6])
 def test_tfidf(stats, hot_terms):
     rows = terms.tfidf_records(stats, hot_terms).collect()
     found = {
@@ -70,6 +70,14 @@ def test_tfidf(stats, hot_terms):
     assert found == expected_scores(corpus())
 
 
+def test_long_terms(spark):
+    long = ["a" * 200, "a" * 199 + "b"]
+    documents = token_documents(spark, {"1": ("M", [*long, "x"]), "2": ("M", long[:1])})
+    records = terms.tfidf_records(terms.with_term_stats(documents))
+    found = {(r["content_id"], r["term"]): r["document_frequency"] for r in records.collect()}
+    assert found == {("1", long[0]): 2, ("2", long[0]): 2, ("1", long[1]): 1, ("1", "x"): 1}
+
+
 def test_top_terms_and_summary(stats):
     records = terms.tfidf_records(stats, 2)
     scores = expected_scores(corpus())

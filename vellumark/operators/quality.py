@@ -9,12 +9,19 @@ from ..functions.rounding import round_half_up
 
 NUMERIC_TYPES = ("int", "bigint", "double", "float")
 NULL_PCT_ALERT = 5.0
+# Shorter than a digest, so a digest never equals a value that is kept.
+LONG_VALUE = 64
 
 
 def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(round_half_up(part / F.nullif(whole, F.lit(0)) * 100, 2), F.lit(0.0))
 
 
+def _cell_key(value: Column) -> Column:
+    """A long value by its digest, so that no long text is shuffled."""
+    return F.when(F.length(F.trim(value)) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(value)
+
+
 def _stat_rows(df: DataFrame, approximate: bool) -> DataFrame:
     """Statistics per column in long form, from one pass over ``df``.
 
@@ -31,9 +38,9 @@ def _stat_rows(df: DataFrame, approximate: bool) -> DataFrame:
                     F.struct(
                         F.lit(i).alias("at"),
                         # Adding zero turns -0.0 into 0.0, which are one value.
-                        (F.col(name) + F.lit(0).cast(kind) if name in numeric else F.col(name))
-                        .cast("string")
-                        .alias("value"),
+                        _cell_key(
+                            (F.col(name) + F.lit(0).cast(kind) if name in numeric else F.col(name)).cast("string")
+                        ).alias("value"),
                         (F.col(name).cast("double") if name in numeric else F.lit(None).cast("double")).alias("number"),
                     )
                     for i, (name, kind) in enumerate(df.dtypes)

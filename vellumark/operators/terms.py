@@ -18,9 +18,12 @@ from ..functions.rounding import round_half_up
 from ..functions.text import bigrams
 from .tokens import DOCUMENT_COLUMNS
 
-# Number of most frequent terms whose document frequency is broadcast. With T
-# term rows in all, any other term has at most T / HOT_TERMS of them.
-HOT_TERMS = 4096
+# A term is frequent if it has at least one in HOT_TERMS of all term rows. So
+# there are at most HOT_TERMS frequent terms, of at most SHORT_TERM characters
+# once longer ones stand by their digest: what is broadcast is bounded whatever
+# the corpus, and every other term has few rows.
+HOT_TERMS = 1_000_000
+SHORT_TERM = 64
 
 
 def with_term_stats(documents: DataFrame) -> DataFrame:
@@ -93,13 +96,20 @@ def document_frequencies(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("term").agg(F.count("*").alias("document_frequency"))
 
 
+def _term_key(term: Column) -> Column:
+    return F.when(F.length(term) > SHORT_TERM, F.sha2(term, 256)).otherwise(term)
+
+
 def attach_document_frequency(rows: DataFrame, df: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
     """Inner join on term that does not gather the rows of a frequent term."""
-    hot = df.orderBy(F.desc("document_frequency"), "term").limit(hot_terms)
-    marked = rows.join(F.broadcast(hot), "term", "left")
+    total = df.agg(F.sum("document_frequency").alias("n")).scalar()
+    hot = df.filter(F.col("document_frequency") * hot_terms >= total).select(
+        _term_key(F.col("term")).alias("term_key"), "document_frequency"
+    )
+    marked = rows.withColumn("term_key", _term_key(F.col("term"))).join(F.broadcast(hot), "term_key", "left")
     frequent = marked.filter(F.col("document_frequency").isNotNull())
     rest = marked.filter(F.col("document_frequency").isNull()).drop("document_frequency").join(df, "term")
-    return frequent.unionByName(rest)
+    return frequent.drop("term_key").unionByName(rest.drop("term_key"))
 
 
 def tfidf_score(term_count: Column, token_count: Column, document_frequency: Column, documents: Column) -> Column:

@@ -15,7 +15,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 _built: dict[tuple, str] = {}
