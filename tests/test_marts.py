@@ -1,7 +1,7 @@
 import pytest
 
 from vellumark.operators.clean import catalogue_summary, clean_catalogue
-from vellumark.operators.ordering import ordered, sample_rows
+from vellumark.operators.ordering import ordered, preview_documents, sample_rows
 from vellumark.plans import marts
 from vellumark.plans.metrics import METRICS_SCHEMA, headline_counts, run_metrics
 
@@ -33,6 +33,8 @@ def test_top_groups(raw):
     assert marts.top_markets(agg).columns == ["content_type", "country", "title_count", "avg_release_year"]
     assert marts.table_sample(clean_catalogue(raw), "cleaned", 3).count() == 3
     assert sample_rows(raw, 2).count() == 2
+    shown = preview_documents(raw.selectExpr("show_id", "repeat('ab', 99) text", "array_repeat('t', 20) tokens"), 3)
+    assert [(len(r["text"]), len(r["tokens"])) for r in shown.collect()] == [(90, 8)] * 3
 
 
 TOPICS = [

@@ -38,3 +38,13 @@ def top_rows(df: DataFrame, table: str, n: int) -> DataFrame:
 def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
     """Some ``n`` rows, for inspection."""
     return df.limit(n)
+
+
+def preview_documents(df: DataFrame, n: int = 5, characters: int = 90, tokens: int = 8) -> DataFrame:
+    """A few documents with shortened text or tokens, for inspection only."""
+    shortened = {
+        "text": lambda: F.substring("text", 1, characters),
+        "tokens": lambda: F.slice("tokens", 1, tokens),
+    }
+    present = {name: make() for name, make in shortened.items() if name in df.columns}
+    return df.limit(n).withColumns(present)

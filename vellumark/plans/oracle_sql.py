@@ -293,6 +293,30 @@ def _sql(ctes: str, select: str) -> str:
 
 
 SQL: dict[str, str] = {
+    # An empty CSV cell reads as null.
+    "csv_scan": _sql(RAW, "SELECT * REPLACE (nullif(country, '') AS country) FROM raw"),
+    "parquet_sink": _sql(AGG, "SELECT * FROM agg"),
+    "preview_csv_sink": _sql(AGG, f"SELECT * FROM agg {_BY_SIZE} LIMIT 50"),
+    "metrics_sink": _sql(
+        CLEANED,
+        "SELECT 'tables' AS source_file, raw_row_count, cleaned_row_count, "
+        "raw_row_count - cleaned_row_count AS dropped_row_count FROM (SELECT "
+        "(SELECT count(*) FROM raw) AS raw_row_count, (SELECT count(*) FROM cleaned) AS cleaned_row_count)",
+    ),
+    "quality_report_sink": "SELECT (SELECT count(*) FROM customer) AS total_rows, 1.0::DOUBLE AS quality_score, "
+    '"column", null_count, null_pct, distinct_count FROM ('
+    + _column_profile("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], ())
+    + ")",
+    "ordered_keywords": _sql(TERMS, f"SELECT * FROM keyword {_BY_MENTIONS}, keyword"),
+    "ordered_tfidf": _sql(
+        TERMS, "SELECT * FROM summary ORDER BY avg_tfidf DESC, max_tfidf DESC, content_type, term"
+    ),
+    "ordered_topics": _sql(
+        PROFILE, "SELECT * FROM topic_rows ORDER BY topic_cluster, top_tfidf_score DESC NULLS LAST, content_id"
+    ),
+    "ordered_pairs": _sql(
+        VECTORS, "SELECT * FROM described ORDER BY cosine_similarity DESC, left_content_id, right_content_id"
+    ),
     "catalogue_parsed": _sql(PARSED, "SELECT * FROM parsed"),
     "catalogue_clean": _sql(CLEANED, "SELECT * FROM cleaned"),
     "catalogue_summary": _sql(AGG, "SELECT * FROM agg"),

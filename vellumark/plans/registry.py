@@ -11,8 +11,9 @@ from ..functions.cleaning import first_integer
 from ..functions.lexicon import NEGATIVE_TERMS, POSITIVE_TERMS
 from ..functions.text import bigrams
 from ..operators import clean, features, ordering, quality, sentiment, similar, terms, tokens, topics
-from ..session import built_once
-from ..sources.catalogue import table
+from ..session import built_once, new_path
+from ..sources import sinks
+from ..sources.catalogue import RAW_COLUMNS, read_catalogue_csv, read_report, read_table, table
 from . import marts, transform
 from .metrics import METRICS_SCHEMA, headline_counts, run_metrics
 from .views import document_catalogue, raw_catalogue, vector_items
@@ -121,6 +122,59 @@ def _joined_tokens(df):
     return df.select("content_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+# --- sources and sinks ------------------------------------------------------
+
+
+@query
+def csv_scan(spark, folder):
+    """The raw catalogue written as CSV and scanned again; empty cells read as null."""
+    path = new_path(spark, "raw-csv")
+    (
+        raw_catalogue(spark, folder)
+        .write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return read_catalogue_csv(spark, path, RAW_COLUMNS)
+
+
+@query
+def parquet_sink(spark, folder):
+    path = new_path(spark, "agg")
+    summary = clean.catalogue_summary(_cleaned(spark, folder))
+    sinks.write_table(summary, path)
+    return read_table(spark, path, summary.schema)
+
+
+@query
+def preview_csv_sink(spark, folder):
+    path = new_path(spark, "preview")
+    summary = clean.catalogue_summary(_cleaned(spark, folder))
+    sinks.write_preview_csv(ordering.ordered(summary, "agg"), path)
+    return spark.read.schema(summary.schema).option("header", True).csv(path)
+
+
+@query
+def metrics_sink(spark, folder):
+    path = new_path(spark, "metrics")
+    raw = raw_catalogue(spark, folder)
+    cleaned = clean.clean_catalogue(raw)
+    sinks.write_report(run_metrics({"raw": raw, "cleaned": cleaned}, "tables"), path)
+    return read_report(spark, path, METRICS_SCHEMA).select(
+        "source_file", "raw_row_count", "cleaned_row_count", "dropped_row_count"
+    )
+
+
+@query
+def quality_report_sink(spark, folder):
+    path = new_path(spark, "quality")
+    report = quality.quality_report(table(spark, folder, "customer"), ["c_custkey"])
+    sinks.write_report(report, path)
+    stored = read_report(spark, path, report.schema)
+    return stored.select("total_rows", "quality_score", F.inline("columns")).drop("min", "max", "mean")
+
+
 # --- cleaning ---------------------------------------------------------------
 
 
@@ -318,6 +372,26 @@ def ordered_text_features(spark, folder):
     return ordering.ordered(_features(spark, folder), "text_features")
 
 
+@query
+def ordered_keywords(spark, folder):
+    return ordering.ordered(terms.keyword_counts(_content(spark, folder)), "keywords")
+
+
+@query
+def ordered_tfidf(spark, folder):
+    return ordering.ordered(terms.tfidf_summary(terms.tfidf_records(_stats(spark, folder))), "tfidf")
+
+
+@query
+def ordered_topics(spark, folder):
+    return ordering.ordered(_labelled_topics(spark, folder), "topic_clusters")
+
+
+@query
+def ordered_pairs(spark, folder):
+    return ordering.ordered(_vector_pairs(spark, folder), "similarity_pairs")
+
+
 # --- quality ----------------------------------------------------------------
 
 

@@ -47,6 +47,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path of this application in the shared folder."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 
@@ -54,7 +59,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     outlives lost executors, and readers prune its columns.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -64,7 +69,7 @@ def built_once(spark: SparkSession, name: str, source: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, source, name)
     if key not in _built:
         df = build()
-        path = f"{shared_folder(spark)}/{key[0]}/{name}-{uuid.uuid4().hex[:12]}"
+        path = new_path(spark, name)
         df.write.parquet(path)
         _built[key] = path
     return spark.read.parquet(_built[key])
