@@ -27,6 +27,9 @@ def test_lists_keep_their_shape():
     lists = pa.array([["running", "cats"], [], None, ["running"]], pa.list_(pa.string()))
     assert stem_lists(lists).to_pylist() == [["run", "cat"], [], [], ["run"]]
     assert stem_lists(lists.slice(1)).to_pylist() == [[], [], ["run"]]
+    short = pa.array([["gas", "ies", "y"], ["y"], ["running"]], pa.list_(pa.string()))
+    assert stem_lists(short, 3).to_pylist() == [["gas"], [], ["run"]]
+    assert stem_lists(short.slice(0, 0), 3).to_pylist() == []
 
 
 def test_documents(spark):

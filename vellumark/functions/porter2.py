@@ -155,14 +155,26 @@ def stem(token: str) -> str:
     return _final_letter(word, r1, r2).replace("Y", "y")
 
 
-def stem_lists(tokens: pa.Array) -> pa.Array:
-    """Stem every element of a list array, one call per distinct word."""
+def stem_lists(tokens: pa.Array, min_length: int = 1) -> pa.Array:
+    """Stem every element of a list array, one call per distinct word.
+
+    Stems shorter than ``min_length`` are left out; a null list becomes empty.
+    """
     encoded = tokens.flatten().dictionary_encode()
-    stems = pa.array([stem(word) for word in encoded.dictionary.to_pylist()], pa.string())
+    stems = [stem(word) for word in encoded.dictionary.to_pylist()]
+    codes = encoded.indices.to_numpy()
+    kept = np.array([len(s) >= min_length for s in stems], dtype=bool)[codes]
     lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
-    return pa.ListArray.from_arrays(pa.array(offsets), stems.take(encoded.indices))
+    ends = np.cumsum(lengths)
+    total = np.concatenate([[0], np.cumsum(kept)])
+    offsets = total[np.concatenate([[0], ends])].astype("int32")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(stems, pa.string()).take(pa.array(codes[kept])))
+
 
+def stem_tokens(tokens: Column, min_length: int = 1) -> Column:
+    def run(batch: pa.Array) -> pa.Array:
+        return stem_lists(batch, min_length)
 
-def stem_tokens(tokens: Column) -> Column:
-    return F.arrow_udf(stem_lists, T.ArrayType(T.StringType()))(tokens)
+    # Declared nondeterministic so that a filter on the stems is not pushed
+    # below this step, which would run it a second time.
+    return F.arrow_udf(run, T.ArrayType(T.StringType())).asNondeterministic()(tokens)

@@ -58,9 +58,8 @@ def content_documents(documents: DataFrame, stop_words: Iterable[str] = STOP_WOR
 def stemmed_documents(filtered: DataFrame) -> DataFrame:
     """Stem the tokens and drop stems under three letters and emptied documents."""
     ship_package(filtered.sparkSession)
-    stemmed = filtered.withColumn("tokens", stem_tokens(F.col("tokens")))
-    long_enough = F.filter("tokens", lambda t: F.length(t) >= MIN_TERM_LENGTH)
-    return stemmed.withColumn("tokens", long_enough).filter(F.size("tokens") > 0)
+    stemmed = filtered.withColumn("tokens", stem_tokens(F.col("tokens"), MIN_TERM_LENGTH))
+    return stemmed.filter(F.size("tokens") > 0)
 
 
 def analysed_documents(documents: DataFrame, stem: bool = True, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:

@@ -17,7 +17,7 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_built: dict[tuple, str] = {}
+_built: dict[tuple, tuple] = {}
 _shipped: set[str] = set()
 
 
@@ -71,8 +71,9 @@ def built_once(spark: SparkSession, name: str, source: str, build) -> DataFrame:
         df = build()
         path = new_path(spark, name)
         df.write.parquet(path)
-        _built[key] = path
-    return spark.read.parquet(_built[key])
+        _built[key] = (path, df.schema)
+    path, schema = _built[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
