@@ -267,9 +267,13 @@ def similar_pairs(
     ship_package(items.sparkSession)
     limits = {"max_distance": max_distance, "min_cosine": min_cosine, "neighbours": neighbours}
     rows = _unit_rows(items, vector)
-    blocks = _blocks(_buckets(rows, hashing), rows.count(), block_rows)
-    near = materialise(_near_pairs(blocks, limits), "similar-near")
-    pairs = near.drop("bucket").unionByName(_far_pairs(blocks, near, limits, block_rows))
+    total = rows.count()
+    blocks = _blocks(_buckets(rows, hashing), total, block_rows)
+    near = _near_pairs(blocks, limits)
+    pairs = near.drop("bucket")
+    if total > 2 * block_rows:
+        near = materialise(near, "similar-near")
+        pairs = near.drop("bucket").unionByName(_far_pairs(blocks, near, limits, block_rows))
     if hashing is not None:
         pairs = pairs.dropDuplicates(["left_id", "right_id"])
     if neighbours is not None:

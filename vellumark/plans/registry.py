@@ -101,7 +101,8 @@ def _labelled_topics(spark, folder):
         (F.col("quality") * 2 + F.col("toxic")).alias("topic_cluster"),
     )
     documents = _stats(spark, folder).select("content_id", "content_type", "country", "title")
-    return topics.topic_table(documents.join(labels, "content_id"), _features(spark, folder))
+    written = built_once(spark, "features", folder, lambda: _features(spark, folder))
+    return topics.topic_table(documents.join(labels, "content_id"), written)
 
 
 def _vector_pairs(spark, folder):

@@ -15,7 +15,7 @@ def raw_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     Markets give list-valued, blank, absent and padded countries; priorities
     give years that do not parse and dates in another format.
     """
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"))
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")
