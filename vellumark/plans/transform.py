@@ -23,8 +23,8 @@ from vellumark.operators.terms import (
     with_term_stats,
 )
 from vellumark.operators.tokens import (
+    analysed_documents,
     content_documents,
-    stemmed_documents,
     text_documents,
     tokenised_documents,
 )
@@ -41,8 +41,7 @@ EXACT_PAIR_ROWS = 100_000
 
 def analysed(documents: DataFrame, stem: bool = True, name: str = "stats") -> DataFrame:
     """Scored documents with term statistics, written once for the passes that follow."""
-    content = content_documents(documents)
-    tokens = stemmed_documents(content) if stem else content
+    tokens = analysed_documents(documents, stem)
     return materialise(with_term_stats(with_sentiment(tokens)), name)
 
 
