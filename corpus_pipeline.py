@@ -28,15 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings that an earlier document has; a character cut apart goes whole."""
-    cut = suffixes.without_copies(docs, docs.columns)
-    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("whole"))
-    kept = cut.withColumn("whole", F.expr("decode(kept, 'UTF-8')")).withColumn("cut_text", text)
-    # Bytes that are no character any more decode to U+FFFD; texts that had none before lose them.
-    clean = F.when(F.coalesce(F.instr(F.col("row.text"), "�"), F.lit(0)) > 0, F.col("cut_text")).otherwise(
-        F.translate("cut_text", "�", "")
-    )
-    row = F.col("row").withField("text", F.col("clean_text")).withField("n_chars", F.length("clean_text").cast("long"))
-    return kept.withColumn("clean_text", clean).select(row.alias("row")).select("row.*")
+    cut = suffixes.without_copies(docs, docs.columns, kept="string")
+    row = F.col("row").withField("text", F.when(F.col("row.text").isNotNull(), F.col("kept")))
+    return cut.select(row.withField("n_chars", F.length("kept").cast("long")).alias("row")).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

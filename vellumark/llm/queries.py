@@ -32,7 +32,7 @@ def op3_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    out = suffixes.without_copies(documents(spark, folder), ["doc_id"], with_text=False)
+    out = suffixes.without_copies(documents(spark, folder), ["doc_id"], kept=None)
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -263,8 +263,11 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     )
 
 
-def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: str = "doc_id", with_text: bool = True) -> DataFrame:
-    """A struct ``row`` of the columns ``keep``, with n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept (bytes)."""
+def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: str = "doc_id", kept: str | None = "binary") -> DataFrame:
+    """A struct ``row`` of the columns ``keep``, with n_bytes, n_removed, n_spans, kept_sha256 and kept.
+
+    ``kept`` is what is left as "binary", as "string" (without characters that were cut apart), or null.
+    """
     prepare(df.sparkSession)
     plain = df.select(
         F.struct(*keep).alias("row"), F.col(ident).cast("long").alias("doc"), variant(F.col(text)).alias("variant"), F.coalesce(F.col(text), F.lit("")).alias("body")
@@ -278,18 +281,19 @@ def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: st
             out = []
             starts, ends = batch.column(2), batch.column(3)
             for i, text in enumerate(texts_of(batch.column(1))):
-                spans, kept = 0, text
+                spans, left = 0, text
                 if starts[i].is_valid and len(text):
                     gone = covered(starts[i].values.to_numpy(), ends[i].values.to_numpy(), len(text))
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                out.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+                    left = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                shown = left if kept == "binary" else left.decode("utf-8", "ignore") if kept else None
+                out.append((len(text), len(text) - len(left), spans, hashlib.sha256(left).hexdigest(), shown))
             columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary() if kept == "binary" else pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                 ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
     fields = plain.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"row {fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(cut, f"row {fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {kept or "string"}")
