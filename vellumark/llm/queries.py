@@ -88,9 +88,9 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op2_voronoi_knn": """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scores AS (
   SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
   FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id
@@ -124,11 +124,11 @@ FROM documents d LEFT JOIN kept USING (doc_id)
 """,
     "op4_suffix_dedup": """
 WITH texts AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents
+  SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents
 ), bytes AS (
-  SELECT doc_id, i, substr(t, 2 * i + 1, 2) AS byte,
-         CASE WHEN 2 * i + 100 <= length(t) THEN md5(substr(t, 2 * i + 1, 100)) END AS h
-  FROM (SELECT doc_id, t, unnest(range(length(t) // 2)) AS i FROM texts)
+  SELECT doc_id, i, hex(t[i + 1 : i + 1]) AS byte,
+         CASE WHEN i + 50 <= octet_length(t) THEN md5(t[i + 1 : i + 50]) END AS h
+  FROM (SELECT doc_id, t, unnest(range(octet_length(t))) AS i FROM texts)
 ), firsts AS (
   SELECT h, min(doc_id) AS first_doc FROM bytes WHERE h IS NOT NULL GROUP BY h
 ), judged AS (
