@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialise, ship_package
+from ..session import new_path, ship_package
 
 # Rows and bytes that one Arrow batch may hold; bounds the memory of a Python worker.
 BATCH_ROWS = 500
@@ -34,12 +36,39 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder; shuffle files no longer needed can then go."""
-    out = materialise(df, name)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """``df`` as a table in the shared folder."""
+    spark = df.sparkSession
+    _collect_garbage(spark)
+    path, schema = new_path(spark, name), df.schema
+    df.write.parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_at = path
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that no later step reads."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    It does once the driver has collected the plans that made them. A plan is still held
+    for a moment after its job, hence the pause.
+    """
+    time.sleep(1)
+    _collect_garbage(spark)
+
+
+def _collect_garbage(spark: SparkSession) -> None:
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shards_for(spark: SparkSession, amount: int, per_shard: int) -> int:
     """Groups that hold about ``per_shard`` each, at least one per shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // per_shard))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, chunks, gram_hashes, mix, prepare, texts_of, written
+from .common import WordHash, as_signed, chunks, gram_hashes, mix, prepare, release, texts_of, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -185,6 +185,7 @@ def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
     near = written(briefs.select("a", "b", "brief_a", "brief_b").mapInArrow(screen, "a long, b long"), "near-pairs")
     involved = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     bodies = written(texts.join(involved, "doc").select("doc", "body"), "near-texts")
+    release(near.sparkSession)
     held = near.join(bodies.select(F.col("doc").alias("a"), F.col("body").alias("body_a")), "a").join(
         bodies.select(F.col("doc").alias("b"), F.col("body").alias("body_b")), "b"
     )

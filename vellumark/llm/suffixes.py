@@ -4,7 +4,9 @@ A byte goes if a string of ``SPAN`` bytes that covers it also starts in a docume
 with a smaller doc_id.
 
 1. Anchors: of every string of ``SPAN`` bytes, the ``GRAM`` bytes with the least hash.
-   Equal strings have equal anchors; anchors of one document only are dropped.
+   Equal strings have equal anchors; anchors of one document only are dropped. So are
+   those whose ``SIDE`` bytes before and whose ``SIDE`` bytes after are both found in one document
+   only: a string of ``SPAN`` bytes reaches that far to one side at least.
 2. Around each anchor left, a fragment holds all strings that it anchors. Fragments are
    dealt out by the hash of their anchor, so all copies of a string meet in one shard.
 3. A shard keeps, of equal fragments, the first document; later ones are covered
@@ -29,14 +31,15 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import anchors, as_signed, chunks, covered, gram_hashes, mix, prepare, shards_for, texts_of, variant, written
+from .common import anchors, as_signed, chunks, covered, discard, gram_hashes, mix, prepare, release, shards_for, texts_of, variant, written
 
 SPAN = 50
 GRAM = 16
 LEFT = SPAN - GRAM
+SIDE = LEFT // 2
 MOST_COPIES = 20_000
 CHUNK_BYTES = 1 << 20
 SUFFIXES_AT_ONCE = 400_000
@@ -46,7 +49,20 @@ _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(7))
 
 
 def byte_anchors(df: DataFrame) -> DataFrame:
-    """(gram, doc, at) from (doc, variant, body); ``at`` holds the variant above 38 bits of position."""
+    """(gram, doc, at, sides) from (doc, variant, body).
+
+    ``at`` holds the variant above 38 bits of position, ``sides`` 16 bits of a hash of the
+    bytes before the anchor and 16 of those after it; 0 where the text ends sooner.
+    """
+
+    def side(values, owner, at, begin):
+        """Hash of the SIDE bytes from ``at + begin`` on, 1 to 65535."""
+        first, last = at + begin, at + begin + SIDE - 1
+        inside = (first >= 0) & (last < len(owner))
+        inside &= owner[np.clip(first, 0, len(owner) - 1)] == owner[at]
+        inside &= owner[np.clip(last, 0, len(owner) - 1)] == owner[at]
+        hashes = mix(gram_hashes(values, SIDE))[np.clip(first, 0, max(0, len(owner) - SIDE))] % np.uint64(65535) + np.uint64(1)
+        return np.where(inside, hashes.astype(np.int64), 0)
 
     def find(batches):
         for batch in batches:
@@ -62,22 +78,40 @@ def byte_anchors(df: DataFrame) -> DataFrame:
                 rows = owner[at]
                 place = at - (np.cumsum(part) - part)[rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_signed(grams[at])), pa.array(docs[first + rows]), pa.array((kinds[first + rows] << 38) | place)],
-                    ["gram", "doc", "at"],
+                    [
+                        pa.array(as_signed(grams[at])),
+                        pa.array(docs[first + rows]),
+                        pa.array((kinds[first + rows] << 38) | place),
+                        pa.array(((side(values, owner, at, -SIDE) << 16) | side(values, owner, at, GRAM)).astype(np.uint32).view(np.int32)),
+                    ],
+                    ["gram", "doc", "at", "sides"],
                 )
 
-    return df.select("doc", "variant", "body").mapInArrow(find, "gram long, doc long, at long")
+    return df.select("doc", "variant", "body").mapInArrow(find, "gram long, doc long, at long, sides int")
+
+
+def with_shared_sides(rows: DataFrame) -> DataFrame:
+    """Anchors that two documents have with the same bytes before or with the same bytes after."""
+    rows = rows.repartition("gram").withColumns(
+        {"before": F.shiftrightunsigned("sides", 16), "after": F.col("sides").bitwiseAND(F.lit(0xFFFF))}
+    )
+    wanted = F.lit(False)
+    for name in ("before", "after"):
+        same = Window.partitionBy("gram", name)
+        rows = rows.withColumn(f"{name}_shared", (F.col(name) > 0) & (F.min("doc").over(same) < F.max("doc").over(same)))
+        wanted = wanted | F.col(f"{name}_shared")
+    return rows.filter(wanted)
 
 
 def fragments(df: DataFrame) -> DataFrame:
-    """(gram, hot, doc, variant, start, offset, fragment) from (doc, variant, body, places, grams, hots)."""
+    """(gram, doc, variant, start, offset, fragment) from (doc, variant, body, places, grams)."""
 
     def cut(batches):
         for batch in batches:
             docs, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns = [batch.column(i) for i in (3, 4, 5)]
+            columns = [batch.column(i) for i in (3, 4)]
             for row, text in enumerate(texts_of(batch.column(2))):
-                at, grams, hot = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
+                at, grams = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
                 start = np.maximum(at - LEFT, 0)
                 end = np.minimum(at + SPAN, len(text))
                 pieces = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
@@ -85,18 +119,17 @@ def fragments(df: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(grams, pa.int64()),
-                        pa.array(hot, pa.bool_()),
                         pa.array(np.full(n, docs[row]), pa.int64()),
                         pa.array(np.full(n, kinds[row]), pa.int64()),
                         pa.array(start, pa.int64()),
                         pa.array(at - start, pa.int32()),
                         pa.array(pieces, pa.binary()),
                     ],
-                    ["gram", "hot", "doc", "variant", "start", "offset", "fragment"],
+                    ["gram", "doc", "variant", "start", "offset", "fragment"],
                 )
 
-    schema = "gram long, hot boolean, doc long, variant long, start long, offset int, fragment binary"
-    return df.select("doc", "variant", "body", "places", "grams", "hots").mapInArrow(cut, schema)
+    schema = "gram long, doc long, variant long, start long, offset int, fragment binary"
+    return df.select("doc", "variant", "body", "places", "grams").mapInArrow(cut, schema)
 
 
 def suffix_order(suffixes: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -231,36 +264,50 @@ def hot_ranges(hot: DataFrame) -> DataFrame:
     )
 
 
+def _with_places(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents that hold anchors, with their places."""
+    per_doc = found.groupBy(F.col("doc").alias("d"), F.shiftright("at", 38).alias("v")).agg(
+        # A set, as a row that repeats a document repeats its anchors.
+        F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit((1 << 38) - 1)).alias("place"), "gram")).alias("anchors")
+    )
+    return texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v"))).select(
+        "doc", "variant", "body", F.col("anchors.place").alias("places"), F.col("anchors.gram").alias("grams")
+    )
+
+
 def repeated_ranges(plain: DataFrame) -> DataFrame:
     """(d, v, ranges): byte ranges that documents (doc, variant, body) lose."""
     spark = plain.sparkSession
     texts = plain.filter("doc is not null")
     found = byte_anchors(texts)
-    common = (
+    common = written(
         found.groupBy("gram")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("copies"))
         .filter("low < high")
-        .select("gram", (F.col("copies") > MOST_COPIES).alias("hot"))
+        .select("gram", (F.col("copies") > MOST_COPIES).alias("hot")),
+        "suffix-grams",
     )
     shared = written(found.join(common, "gram"), "suffix-anchors")
-    shards = shards_for(spark, shared.count(), FRAGMENTS_PER_SHARD)
-    per_doc = shared.groupBy(F.col("doc").alias("d"), F.shiftright("at", 38).alias("v")).agg(
-        F.collect_list(F.col("at").bitwiseAND(F.lit((1 << 38) - 1))).alias("places"),
-        F.collect_list("gram").alias("grams"),
-        F.collect_list("hot").alias("hots"),
-    )
-    # Rows that repeat a document wholly bring its fragments once.
-    joined = texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v"))).withColumns(
-        {name: F.array_distinct(F.arrays_zip("places", "grams", "hots"))[name] for name in ("places", "grams", "hots")}
-    )
-    pieces = written(fragments(joined), "suffix-fragments")
+    discard(common)
+    cold = written(with_shared_sides(shared.filter("not hot")).select("gram", "doc", "at"), "suffix-shared")
+    hot = written(shared.filter("hot").select("gram", "doc", "at"), "suffix-hot")
+    discard(shared)
+    release(spark)
+    shards = shards_for(spark, cold.count(), FRAGMENTS_PER_SHARD)
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int")
-    cold = pieces.filter("not hot").withColumn("shard", shard).groupBy("shard").applyInPandas(fragment_ranges, RANGE)
-    ranges = cold.unionByName(hot_ranges(pieces.filter("hot")))
-    return written(
+    placed = written(_with_places(texts, cold), "suffix-texts")
+    discard(cold)
+    release(spark)
+    ranges = fragments(placed).withColumn("shard", shard).groupBy("shard").applyInPandas(fragment_ranges, RANGE)
+    if not hot.isEmpty():
+        ranges = ranges.unionByName(hot_ranges(written(fragments(_with_places(texts, hot)), "suffix-fragments")))
+    out = written(
         ranges.groupBy(F.col("doc").alias("d"), F.col("variant").alias("v")).agg(F.collect_list(F.struct("start", "end")).alias("ranges")),
         "suffix-ranges",
     )
+    discard(placed, hot)
+    release(spark)
+    return out
 
 
 def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: str = "doc_id", kept: str | None = "binary") -> DataFrame:
