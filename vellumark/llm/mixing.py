@@ -113,7 +113,7 @@ def positioned(sizes: DataFrame) -> DataFrame:
     running = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("source", "chunk").agg(F.sum("size").alias("words")).select(
         F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("words").over(running), F.lit(0)).alias("before")
-    )
+    ).hint("merge")
     inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     return (
         dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -191,7 +191,7 @@ def mixed(df: DataFrame, block: int = BLOCK_WORDS, weights: tuple[float, ...] =
         "words",
         F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block),
     )
-    takes = block_takes(targets, block).select(F.col("source").alias("s"), F.col("block").alias("b"), "times")
+    takes = block_takes(targets, block).select(F.col("source").alias("s"), F.col("block").alias("b"), "times").hint("merge")
     joined = pieces.join(takes, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
     taken = joined.groupBy("doc_id", "source", "size", "start").agg(
         F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).alias("taken")

@@ -10,8 +10,8 @@ in order of time, and a process ends for a document once its next point is later
 than all components found so far.
 
 1. Signatures are cut into bands; equal texts count once from here on.
-2. In each bucket of a band the other documents are held against its smallest one;
-   buckets that still hold several classes are held against a random member of the
+2. In each bucket of a band the other documents are held against the one that meets most
+   documents in all its buckets, so an original comes before its copies; buckets that still hold several classes are held against a random member of the
    largest class, and in the end against all members of other classes. So no bucket
    emits all its pairs, and none that could join two classes is left out.
 3. A pair is verified: the signatures must agree to a minimal degree (far below the
@@ -246,13 +246,17 @@ def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") ->
     ).dropDuplicates(["doc"])
     texts = plain.filter("doc is not null").select("doc", "body").join(items.select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
     buckets = items.select("doc", F.posexplode("bands").alias("band", "hash"))
-    size = buckets.groupBy("band", "hash").agg(F.min("doc").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    members = written(buckets.join(size, ["band", "hash"]), "near-buckets")
+    size = buckets.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = written(buckets.join(size, ["band", "hash"]), "near-crowded")
+    meets = crowded.groupBy("doc").agg(F.sum("n").alias("meets"))
+    ranked = crowded.join(meets, "doc").withColumn("order", F.struct(-F.col("meets"), "doc"))
+    centre = ranked.groupBy("band", "hash").agg(F.min("order").alias("order")).select("band", "hash", F.col("order.doc").alias("centre"))
+    members = written(crowded.join(centre, ["band", "hash"]).select("band", "hash", "doc", "centre"), "near-buckets")
 
     def pairs(found: DataFrame) -> DataFrame:
         return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
 
-    tried = written(pairs(members.select(F.col("low").alias("x"), F.col("doc").alias("y"))), "near-tried")
+    tried = written(pairs(members.select(F.col("centre").alias("x"), F.col("doc").alias("y"))), "near-tried")
     links = written(verified(tried, items, texts), "near-links")
     known, turn = written(classes(links), "near-classes"), 0
     while turn <= RANDOM_ROUNDS:
