@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import token_documents
 from vellumark.operators import features, sentiment, terms
@@ -142,3 +143,18 @@ def test_label_counts(spark):
     assert sentiment.label_counts(scored).first().asDict() == {
         "positive_document_count": 1, "neutral_document_count": 1, "negative_document_count": 0,
     }
+
+
+def test_a_term_that_looks_like_the_key_of_another(spark):
+    import hashlib
+
+    long = "a" * 70
+    digest = hashlib.sha256(long.encode()).hexdigest()
+    documents = token_documents(spark, {"1": ("x", [long, digest]), "2": ("x", [long, "b"])})
+    rows = terms.attach_document_frequency(
+        documents.select("content_id", F.explode("tokens").alias("term")),
+        documents.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count("*").alias("document_frequency")),
+    )
+    assert sorted((r.content_id, r.term[:1], r.document_frequency) for r in rows.collect()) == sorted(
+        [("1", "a", 2), ("1", digest[:1], 1), ("2", "a", 2), ("2", "b", 1)]
+    )

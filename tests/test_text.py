@@ -70,3 +70,14 @@ def test_bigrams(spark):
         spark, {"1": ("M", ["b", "a", "b", "a"]), "2": ("M", ["x"]), "3": ("M", [])}
     ).select("content_id", text.bigrams(F.col("tokens")).alias("pairs"))
     assert {r["content_id"]: r["pairs"] for r in df.collect()} == {"1": ["b a", "a b"], "2": [], "3": []}
+
+
+def test_ties_of_both_signs_round_alike(spark):
+    from pyspark.sql import functions as F
+
+    from vellumark.functions.rounding import round_half_up
+
+    row = spark.sql("SELECT 601 / 20000D AS x, -601 / 20000D AS y, -0.00001D AS z").select(
+        *(round_half_up(F.col(c), 4).alias(c) for c in "xyz")
+    ).first()
+    assert (row.x, row.y) == (0.0301, -0.0301) and str(row.z) == "0.0"

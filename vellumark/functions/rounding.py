@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round a bounded double; ties go up, with the same result in any SQL engine."""
+    """Round a bounded double; ties go away from zero, with the same result in any SQL engine."""
     scale = float(10**digits)
-    return F.floor(value * scale + F.lit(0.5)) / F.lit(scale)
+    up = F.floor(F.abs(value) * scale + F.lit(0.5))
+    return F.when(value < 0, -up).otherwise(up) / F.lit(scale)

@@ -67,14 +67,14 @@ WIDE_HASHING = Hashing(bucket_length=1.5, tables=3, hashes_per_table=1)
 
 
 def _unit_rows(items: DataFrame, vector: str) -> DataFrame:
-    """(id, unit) without zero vectors, which have no direction to compare."""
+    """(id, unit) without null ids, and without zero vectors, which have no direction to compare."""
     is_ml = dict(items.dtypes)[vector] == "vector"
     values = vector_to_array(vector) if is_ml else F.col(vector).cast("array<double>")
     norm = F.sqrt(F.aggregate("unit", F.lit(0.0), lambda total, x: total + x * x))
     return (
         items.select(F.col("content_id").cast("string").alias("id"), values.alias("unit"))
         .withColumn("norm", norm)
-        .filter(F.col("norm") > 0)
+        .filter((F.col("norm") > 0) & F.col("id").isNotNull())
         .select("id", F.transform("unit", lambda x: x / F.col("norm")).alias("unit"))
     )
 

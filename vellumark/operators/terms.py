@@ -97,7 +97,8 @@ def document_frequencies(frequencies: DataFrame) -> DataFrame:
 
 
 def _term_key(term: Column) -> Column:
-    return F.when(F.length(term) > SHORT_TERM, F.sha2(term, 256)).otherwise(term)
+    # No term holds a space, so no term equals another one's key.
+    return F.when(F.length(term) > SHORT_TERM, F.concat(F.lit(" "), F.sha2(term, 256))).otherwise(term)
 
 
 def attach_document_frequency(rows: DataFrame, df: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:

@@ -115,7 +115,7 @@ hits AS (
   FROM content
 ),
 points AS (
-  SELECT *, floor((positive_hits - negative_hits) / len(tokens) * 10000 + 0.5) / 10000 AS sentiment_score FROM hits
+  SELECT *, CAST(sign(positive_hits - negative_hits) * floor(abs(positive_hits - negative_hits) / len(tokens) * 10000 + 0.5) AS BIGINT) / 10000 AS sentiment_score FROM hits
 ),
 scored AS (
   SELECT *, CASE WHEN sentiment_score > 0.03 THEN 'positive' WHEN sentiment_score < -0.03 THEN 'negative'
