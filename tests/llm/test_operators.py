@@ -256,6 +256,25 @@ def test_knn(spark):
     assert knn.top_products(data.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 1 << 58])
+def test_leading_products(scale):
+    rng = np.random.default_rng(2)
+    score = rng.integers(-4, 5, (30, 17)) * scale
+    score[3, 5:] = score[4] = knn.LEAST
+    least = np.where(np.arange(30) % 2, 0, knn.LEAST)
+    row, column = knn.leading_products(score, least, 4)
+    for i in range(30):
+        usable = [j for j in range(17) if score[i, j] > knn.LEAST and score[i, j] >= least[i]]
+        assert sorted(column[row == i].tolist()) == sorted(sorted(usable, key=lambda j: (-int(score[i, j]), j))[:4])
+
+
+def test_mixed_widths():
+    vectors = [np.array([1, -2]), np.array([300, 4]), np.array([1 << 40, -(1 << 40)])]
+    packed = [v.astype(knn._narrowest(v)).tobytes() for v in vectors]
+    assert [len(p) for p in packed] == [2, 4, 16]
+    assert (knn.matrix(packed, 2) == np.stack(vectors)).all()
+
+
 def test_warc(spark, tmp_path):
     long = "<p>équal</p>" * 20
     rows = [(5, "http://a.example/ä b", long), (3, None, long), (9, "u", long), (1, "u", None), (2, "u", "x"), (4, "v", "x"), (None, "w", "alone" * 50)]

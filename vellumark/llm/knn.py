@@ -1,17 +1,22 @@
 """Exact top-k inner products by a Voronoi join.
 
 Data vectors go to the cell of their nearest pivot. Each cell is summarised by
-its size and the least and greatest value per component, from which follows an
-upper bound on the product of any vector of the cell with a query. A first join
-solves each query in its most promising cells that hold at least k candidates;
-its k-th score then is a lower bound. A second join sends the query to just
-those other cells whose bound reaches it. Cells are cut into blocks of bounded
-size, and so are the queries of a cell; every task multiplies two blocks.
+its size, its greatest distance from the pivot, and the least and greatest value per
+component, from which follows an upper bound on the product of any vector of the cell
+with a query. A first join solves each query in its most promising cells that hold at
+least k candidates; its k-th score then is a lower bound. A second join sends the query
+to just those other cells whose bound reaches it, and gives back only products that
+reach it too. ``BUNDLE`` cells share their queries: a query goes there once, with the
+list of cells to search. Bundles are cut into blocks of bounded size, and so are the
+queries of a bundle; every task multiplies two blocks.
+
+Of equal vectors only the k + 1 with the smallest ids can be among anyone's k best, so
+no more of them are searched, however many copies there are.
 
 Vectors that are null, empty, or hold nulls, NaN or infinities take no part, nor do
 rows without an id. Rows that repeat an id and vector count once; a query never
 meets a row of its own id. Only vectors of equal length are compared. Scores
-must fit 64 bits.
+must lie above -2^62 and below 2^62.
 """
 
 from __future__ import annotations
@@ -24,13 +29,15 @@ from pyspark.sql import functions as F
 from .common import mix, prepare, written
 
 PIVOTS = 256
+BUNDLE = 16
 SAMPLE = 4096
 BLOCK = 4096
 EXACT = float(1 << 52)
+LEAST = -(1 << 62)
 
 
 def integer_vectors(df: DataFrame, scale: int, ident: str, vector: str) -> DataFrame:
-    """(id, size, packed): floor(scale * x) per component as little-endian 64-bit integers."""
+    """(id, size, packed): floor(scale * x) per component as little-endian integers, as wide as the vector needs."""
     prepare(df.sparkSession)
     value = F.col(vector)
     usable = (
@@ -45,14 +52,25 @@ def integer_vectors(df: DataFrame, scale: int, ident: str, vector: str) -> DataF
 
     def pack(batches):
         for frame in batches:
-            packed = [np.floor(scale * np.asarray(v, np.float64)).astype("<i8").tobytes() for v in frame["vector"]]
-            yield pd.DataFrame({"id": frame["id"], "size": [len(p) // 8 for p in packed], "packed": packed})
+            whole = [np.floor(scale * np.asarray(v, np.float64)).astype(np.int64) for v in frame["vector"]]
+            packed = [v.astype(_narrowest(v)).tobytes() for v in whole]
+            yield pd.DataFrame({"id": frame["id"], "size": [len(v) for v in whole], "packed": packed})
 
     return plain.mapInPandas(pack, "id long, size int, packed binary").dropDuplicates()
 
 
+def _narrowest(values: np.ndarray) -> str:
+    return next((t for t in ("<i1", "<i2", "<i4") if np.iinfo(t).min <= values.min() and values.max() <= np.iinfo(t).max), "<i8")
+
+
 def matrix(packed, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), "<i8").reshape(-1, size)
+    """The vectors as rows of 64-bit integers; a vector's length in bytes tells its width."""
+    packed = list(packed)
+    widths = {len(p) // size for p in packed}
+    if len(widths) == 1:
+        return np.frombuffer(b"".join(packed), f"<i{widths.pop()}").reshape(-1, size).astype(np.int64)
+    rows = [np.frombuffer(p, f"<i{len(p) // size}") for p in packed]
+    return np.array(rows, np.int64).reshape(-1, size)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -63,14 +81,34 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+def leading_products(score: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k largest of each row that are above LEAST and reach ``least``, ties to smaller columns."""
+    rows, n = score.shape
+    usable = (score > LEAST) & (score >= least[:, None])
+    if n <= k or usable.sum(1).max(initial=0) <= k:
+        return np.nonzero(usable)
+    most = int(np.abs(np.where(usable, score, 0)).max(initial=0))
+    if most < (1 << 61) // n:
+        # One number orders by score and then by column.
+        keys = np.where(usable, score * n + (n - 1 - np.arange(n)), LEAST)
+        at = np.argpartition(keys, n - k, axis=1)[:, n - k :]
+    else:
+        at = np.argsort(-np.where(usable, score, LEAST), axis=1, kind="stable")[:, :k]
+    row = np.repeat(np.arange(rows), k)
+    column = at.ravel()
+    keep = usable[row, column]
+    return row[keep], column[keep]
+
+
 class Cells:
-    """Pivots of one vector length, and per cell the size and the box of its vectors."""
+    """Pivots of one vector length, and per cell the size, the reach and the box of its vectors."""
 
     def __init__(self, pivots: np.ndarray):
         self.pivots = pivots.astype(np.float64)
         self.half = (self.pivots**2).sum(1) / 2
         n, width = pivots.shape
         self.count = np.zeros(n, np.int64)
+        self.far = np.zeros(n)
         self.low = np.full((n, width), np.inf)
         self.high = np.full((n, width), -np.inf)
 
@@ -83,8 +121,12 @@ class Cells:
         plus, minus = np.maximum(q, 0), np.minimum(q, 0)
         full = self.count > 0
         out = np.full((len(q), len(self.count)), -np.inf)
-        bound = plus @ self.high[full].T + minus @ self.low[full].T
-        out[:, full] = bound + np.abs(bound) * 1e-12
+        box = plus @ self.high[full].T + minus @ self.low[full].T
+        length = np.sqrt((q**2).sum(1))[:, None]
+        ball = q @ self.pivots[full].T + length * self.far[full]
+        # The sums of the ball cancel, so its slack follows from what it adds up.
+        ball += length * (self.far[full] + np.sqrt(2 * self.half[full])) * 1e-12
+        out[:, full] = np.minimum(box + np.abs(box) * 1e-12, ball)
         return out
 
 
@@ -101,25 +143,29 @@ def choose_pivots(sample: np.ndarray, count: int, rounds: int = 5) -> np.ndarray
     return centres
 
 
-def _summaries(cells: DataFrame) -> list:
-    """Per cell its size and box, combined in tasks first; at most PIVOTS rows per length come back."""
+def _summaries(cells: DataFrame, known: dict[int, Cells]) -> list:
+    """Per cell its size, reach and box, combined in tasks first; at most PIVOTS rows per length come back."""
 
     def part(batches):
         for frame in batches:
             for (size, cell), rows in frame.groupby(["size", "cell"]):
                 m = matrix(rows["packed"], size)
+                pivot = known[size].pivots[cell] if size in known else np.zeros(size)
+                far = float(np.sqrt(((m - pivot) ** 2).sum(1).max()))
                 yield pd.DataFrame(
-                    {"size": [size], "cell": [cell], "rows": [len(m)], "low": [m.min(0).tolist()], "high": [m.max(0).tolist()]}
+                    {"size": [size], "cell": [cell], "rows": [len(m)], "far": [far], "low": [m.min(0).tolist()], "high": [m.max(0).tolist()]}
                 )
 
-    parts = cells.select("size", "cell", "packed").mapInPandas(part, "size int, cell int, rows long, low array<long>, high array<long>")
-    long = parts.select("size", "cell", "rows", F.posexplode(F.arrays_zip("low", "high")).alias("at", "x"))
+    parts = cells.select("size", "cell", "packed").mapInPandas(
+        part, "size int, cell int, rows long, far double, low array<long>, high array<long>"
+    )
+    long = parts.select("size", "cell", "rows", "far", F.posexplode(F.arrays_zip("low", "high")).alias("at", "x"))
     boxes = long.groupBy("size", "cell", "at").agg(
-        F.sum("rows").alias("rows"), F.min("x.low").alias("low"), F.max("x.high").alias("high")
+        F.sum("rows").alias("rows"), F.max("far").alias("far"), F.min("x.low").alias("low"), F.max("x.high").alias("high")
     )
     return (
         boxes.groupBy("size", "cell")
-        .agg(F.first("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("box"))
+        .agg(F.first("rows").alias("rows"), F.max("far").alias("far"), F.array_sort(F.collect_list(F.struct("at", "low", "high"))).alias("box"))
         .collect()
     )
 
@@ -150,12 +196,15 @@ def top_products(
                     cell[at] = known[size].nearest(matrix(frame["packed"].iloc[at], size))
             yield frame.assign(cell=cell)
 
-    cells = written(vectors.mapInPandas(assign, "id long, size int, packed binary, cell int"), "knn-cells")
-    for row in _summaries(cells):
+    copy = Window.partitionBy("size", "packed").orderBy("id")
+    searched = vectors.withColumn("copy", F.row_number().over(copy)).filter(F.col("copy") <= k + 1).drop("copy")
+    cells = written(searched.mapInPandas(assign, "id long, size int, packed binary, cell int"), "knn-cells")
+    for row in _summaries(cells, known):
         if row.size not in known:
             known[row.size] = Cells(np.zeros((1, row.size)))
         own = known[row.size]
         own.count[row.cell] = row.rows
+        own.far[row.cell] = row.far
         own.low[row.cell] = [x.low for x in row.box]
         own.high[row.cell] = [x.high for x in row.box]
     shared = spark.sparkContext.broadcast(known)
@@ -174,58 +223,71 @@ def top_products(
                     chosen = np.zeros_like(early)
                     np.put_along_axis(chosen, order, early, 1)
                     if not first_round:
-                        least = rows["least"].fillna(-np.inf).to_numpy(np.float64)
+                        least = rows["least"].to_numpy(np.float64)
                         chosen = ~chosen & (bound >= least[:, None]) & (bound > -np.inf)
-                    q, c = np.nonzero(chosen)
-                    yield pd.DataFrame(
-                        {"id": rows["id"].to_numpy()[q], "size": size, "packed": rows["packed"].to_numpy()[q], "cell": c.astype(np.int32)}
-                    )
+                    floor = rows["least"].to_numpy()
+                    for first in range(0, chosen.shape[1], BUNDLE):
+                        part = chosen[:, first : first + BUNDLE]
+                        q = np.flatnonzero(part.any(1))
+                        yield pd.DataFrame(
+                            {
+                                "id": rows["id"].to_numpy()[q],
+                                "size": size,
+                                "packed": rows["packed"].to_numpy()[q],
+                                "bundle": first // BUNDLE,
+                                "cells": [(first + np.flatnonzero(part[i])).astype(np.int32) for i in q],
+                                "least": floor[q],
+                            }
+                        )
 
         return run
 
-    shape = "id long, size int, packed binary, cell int"
+    shape = "id long, size int, packed binary, bundle int, cells array<int>, least long"
     queries = vectors.filter(is_query)
 
     def solved(sent: DataFrame) -> DataFrame:
         sent = written(sent, "knn-sent")
-        parts = {(r.size, r.cell): -(-r.n // block) for r in sent.groupBy("size", "cell").agg(F.count("*").alias("n")).collect()}
-        blocks = {key: max(1, -(-int(known[key[0]].count[key[1]]) // block)) for key in parts}
+        parts = {(r.size, r.bundle): -(-r.n // block) for r in sent.groupBy("size", "bundle").agg(F.count("*").alias("n")).collect()}
+        held = {(s, b): int(known[s].count[b * BUNDLE : (b + 1) * BUNDLE].sum()) for s, b in parts}
         plan = spark.createDataFrame(
-            [(s, c, parts[s, c], blocks[s, c]) for s, c in parts], "size int, cell int, query_parts int, data_blocks int"
+            [(s, b, parts[s, b], max(1, -(-held[s, b] // block))) for s, b in parts],
+            "size int, bundle int, query_parts int, data_blocks int",
         )
-        left = sent.join(F.broadcast(plan), ["size", "cell"]).select(
-            "size", "cell", "id", "packed",
+        left = sent.join(F.broadcast(plan), ["size", "bundle"]).select(
+            "size", "bundle", "id", "packed", "cells", "least",
             F.pmod(F.xxhash64("id"), F.col("query_parts")).cast("int").alias("part"),
             F.explode(F.sequence(F.lit(0), F.col("data_blocks") - 1)).alias("block"),
         )
-        right = cells.join(F.broadcast(plan), ["size", "cell"]).select(
-            "size", "cell", "id", "packed",
+        right = cells.withColumn("bundle", F.expr(f"cell div {BUNDLE}").cast("int")).join(F.broadcast(plan), ["size", "bundle"]).select(
+            "size", "bundle", "id", "packed", "cell",
             F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("part"),
             F.pmod(F.xxhash64("id", F.lit(1)), F.col("data_blocks")).cast("int").alias("block"),
         )
 
         def solve(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")]
             if not len(a) or not len(b):
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-            size = int(a["size"].iloc[0])
+                return out[0]
+            size, first = int(a["size"].iloc[0]), int(a["bundle"].iloc[0]) * BUNDLE
             b = b.sort_values("id")
-            qid, ids = a["id"].to_numpy(), b["id"].to_numpy()
-            left_rows, right_rows = matrix(a["packed"], size), matrix(b["packed"], size)
-            out = []
+            ids, right_rows = b["id"].to_numpy(), matrix(b["packed"], size)
+            members = {cell: np.flatnonzero(b["cell"] == cell) for cell in b["cell"].unique()}
             for start in range(0, len(a), 256):
-                score = products(left_rows[start : start + 256], right_rows)
-                for i, row in enumerate(score):
-                    own = qid[start + i]
-                    keep = min(len(row), k + 1 + int((ids == own).sum()))
-                    # All that reach the keep-th score; the stable sort leaves ties in order of id.
-                    floor = np.partition(row, len(row) - keep)[len(row) - keep]
-                    at = np.flatnonzero(row >= floor)
-                    at = at[np.argsort(-row[at], kind="stable")]
-                    at = at[ids[at] != own][:k]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": row[at]}))
+                some = a.iloc[start : start + 256]
+                rows, qid = matrix(some["packed"], size), some["id"].to_numpy()
+                wanted = np.zeros((len(some), BUNDLE), bool)
+                lists = some["cells"].tolist()
+                wanted[np.repeat(np.arange(len(some)), [len(x) for x in lists]), np.concatenate(lists) - first] = True
+                score = np.full((len(some), len(ids)), LEAST)
+                for cell, at in members.items():
+                    q = np.flatnonzero(wanted[:, cell - first])
+                    score[np.ix_(q, at)] = products(rows[q], right_rows[at])
+                score[qid[:, None] == ids] = LEAST
+                q, at = leading_products(score, some["least"].to_numpy(), k)
+                out.append(pd.DataFrame({"query_id": qid[q], "vec_id": ids[at], "score": score[q, at]}))
             return pd.concat(out)
 
-        keys = ["size", "cell", "part", "block"]
+        keys = ["size", "bundle", "part", "block"]
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(solve, "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -233,8 +295,8 @@ def top_products(
     def leading(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
-    early = written(leading(solved(queries.mapInPandas(targets(True), shape))), "knn-early")
+    early = written(leading(solved(queries.withColumn("least", F.lit(LEAST)).mapInPandas(targets(True), shape))), "knn-early")
     least = early.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-    late = solved(queries.join(least, "id", "left").mapInPandas(targets(False), shape))
+    late = solved(queries.join(least, "id", "left").withColumn("least", F.coalesce("least", F.lit(LEAST))).mapInPandas(targets(False), shape))
     both = early.select("query_id", "vec_id", "score").unionByName(late)
     return leading(both).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
