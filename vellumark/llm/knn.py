@@ -7,7 +7,7 @@ with a query. A first join solves each query in its most promising cells that ho
 least k candidates; its k-th score then is a lower bound. A second join sends the query
 to just those other cells whose bound reaches it, and gives back only products that
 reach it too. ``BUNDLE`` cells share their queries: a query goes there once, with the
-list of cells to search. Bundles are cut into blocks of bounded size, and so are the
+set of cells to search as bits. Bundles are cut into blocks of bounded size, and so are the
 queries of a bundle; every task multiplies two blocks.
 
 Of equal vectors only the k + 1 with the smallest ids can be among anyone's k best, so
@@ -229,20 +229,22 @@ def top_products(
                     for first in range(0, chosen.shape[1], BUNDLE):
                         part = chosen[:, first : first + BUNDLE]
                         q = np.flatnonzero(part.any(1))
+                        if not len(q):
+                            continue
                         yield pd.DataFrame(
                             {
                                 "id": rows["id"].to_numpy()[q],
                                 "size": size,
                                 "packed": rows["packed"].to_numpy()[q],
                                 "bundle": first // BUNDLE,
-                                "cells": [(first + np.flatnonzero(part[i])).astype(np.int32) for i in q],
+                                "cells": part[q] @ (1 << np.arange(part.shape[1])),
                                 "least": floor[q],
                             }
                         )
 
         return run
 
-    shape = "id long, size int, packed binary, bundle int, cells array<int>, least long"
+    shape = "id long, size int, packed binary, bundle int, cells long, least long"
     queries = vectors.filter(is_query)
 
     def solved(sent: DataFrame) -> DataFrame:
@@ -275,9 +277,7 @@ def top_products(
             for start in range(0, len(a), 256):
                 some = a.iloc[start : start + 256]
                 rows, qid = matrix(some["packed"], size), some["id"].to_numpy()
-                wanted = np.zeros((len(some), BUNDLE), bool)
-                lists = some["cells"].tolist()
-                wanted[np.repeat(np.arange(len(some)), [len(x) for x in lists]), np.concatenate(lists) - first] = True
+                wanted = some["cells"].to_numpy()[:, None] >> np.arange(BUNDLE) & 1
                 score = np.full((len(some), len(ids)), LEAST)
                 for cell, at in members.items():
                     q = np.flatnonzero(wanted[:, cell - first])
