@@ -147,14 +147,16 @@ def _summaries(cells: DataFrame, known: dict[int, Cells]) -> list:
     """Per cell its size, reach and box, combined in tasks first; at most PIVOTS rows per length come back."""
 
     def part(batches):
+        held = {}
         for frame in batches:
             for (size, cell), rows in frame.groupby(["size", "cell"]):
                 m = matrix(rows["packed"], size)
                 pivot = known[size].pivots[cell] if size in known else np.zeros(size)
                 far = float(np.sqrt(((m - pivot) ** 2).sum(1).max()))
-                yield pd.DataFrame(
-                    {"size": [size], "cell": [cell], "rows": [len(m)], "far": [far], "low": [m.min(0).tolist()], "high": [m.max(0).tolist()]}
-                )
+                n, most, low, high = held.get((size, cell), (0, far, m[0], m[0]))
+                held[size, cell] = n + len(m), max(most, far), np.minimum(low, m.min(0)), np.maximum(high, m.max(0))
+        for (size, cell), (n, far, low, high) in held.items():
+            yield pd.DataFrame({"size": [size], "cell": [cell], "rows": [n], "far": [far], "low": [low.tolist()], "high": [high.tolist()]})
 
     parts = cells.select("size", "cell", "packed").mapInPandas(
         part, "size int, cell int, rows long, far double, low array<long>, high array<long>"
