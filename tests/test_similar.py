@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, hashing_for, similar_pairs
+from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, similar_pairs
 
 
 def vectors(n, copies=0.0, seed=1):
@@ -64,9 +64,20 @@ def test_hashed_pairs_are_true_and_mostly_found(spark, hashing):
     assert len(found & best) >= 0.9 * len(best)
 
 
-def test_hash_depth_grows_with_the_items():
-    assert hashing_for(10).hashes_per_table == Hashing.hashes_per_table
-    assert hashing_for(10**9).hashes_per_table > hashing_for(10**7).hashes_per_table
+def test_recall_of_the_job_at_its_limit(spark):
+    random = np.random.RandomState(5)
+    items = {}
+    for i in range(300):
+        base = random.randn(64)
+        base /= np.linalg.norm(base)
+        side = random.randn(64)
+        side -= side @ base * base
+        side /= np.linalg.norm(side)
+        angle = 2 * np.arcsin(0.7 / 2)
+        items[f"a{i:03d}"], items[f"b{i:03d}"] = base, np.cos(angle) * base + np.sin(angle) * side
+    found = pairs_of(similar_pairs(frame(spark, items), "v", hashing=WIDE_HASHING))
+    planted = {(f"a{i:03d}", f"b{i:03d}") for i in range(300)}
+    assert len(planted & {pair[:2] for pair in found}) >= 0.95 * 300
 
 
 def test_described(spark):

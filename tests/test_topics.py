@@ -42,10 +42,17 @@ def test_topics_cover_all_documents(stats):
     assert {r[0] for r in table.select("topic_cluster").distinct().collect()} <= {0, 1, 2}
 
 
-def test_vocabulary_bound(stats):
-    tokens, count = topics._corpus_size(stats, 2, 1000)
-    assert (tokens, count) == (961, 2)
-    assert topics._corpus_size(stats, 2, 3)[1] > 2
+def test_training_does_not_depend_on_the_storage(stats):
+    def run(rows):
+        clustered = topics.assign_topics(topics.embed_documents(rows, vector_size=8, partitions=1), topics=3)
+        return sorted((r[0], r[1], tuple(r[2])) for r in clustered.select(
+            "content_id", "topic_cluster", vector_to_array("embedding")
+        ).collect())
+
+    first = run(stats.repartition(1))
+    for again in (run(stats.repartition(1)), run(stats.repartition(5, "title"))):
+        assert [r[:2] for r in again] == [r[:2] for r in first]
+        assert np.allclose([r[2] for r in again], [r[2] for r in first], atol=1e-5)
 
 
 def test_unit_vectors(spark):

@@ -43,7 +43,8 @@ class Hashing:
     """Random-projection hashing: items meet that share all hashes of a table.
 
     More hashes per table make smaller buckets, more tables find more of the
-    pairs that a bucket border would separate.
+    pairs that a bucket border would separate. The values are the caller's and
+    never follow the number of items, which would lose pairs as it grows.
     """
 
     bucket_length: float = 0.25
@@ -52,17 +53,7 @@ class Hashing:
     seed: int = 42
 
 
-def hashing_for(items: int) -> Hashing:
-    """Hashing whose buckets stay near one block as the items grow.
-
-    Nearest neighbours move closer as items are added, so they keep sharing
-    buckets although these get narrower.
-    """
-    hashes = math.ceil(math.log(max(items, 1) / BLOCK_ROWS, 3)) if items > BLOCK_ROWS else 1
-    return Hashing(hashes_per_table=max(hashes, Hashing.hashes_per_table))
-
-
-# The wide single hashes of the plain title job.
+# The wide single hashes of the title job.
 WIDE_HASHING = Hashing(bucket_length=1.5, tables=3, hashes_per_table=1)
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer, Word2Vec
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,25 +13,15 @@ MIN_COUNT = 2
 WINDOW_SIZE = 5
 TOPICS = 8
 SEED = 42
-# The word vectors of a Word2Vec model live in one array on the driver and in
-# every task, which bounds the vocabulary it can be given.
-MAX_VOCABULARY = 5_000_000
-TOKENS_PER_PARTITION = 200_000
-
-
-def _corpus_size(stats: DataFrame, min_count: int, max_vocabulary: int) -> tuple[int, int]:
-    """Token total, and the lowest doubling of ``min_count`` whose vocabulary fits."""
-    per_term = (
-        stats.select(F.explode_outer("terms").alias("entry"))
-        .groupBy("entry.term")
-        .agg(F.sum("entry.term_count").alias("total"))
-    )
-    levels = [min_count * 2**i for i in range(40)]
-    row = per_term.agg(
-        F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"),
-        *[F.count_if(F.col("total") >= level).alias(str(level)) for level in levels],
-    ).first()
-    return row["tokens"], next(level for level in levels if row[str(level)] <= max_vocabulary)
+# Tasks that train word vectors at the same time, and tasks of a k-means step. Both are
+# part of the result, so they are set here and follow neither the input nor the machine.
+TRAINING_PARTITIONS = 8
+CLUSTER_PARTITIONS = 64
+
+
+def _laid_out(df: DataFrame, partitions: int, *columns: str) -> DataFrame:
+    """``df`` in an order and partitions that follow from its rows alone."""
+    return df.repartition(partitions, *columns).sortWithinPartitions(*columns)
 
 
 def embed_documents(
@@ -41,33 +30,43 @@ def embed_documents(
     min_count: int = MIN_COUNT,
     window_size: int = WINDOW_SIZE,
     seed: int = SEED,
-    max_vocabulary: int = MAX_VOCABULARY,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """Add ``embedding`` (mean word vector) and its unit-length copy.
 
-    Training runs in as many partitions as the corpus fills. ``min_count``
-    only rises where the vocabulary would not fit the model.
+    The rows are laid out anew, so the model does not depend on how they are stored. With
+    ``partitions=1`` equal rows train equal models. With more, Spark's training tasks of
+    one executor update a shared array, so vectors differ somewhat from run to run; one
+    task for a large corpus would take too long, hence the default. The word vectors lie in one array on the driver and in each task: a
+    vocabulary beyond that is an error, whose remedy is a larger ``min_count``.
+    Documents without a word of the vocabulary get the zero vector.
     """
-    tokens, count = _corpus_size(stats, min_count, max_vocabulary)
-    cores = stats.sparkSession.sparkContext.defaultParallelism
     model = Word2Vec(
         vectorSize=vector_size,
-        minCount=count,
+        minCount=min_count,
         windowSize=window_size,
-        numPartitions=max(1, min(cores, math.ceil(tokens / TOKENS_PER_PARTITION))),
+        numPartitions=partitions,
         inputCol="tokens",
         outputCol="embedding",
         seed=seed,
-    ).fit(stats.select("tokens"))
+    ).fit(_laid_out(stats.select("content_id", "tokens"), partitions, "content_id", "tokens"))
     unit = Normalizer(inputCol="embedding", outputCol="normalized_embedding", p=2.0)
     return unit.transform(model.transform(stats))
 
 
-def assign_topics(embedded: DataFrame, topics: int = TOPICS, seed: int = SEED, max_iter: int = 30) -> DataFrame:
+def assign_topics(
+    embedded: DataFrame,
+    topics: int = TOPICS,
+    seed: int = SEED,
+    max_iter: int = 30,
+    partitions: int = CLUSTER_PARTITIONS,
+) -> DataFrame:
     """Add ``topic_cluster``, from k-means on the embeddings before scaling."""
+    rows = embedded.select("content_id", vector_to_array("embedding").alias("values"))
+    laid_out = _laid_out(rows, partitions, "content_id", "values").select(array_to_vector("values").alias("embedding"))
     model = KMeans(
         k=topics, seed=seed, maxIter=max_iter, featuresCol="embedding", predictionCol="topic_cluster"
-    ).fit(embedded.select("embedding"))
+    ).fit(laid_out)
     return model.transform(embedded)
 
 

@@ -13,7 +13,7 @@ from vellumark.operators.clean import catalogue_summary, clean_catalogue
 from vellumark.operators.features import text_features
 from vellumark.operators.ordering import ordered
 from vellumark.operators.sentiment import sentiment_table, with_sentiment
-from vellumark.operators.similar import describe_pairs, hashing_for, similar_pairs
+from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, similar_pairs
 from vellumark.operators.terms import (
     bigram_counts,
     keyword_counts,
@@ -34,10 +34,6 @@ from vellumark.session import build_session, materialise
 from vellumark.sources.catalogue import read_catalogue_csv
 from vellumark.sources.sinks import write_preview_csv, write_report, write_table
 
-# Up to this many documents all pairs are compared; beyond it only documents
-# that share a hash bucket are.
-EXACT_PAIR_ROWS = 100_000
-
 
 def analysed(documents: DataFrame, stem: bool = True, name: str = "stats") -> DataFrame:
     """Scored documents with term statistics, written once for the passes that follow."""
@@ -52,10 +48,9 @@ def topics(stats: DataFrame) -> DataFrame:
     ), "clustered")
 
 
-def similar_titles(clustered: DataFrame, exact_rows: int = EXACT_PAIR_ROWS) -> DataFrame:
-    items = clustered.count()
-    chosen = None if items <= exact_rows else hashing_for(items)
-    pairs = similar_pairs(clustered, "normalized_embedding", hashing=chosen)
+def similar_titles(clustered: DataFrame, hashing: Hashing | None = WIDE_HASHING) -> DataFrame:
+    """Described pairs of documents that share a bucket of ``hashing``; None compares all."""
+    pairs = similar_pairs(clustered, "normalized_embedding", hashing=hashing)
     return describe_pairs(pairs, clustered)
 
 
