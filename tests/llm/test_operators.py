@@ -128,6 +128,43 @@ def test_near_duplicates(docs, empty):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, *range(4, 12)]
 
 
+def family(draw, base, first, copies, most):
+    """Copies of a text with up to ``most`` words changed, some of them cut short."""
+    rows = []
+    for i in range(copies):
+        own = list(base)
+        for _ in range(draw.randint(0, most)):
+            own[draw.randrange(len(own))] = draw.choice(VOCABULARY)
+        rows.append((first + i, " ".join(own[: draw.choice([len(own), len(own), len(own) - 20])])))
+    return rows
+
+
+@pytest.mark.parametrize("few", [32, 3])
+def test_near_duplicates_of_large_groups(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW", few)
+    draw = random.Random(11)
+    one, two = ([draw.choice(VOCABULARY) for _ in range(140)] for _ in range(2))
+    # The second family shares most of its text with the first and goes its own way in ten words.
+    near = [*one[:60], *two[60:64], *one[64:100], *two[100:104], *one[104:]]
+    rows = family(draw, one, 0, 60, 9) + family(draw, near, 100, 60, 9) + family(draw, two, 200, 20, 4)
+    memo = neardup.WordHash()
+    sets = [neardup.text_multiset(t.encode(), memo) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if neardup.multiset_similarity(sets[i], sets[j]) >= neardup.SIMILARITY and root(i) != root(j):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    want = {(doc, rows[root(i)][0]) for i, (doc, _) in enumerate(rows)}
+    got = {tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(3)
     hashes = rng.integers(0, 1 << 63, 60).astype(np.uint64)

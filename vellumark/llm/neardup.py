@@ -10,10 +10,16 @@ in order of time, and a process ends for a document once its next point is later
 than all components found so far.
 
 1. Signatures are cut into bands; equal texts count once from here on.
-2. In each bucket of a band the other documents are held against the one that meets most
-   documents in all its buckets, so an original comes before its copies; buckets that still hold several classes are held against a random member of the
-   largest class, and in the end against all members of other classes. So no bucket
-   emits all its pairs, and none that could join two classes is left out.
+2. In each bucket of a band the other documents are held against its centre, the one that meets
+   most documents in all its buckets, so an original comes before its copies; then those
+   outside the centre's class against the one of them that meets most.
+   Buckets of up to ``FEW`` documents that still hold several classes give their pairs of
+   different classes. In larger ones only the shingles that tell a document from the
+   centre are compared: a set S, the centre's shingles and those that over ``FEW`` documents
+   add to them, splits the candidates in two. Documents that share a shingle outside S
+   meet by it. Documents that do not can be similar only if enough of the shingles of
+   both lie in S; they are found by their sizes and their numbers of shingles in S.
+   So no bucket emits all its pairs, and none that could be similar is left out.
 3. A pair is verified: the signatures must agree to a minimal degree (far below the
    threshold), then the multisets of shingles decide. Links join documents into classes.
 
@@ -29,10 +35,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, chunks, gram_hashes, mix, prepare, release, texts_of, written
+from .common import WordHash, as_signed, chunks, discard, gram_hashes, mix, prepare, release, texts_of, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -41,7 +47,8 @@ ROWS = 4
 COMPONENTS = BANDS * ROWS
 # Agreement of signatures below which a pair is not verified: more than five deviations below 0.8.
 LEAST_AGREEMENT = 0.6
-RANDOM_ROUNDS = 2
+# Documents that may be compared with each other in a bucket, or share a shingle outside S.
+FEW = 32
 CHUNK_WORDS = 200_000
 
 
@@ -139,6 +146,13 @@ def text_multiset(text: bytes, memo: WordHash) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
+def elements(text: bytes, memo: WordHash) -> np.ndarray:
+    """The multiset as a set: a hash of each shingle and its running number."""
+    hashes, counts = text_multiset(text, memo)
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix(np.repeat(hashes, counts) + number.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+
 def with_signatures(df: DataFrame) -> DataFrame:
     """(doc, digest, bands, brief) from (doc, digest, body): band hashes, and a byte per component."""
 
@@ -213,6 +227,12 @@ def classes(links: DataFrame) -> DataFrame:
     and smaller neighbours, until every document points at the smallest of its class.
     """
     edges = written(links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "links")
+    def state(e: DataFrame) -> tuple:
+        return tuple(
+            e.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)")), F.sum(F.col("high").cast("decimal(38,0)"))).first()
+        )
+
+    before = state(edges)
     while True:
         # All neighbours above a document get its smallest neighbour (or itself).
         both = edges.union(edges.select("low", "high")).toDF("node", "other")
@@ -222,17 +242,78 @@ def classes(links: DataFrame) -> DataFrame:
         low = large.groupBy("high").agg(F.min("low").alias("least"))
         small = large.join(low, "high").select(F.when(F.col("low") == F.col("least"), F.col("high")).otherwise(F.col("low")).alias("high"), F.col("least").alias("low"))
         turned = written(small.distinct(), "links")
-        state = [
-            (row.n or 0, row.low or 0, row.high or 0)
-            for row in (e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)")).alias("low"), F.sum(F.col("high").cast("decimal(38,0)")).alias("high")).first() for e in (edges, turned))
-        ]
-        edges = turned
-        if state[0] == state[1]:
+        edges, after = turned, state(turned)
+        if before == after:
             break
+        before = after
     lows = edges.select(F.col("low").alias("doc")).distinct()
     return edges.select(F.col("high").alias("doc"), F.col("low").alias("class")).unionByName(lows.withColumn("class", F.col("doc")))
 
 
+def deviations(compared: DataFrame, texts: DataFrame) -> DataFrame:
+    """(centre, doc, class, size, inside, outside): elements of a document that its centre has, and the others.
+
+    ``compared`` has centre, doc and class, ``texts`` has doc and body.
+    """
+    bodies = [texts.select(F.col("doc").alias(name), F.col("body").alias(f"body_{name}")) for name in ("centre", "doc")]
+    held = compared.join(bodies[0], "centre").join(bodies[1], "doc")
+
+    def compare(batches):
+        memo = WordHash()
+        last, known = None, None
+        for batch in batches:
+            rows = []
+            centres, docs = texts_of(batch.column(3)), texts_of(batch.column(4))
+            for centre, text in zip(centres, docs, strict=True):
+                if centre != last:
+                    last, known = centre, elements(centre, memo)
+                own = elements(text, memo)
+                rows.append((len(own), as_signed(own[~np.isin(own, known)])))
+            size = np.array([r[0] for r in rows], np.int64)
+            outside = np.array([len(r[1]) for r in rows], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:3],
+                    pa.array(size),
+                    pa.array(size - outside),
+                    pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+                ],
+                ["centre", "doc", "class", "size", "inside", "outside"],
+            )
+
+    schema = "centre long, doc long, class long, size long, inside long, outside array<long>"
+    return held.select("centre", "doc", "class", "body_centre", "body_doc").mapInArrow(compare, schema)
+
+
+def _sides(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` twice, with its columns but the keys renamed to ``*_x`` and ``*_y``."""
+    return tuple(df.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in keys)) for side in "xy")
+
+
+def candidates_by_deviation(rows: DataFrame) -> DataFrame:
+    """Pairs (x, y) of different classes around a centre that could be similar, from ``deviations``."""
+    unlike = F.col("class_x") != F.col("class_y")
+    apart = rows.select("centre", "doc", "class", "size", F.explode("outside").alias("element"))
+    number = apart.groupBy("centre", "element").agg(F.count("*").alias("n")).filter("n > 1")
+    known = written(apart.join(number, ["centre", "element"]), "near-apart")
+    # Shared by few: these documents meet. Similar documents differ in size by the similarity at most.
+    left, right = _sides(known.filter(F.col("n") <= FEW).drop("n"), "centre", "element")
+    near_size = F.least("size_x", "size_y") >= SIMILARITY * F.greatest("size_x", "size_y") - 1e-6
+    meeting = left.join(right, ["centre", "element"]).filter((F.col("doc_x") < F.col("doc_y")) & unlike & near_size)
+    # Shared by more: part of S. What two documents have in common then lies in S, and is at least 4/9 of both sizes together.
+    common = known.filter(F.col("n") > FEW).groupBy("centre", "doc").agg(F.count("*").alias("more"))
+    counts = rows.drop("outside").join(common, ["centre", "doc"], "left").withColumn("inside", F.col("inside") + F.coalesce("more", F.lit(0))).drop("more")
+    counts = written(counts, "near-counts")
+    profiles = counts.groupBy("centre", "size", "inside").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    one, two = _sides(profiles.filter(F.col("inside") >= SIMILARITY * F.col("size") - 1e-6), "centre")
+    enough = F.least("inside_x", "inside_y") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size_x") + F.col("size_y")) - 1e-6
+    several = (F.least("low_x", "low_y") < F.greatest("high_x", "high_y")) & (F.struct("size_x", "inside_x") <= F.struct("size_y", "inside_y"))
+    fitting = one.join(two, "centre").filter(enough & several).select("centre", "size_x", "inside_x", "size_y", "inside_y")
+    x, y = _sides(counts, "centre")
+    alike = fitting.join(x, ["centre", "size_x", "inside_x"]).join(y, ["centre", "size_y", "inside_y"]).filter(unlike)
+    return meeting.select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).unionByName(alike.select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")))
+
+
 def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, class) for every row of ``df``."""
     spark = prepare(df.sparkSession)
@@ -251,43 +332,45 @@ def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") ->
     meets = crowded.groupBy("doc").agg(F.sum("n").alias("meets"))
     ranked = crowded.join(meets, "doc").withColumn("order", F.struct(-F.col("meets"), "doc"))
     centre = ranked.groupBy("band", "hash").agg(F.min("order").alias("order")).select("band", "hash", F.col("order.doc").alias("centre"))
-    members = written(crowded.join(centre, ["band", "hash"]).select("band", "hash", "doc", "centre"), "near-buckets")
+    members = written(ranked.join(centre, ["band", "hash"]).select("band", "hash", "n", "doc", "order", "centre"), "near-buckets")
+    discard(crowded)
 
     def pairs(found: DataFrame) -> DataFrame:
         return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
 
+    def still_open(known: DataFrame) -> DataFrame:
+        """Members of buckets of three or more that hold several classes; pairs of two are settled."""
+        placed = members.filter("n > 2").join(known, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
+        split = placed.groupBy("band", "hash").agg(
+            F.min("class").alias("least"), F.max("class").alias("most"), F.max(F.when(F.col("doc") == F.col("centre"), F.col("class"))).alias("main")
+        )
+        return written(placed.join(split.filter("least < most"), ["band", "hash"]).drop("least", "most"), "near-open")
+
     tried = written(pairs(members.select(F.col("centre").alias("x"), F.col("doc").alias("y"))), "near-tried")
     links = written(verified(tried, items, texts), "near-links")
-    known, turn = written(classes(links), "near-classes"), 0
-    while turn <= RANDOM_ROUNDS:
-        placed = members.join(known, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
-        split = placed.groupBy("band", "hash").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most")
-        open_ = written(placed.join(split.select("band", "hash"), ["band", "hash"]).select("band", "hash", "doc", "class"), "near-open")
-        if open_.isEmpty():
-            break
-        shares = open_.groupBy("band", "hash", "class").agg(
-            F.count("*").alias("n"), F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("leader")
-        )
-        main = shares.groupBy("band", "hash").agg(
-            F.max_by(F.struct(F.col("class").alias("main"), "leader"), F.struct("n", -F.col("class"))).alias("m")
-        ).select("band", "hash", "m.main", "m.leader")
-        rest = open_.join(main, ["band", "hash"]).filter(F.col("class") != F.col("main"))
-        if turn < RANDOM_ROUNDS:
-            more = pairs(rest.select(F.col("leader").alias("x"), F.col("doc").alias("y")))
-        else:
-            others = open_.select("band", "hash", F.col("doc").alias("y"), F.col("class").alias("other"))
-            more = pairs(rest.join(others, ["band", "hash"]).filter(F.col("class") != F.col("other")).select(F.col("doc").alias("x"), "y"))
-        fresh = written(more.join(tried, ["a", "b"], "left_anti"), "near-fresh")
-        if fresh.isEmpty():
-            # No pair with a leader is left; the last round looks at all that remain.
-            turn = RANDOM_ROUNDS if turn < RANDOM_ROUNDS else turn + 1
-            continue
-        turn += 1
-        found = written(verified(fresh, items, texts), "near-links")
-        tried = written(tried.unionByName(fresh), "near-tried")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            known = written(classes(links), "near-classes")
+    known = written(classes(links), "near-classes")
+
+    rest = still_open(known).filter(F.col("class") != F.col("main"))
+    leader = rest.groupBy("band", "hash").agg(F.min("order").alias("leader")).select("band", "hash", F.col("leader.doc").alias("x"))
+    more = pairs(rest.join(leader, ["band", "hash"]).select("x", F.col("doc").alias("y")))
+    more = written(more.join(tried, ["a", "b"], "left_anti"), "near-tried")
+    found = written(verified(more, items, texts), "near-links")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        known = written(classes(links), "near-classes")
+
+    left = still_open(known)
+    x, y = _sides(left.filter(F.col("n") <= FEW).select("band", "hash", "doc", "class"), "band", "hash")
+    few = x.join(y, ["band", "hash"]).filter("doc_x < doc_y and class_x <> class_y").select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
+    compared = written(left.filter(F.col("n") > FEW).select("centre", "doc", "class").distinct(), "near-compared")
+    if not compared.isEmpty():
+        # The centre is among the documents of its bucket.
+        bodies = written(texts.join(compared.select("doc").distinct(), "doc", "left_semi"), "near-bodies")
+        few = few.unionByName(candidates_by_deviation(written(deviations(compared, bodies), "near-deviations")))
+    last = written(pairs(few).join(tried.unionByName(more), ["a", "b"], "left_anti"), "near-fresh")
+    found = written(verified(last, items, texts), "near-links")
+    if not found.isEmpty():
+        known = written(classes(links.unionByName(found)), "near-classes")
     named = items.select("digest", F.col("doc").alias("item")).join(known, F.col("item") == F.col("doc"), "left").select(
         "digest", F.coalesce("class", "item").alias("class")
     )
