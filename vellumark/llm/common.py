@@ -178,5 +178,5 @@ def as_signed(values: np.ndarray) -> np.ndarray:
 
 
 def variant(text) -> F.Column:
-    """24 bits of the text, so that rows that repeat a doc_id with another text stay apart."""
-    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << 24) - 1))
+    """32 bits of the text, so that rows that repeat a doc_id with another text stay apart."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << 32) - 1))

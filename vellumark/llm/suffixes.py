@@ -4,9 +4,10 @@ A byte goes if a string of ``SPAN`` bytes that covers it also starts in a docume
 with a smaller doc_id.
 
 1. Anchors: of every string of ``SPAN`` bytes, the ``GRAM`` bytes with the least hash.
-   Equal strings have equal anchors; anchors of one document only are dropped. So are
+   Equal strings have equal anchors; anchors of one text only are dropped. So are
    those whose ``SIDE`` bytes before and whose ``SIDE`` bytes after are both found in one document
    only: a string of ``SPAN`` bytes reaches that far to one side at least.
+   Of equal texts only the first document goes on; later ones lose every byte.
 2. Around each anchor left, a fragment holds all strings that it anchors. Fragments are
    dealt out by the hash of their anchor, so all copies of a string meet in one shard.
 3. A shard keeps, of equal fragments, the first document; later ones are covered
@@ -40,6 +41,7 @@ SPAN = 50
 GRAM = 16
 LEFT = SPAN - GRAM
 SIDE = LEFT // 2
+PLACE_BITS = 31  # a text of Spark is shorter
 MOST_COPIES = 20_000
 CHUNK_BYTES = 1 << 20
 SUFFIXES_AT_ONCE = 400_000
@@ -51,7 +53,7 @@ _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(7))
 def byte_anchors(df: DataFrame) -> DataFrame:
     """(gram, doc, at, sides) from (doc, variant, body).
 
-    ``at`` holds the variant above 38 bits of position, ``sides`` 16 bits of a hash of the
+    ``at`` holds the variant above ``PLACE_BITS`` bits of position, ``sides`` 16 bits of a hash of the
     bytes before the anchor and 16 of those after it; 0 where the text ends sooner.
     """
 
@@ -81,7 +83,7 @@ def byte_anchors(df: DataFrame) -> DataFrame:
                     [
                         pa.array(as_signed(grams[at])),
                         pa.array(docs[first + rows]),
-                        pa.array((kinds[first + rows] << 38) | place),
+                        pa.array((kinds[first + rows] << PLACE_BITS) | place),
                         pa.array(((side(values, owner, at, -SIDE) << 16) | side(values, owner, at, GRAM)).astype(np.uint32).view(np.int32)),
                     ],
                     ["gram", "doc", "at", "sides"],
@@ -264,12 +266,21 @@ def hot_ranges(hot: DataFrame) -> DataFrame:
     )
 
 
-def _with_places(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents that hold anchors, with their places."""
-    per_doc = found.groupBy(F.col("doc").alias("d"), F.shiftright("at", 38).alias("v")).agg(
+def later_copies(texts: DataFrame) -> DataFrame:
+    """(d, v, n) of documents whose whole text a smaller document has, with its bytes."""
+    light = texts.select(F.col("doc").alias("d"), F.col("variant").alias("v"), F.octet_length("body").alias("n"), F.sha2("body", 256).alias("digest"))
+    light = light.filter(F.col("n") >= SPAN)
+    firsts = light.groupBy("digest").agg(F.min("d").alias("first"))
+    return light.join(firsts, "digest").filter(F.col("first") < F.col("d")).select("d", "v", "n").distinct()
+
+
+def _with_places(texts: DataFrame, found: DataFrame, copies: DataFrame) -> DataFrame:
+    """Documents that hold anchors and are not among ``copies``, with their places."""
+    per_doc = found.groupBy(F.col("doc").alias("d"), F.shiftright("at", PLACE_BITS).alias("v")).agg(
         # A set, as a row that repeats a document repeats its anchors.
-        F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit((1 << 38) - 1)).alias("place"), "gram")).alias("anchors")
+        F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "gram")).alias("anchors")
     )
+    per_doc = per_doc.join(copies, ["d", "v"], "left_anti")
     return texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v"))).select(
         "doc", "variant", "body", F.col("anchors.place").alias("places"), F.col("anchors.gram").alias("grams")
     )
@@ -279,11 +290,16 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     """(d, v, ranges): byte ranges that documents (doc, variant, body) lose."""
     spark = plain.sparkSession
     texts = plain.filter("doc is not null")
+    copies = written(later_copies(texts), "suffix-copies")
     found = byte_anchors(texts)
     common = written(
         found.groupBy("gram")
-        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("copies"))
-        .filter("low < high")
+        .agg(
+            *(f(c).alias(f"{name}_{c}") for c in ("doc", "at", "sides") for name, f in (("low", F.min), ("high", F.max))),
+            F.count("*").alias("copies"),
+        )
+        # Copies of one text have an anchor at one place, with the same bits of the text above it.
+        .filter("low_doc < high_doc and (low_at < high_at or low_sides < high_sides)")
         .select("gram", (F.col("copies") > MOST_COPIES).alias("hot")),
         "suffix-grams",
     )
@@ -295,17 +311,21 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     release(spark)
     shards = shards_for(spark, cold.count(), FRAGMENTS_PER_SHARD)
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int")
-    placed = written(_with_places(texts, cold), "suffix-texts")
+    placed = written(_with_places(texts, cold, copies), "suffix-texts")
     discard(cold)
     release(spark)
     ranges = fragments(placed).withColumn("shard", shard).groupBy("shard").applyInPandas(fragment_ranges, RANGE)
     if not hot.isEmpty():
-        ranges = ranges.unionByName(hot_ranges(written(fragments(_with_places(texts, hot)), "suffix-fragments")))
+        ranges = ranges.unionByName(hot_ranges(written(fragments(_with_places(texts, hot, copies)), "suffix-fragments")))
+    whole = copies.select(
+        F.col("d").alias("doc"), F.col("v").alias("variant"), F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end")
+    )
+    ranges = ranges.unionByName(whole)
     out = written(
         ranges.groupBy(F.col("doc").alias("d"), F.col("variant").alias("v")).agg(F.collect_list(F.struct("start", "end")).alias("ranges")),
         "suffix-ranges",
     )
-    discard(placed, hot)
+    discard(placed, hot, copies)
     release(spark)
     return out
 
