@@ -40,7 +40,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     _collect_garbage(spark)
     path, schema = new_path(spark, name), df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.written_at = path
     return out
