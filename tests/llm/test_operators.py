@@ -351,3 +351,52 @@ def test_pseudo_likelihood(spark, docs, empty):
     got = {r.doc_id: r for r in pseudo.pseudo_likelihood(docs).collect()}
     assert got[6].n_tokens == 0 and got[6].log_likelihood == 0 and got[6].mean_log_likelihood is None
     assert pseudo.pseudo_likelihood(empty).count() == 0
+
+
+def test_pseudo_likelihood_tells_words_of_a_class_apart(spark):
+    memo = pseudo.WordHash(4096)
+    usual = memo[b"the"]
+    junk = next(w for w in (f"junk{i}" for i in range(100_000)) if memo[w.encode()] == usual)
+    rows = [(i, "the cat sat on the mat and the dog ran " * 10) for i in range(200)]
+    rows += [(900, "cat sat on the mat and " * 3), (901, f"cat sat on {junk} mat and " * 3)]
+    out = {r.doc_id: r.log_likelihood for r in pseudo.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[900] > out[901] + 5
+
+
+def test_pseudo_likelihood_probabilities_add_up(spark):
+    """With more words than classes the probabilities of all words at a place still add up to 1."""
+    draw = random.Random(5)
+    names = [f"w{i}" for i in range(9000)]
+    rows = [(i, " ".join(draw.choices(names, [1 / (j + 1) for j in range(9000)], k=1000))) for i in range(40)]
+    rows.append((41, " ".join(names)))
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = pseudo.word_counts(own, "text")
+    truth = Counter(w for _, t in rows for w in t.split())
+    assert {r.word: r.n for r in counts.collect()} == {int(np.uint64(pseudo.WordHash()[w.encode()]).view(np.int64)): n for w, n in truth.items()}
+    known = pseudo.vocabulary(counts)
+    assert 0 < len(known.own) < 9000 and known.occurrences.sum() > 0 and known.total == sum(truth.values())
+    # The same network scores each word between the same neighbours.
+    places = spark.createDataFrame([(i, f"w1 w2 {w} w3 w4") for i, w in enumerate(names)], "doc_id long, text string")
+    network = pseudo.fitted(pseudo.numbered(own, "doc_id", "text", known), known.clusters)
+    ids = {w: int(known.classes(np.array([pseudo.WordHash()[w.encode()]], np.uint64).view(np.int64))[0]) for w in names}
+    total = 0.0
+    for w in names:
+        around = np.array([ids["w1"], ids["w2"], ids[w], ids["w3"], ids["w4"]])
+        at = float(pseudo.log_probabilities(network, around, np.zeros(5, np.int64))[2])
+        inside = 1.0 if ids[w] < len(known.own) else truth[w] / known.occurrences[ids[w] - len(known.own)]
+        total += np.exp(at) * inside
+    assert 0.999 < total < 1.0001
+    got = {r.doc: r.total for r in pseudo.scored(pseudo.numbered(places, "doc_id", "text", known), counts, known, network).collect()}
+    for i in (0, 1, 100, 5000, 8999):
+        parts = [ids[x] for x in ("w1", "w2", names[i], "w3", "w4")]
+        want = float(pseudo.log_probabilities(network, np.array(parts), np.zeros(5, np.int64)).sum())
+        for x in ("w1", "w2", names[i], "w3", "w4"):
+            if ids[x] >= len(known.own):
+                want += np.log(truth[x] / known.occurrences[ids[x] - len(known.own)])
+        assert got[i] == pytest.approx(want, rel=1e-6)
+
+
+def test_pseudo_likelihood_trains_on_every_place():
+    for shard in range(3):
+        places = np.concatenate([pseudo.targets(1001, shard, turn) for turn in range(pseudo.ROUNDS)])
+        assert sorted(places.tolist()) == list(range(1001))

@@ -1,62 +1,135 @@
 """Masked pseudo-likelihood of documents.
 
-Words are numbered by hash into ``CLUSTERS`` x ``CLUSTERS`` classes. A network reads the
+The words of all documents are counted. The most frequent ones have a class each; the
+others are dealt by hash over the classes left, and a word's share of its class's
+occurrences is the last factor of its probability. So every counted word has a probability
+of its own, and those of all words add up to 1. There are ``clusters`` x ``clusters`` classes, and
+they grow with the square root of the vocabulary. A network reads the classes of the
 ``REACH`` words on either side of a place, and not the word itself: their embeddings, one
 table for all places, are joined, pass a hidden layer, and two softmax layers give the
-upper and then, knowing that, the lower half of the number of the word in the middle. The sum
+upper and then, knowing that, the lower half of the number of the class in the middle. The sum
 of the log-probabilities of all words is the document's pseudo-log-likelihood.
 
-The words of every document take part in training: each place whose number is the shard's
-turn modulo ``STRIDE`` is a target. Documents are dealt by a hash of their id into shards of
-a set number of words; each shard trains the common network further, and the results are
-averaged by words, ``ROUNDS`` times. Shards and their order follow from the data alone, so
-runs agree. What is gathered is one network of a fixed size (about 0.3 MB) per shard.
+Every place of every document is a target in training, once: in turn t of ``ROUNDS`` the
+places whose number is the shard's plus t modulo ``ROUNDS``. Documents are dealt by a hash of
+their id into shards of a set number of words; each shard trains the common network further,
+and the results are averaged by words after each turn. Shards and their order follow from the
+data alone, so runs agree. The vocabulary is a table; what is gathered is one network per
+shard and the words that have a class of their own.
 
-Null and empty texts have no words, sum 0 and a null mean. Repeated rows are scored
-alike. Scoring an empty table gives no rows.
+Words are told apart by 64-bit hashes. Null and empty texts have no words, sum 0 and a null
+mean. Repeated rows are scored alike. Scoring an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, prepare, texts_of, written
+from .common import WordHash, as_signed, prepare, texts_of, written
 
-CLUSTERS = 64
-VOCABULARY = CLUSTERS * CLUSTERS
-PAD = VOCABULARY
+LEAST_CLUSTERS = 64
+# Classes for each square root of the vocabulary, and the share of them that single words may have.
+CLASSES_PER_ROOT = 8
+OWN_CLASSES = 0.75
 REACH = 2
 WIDTH = 16
 HIDDEN = 32
-STRIDE = 8
 ROUNDS = 2
 RATE = 0.02
 BATCH = 1024
 SCORE_ROWS = 16_384
 WORDS_PER_SHARD = 2_000_000
+COUNTED_AT_ONCE = 2_000_000
 BLOCKS = 8
 SEED = 11
 
 
-def new_network(seed: int = SEED) -> dict[str, np.ndarray]:
+class Vocabulary(NamedTuple):
+    """Numbers of the classes: ``own`` has the hashes of words with one of their own, most frequent first.
+
+    Behind these, ``occurrences`` has the number of words in each class that several words share.
+    """
+
+    clusters: int
+    own: np.ndarray
+    occurrences: np.ndarray
+    total: int
+
+    def classes(self, words: np.ndarray) -> np.ndarray:
+        """Class numbers of hashes."""
+        out = len(self.own) + np.mod(words, len(self.occurrences))
+        if len(self.own):
+            order = np.argsort(self.own)
+            at = np.minimum(np.searchsorted(self.own, words, sorter=order), len(self.own) - 1)
+            held = self.own[order[at]] == words
+            out[held] = order[at[held]]
+        return out
+
+
+def word_counts(df: DataFrame, text: str) -> DataFrame:
+    """(word, n): how often each word, by its hash, occurs in all rows."""
+
+    def run(batches):
+        memo, held, size = WordHash(), [], 0
+
+        def summed():
+            words, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(n.astype(np.int64))], ["word", "n"])
+
+        for batch in batches:
+            for body in texts_of(batch.column(0)):
+                held.append(as_signed(memo.array(body.split())))
+                size += len(held[-1])
+                if size >= COUNTED_AT_ONCE:
+                    yield summed()
+                    held, size = [], 0
+        if size:
+            yield summed()
+
+    counted = df.select(F.col(text).alias("body")).mapInArrow(run, "word long, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    """The classes for the words of ``word_counts``; words as frequent as each other are treated alike."""
+    sizes = sorted(((r.n, r.words) for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+    clusters = max(LEAST_CLUSTERS, math.ceil(math.sqrt(CLASSES_PER_ROOT * math.sqrt(sum(words for _, words in sizes)))))
+    room, least = int(OWN_CLASSES * clusters**2), None
+    for n, words in sizes:
+        if words > room:
+            break
+        room, least = room - words, n
+    rows = sorted((-r.n, r.word) for r in counts.filter(F.col("n") >= least).collect()) if least else []
+    own = np.array([word for _, word in rows], np.int64)
+    occurrences = np.zeros(clusters**2 - len(own), np.int64)
+    others = counts.filter(F.col("n") < least) if least else counts
+    for r in others.groupBy(F.pmod("word", F.lit(len(occurrences))).alias("at")).agg(F.sum("n").alias("n")).collect():
+        occurrences[r["at"]] = r.n
+    return Vocabulary(clusters, own, occurrences, sum(n * words for n, words in sizes))
+
+
+def new_network(clusters: int, seed: int = SEED) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
 
     def normal(*shape):
         return (rng.normal(0, 1, shape) / np.sqrt(shape[0])).astype(np.float32)
 
     return {
-        "embed": (rng.normal(0, 0.3, (VOCABULARY + 1, WIDTH))).astype(np.float32),
+        "embed": (rng.normal(0, 0.3, (clusters**2 + 1, WIDTH))).astype(np.float32),
         "hidden": normal(2 * REACH * WIDTH, HIDDEN),
         "hidden_bias": np.zeros(HIDDEN, np.float32),
-        "upper": normal(HIDDEN, CLUSTERS),
-        "upper_bias": np.zeros(CLUSTERS, np.float32),
-        "knowing": np.zeros((CLUSTERS, HIDDEN), np.float32),
-        "lower": normal(HIDDEN, CLUSTERS),
-        "lower_bias": np.zeros((CLUSTERS, CLUSTERS), np.float32),
+        "upper": normal(HIDDEN, clusters),
+        "upper_bias": np.zeros(clusters, np.float32),
+        "knowing": np.zeros((clusters, HIDDEN), np.float32),
+        "lower": normal(HIDDEN, clusters),
+        "lower_bias": np.zeros((clusters, clusters), np.float32),
     }
 
 
@@ -64,9 +137,9 @@ def flat(network: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([v.ravel() for v in network.values()])
 
 
-def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
+def shaped(values: np.ndarray, clusters: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, like in new_network().items():
+    for name, like in new_network(clusters).items():
         out[name] = values[at : at + like.size].reshape(like.shape).astype(np.float32)
         at += like.size
     return out
@@ -79,15 +152,15 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def contexts(ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Word numbers around every place (places x 2 REACH); PAD beyond the document."""
+def contexts(ids: np.ndarray, owner: np.ndarray, pad: int) -> np.ndarray:
+    """Class numbers around every place (places x 2 REACH); ``pad`` beyond the document."""
     columns = []
     for step in (*range(-REACH, 0), *range(1, REACH + 1)):
-        moved = np.full(len(ids), PAD, ids.dtype)
+        moved = np.full(len(ids), pad, ids.dtype)
         if step < 0:
-            moved[-step:] = np.where(owner[-step:] == owner[:step], ids[:step], PAD)
+            moved[-step:] = np.where(owner[-step:] == owner[:step], ids[:step], pad)
         else:
-            moved[:-step] = np.where(owner[step:] == owner[:-step], ids[step:], PAD)
+            moved[:-step] = np.where(owner[step:] == owner[:-step], ids[step:], pad)
         columns.append(moved)
     return np.stack(columns, 1)
 
@@ -102,12 +175,13 @@ def _forward(network, around, upper):
 
 
 def log_probabilities(network: dict[str, np.ndarray], ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Log-probability of every word given its neighbours."""
-    around = contexts(ids, owner)
+    """Log-probability of every word's class given its neighbours."""
+    clusters = len(network["upper_bias"])
+    around = contexts(ids, owner, clusters**2)
     out = np.empty(len(ids))
     for start in range(0, len(ids), SCORE_ROWS):
         part = slice(start, start + SCORE_ROWS)
-        upper, lower = ids[part] // CLUSTERS, ids[part] % CLUSTERS
+        upper, lower = ids[part] // clusters, ids[part] % clusters
         _, _, first, _, second = _forward(network, around[part], upper)
         at = np.arange(len(upper))
         out[part] = np.log(first[at, upper].astype(np.float64) + 1e-30) + np.log(second[at, lower].astype(np.float64) + 1e-30)
@@ -116,6 +190,7 @@ def log_probabilities(network: dict[str, np.ndarray], ids: np.ndarray, owner: np
 
 def trained(network: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> None:
     """One pass of AdaGrad over the places, changing ``network``."""
+    clusters = len(network["upper_bias"])
     squares = {name: np.full_like(v, 1e-4) for name, v in network.items()}
 
     def update(name, slope, rows=None):
@@ -135,7 +210,7 @@ def trained(network: dict[str, np.ndarray], around: np.ndarray, target: np.ndarr
 
     for start in range(0, len(target), BATCH):
         near, ids = around[start : start + BATCH], target[start : start + BATCH]
-        upper, lower = ids // CLUSTERS, ids % CLUSTERS
+        upper, lower = ids // clusters, ids % clusters
         x, hidden, first, told, second = _forward(network, near, upper)
         at = np.arange(len(ids))
         first[at, upper] -= 1
@@ -159,39 +234,60 @@ def trained(network: dict[str, np.ndarray], around: np.ndarray, target: np.ndarr
             update(name, slope, which)
 
 
-def numbered(df: DataFrame, ident: str, text: str) -> DataFrame:
-    """(doc, n, ids): words of each row as 16-bit numbers."""
+def numbered(df: DataFrame, ident: str, text: str, words: Vocabulary) -> DataFrame:
+    """(doc, shard, n, ids, shared): 32-bit class numbers of each row's words, and the hashes of those that share a class."""
+    known = df.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        memo = WordHash(VOCABULARY)
+        memo, own = WordHash(), known.value
         for batch in batches:
-            lists = [memo.array(t.split()).astype("<u2") for t in texts_of(batch.column(1))]
+            lists = [as_signed(memo.array(t.split())) for t in texts_of(batch.column(1))]
+            sizes = np.array([len(x) for x in lists], np.int64)
+            every = np.concatenate([*lists, np.empty(0, np.int64)])
+            ids = own.classes(every)
+            behind = ids >= len(own.own)
+            ends = np.cumsum(sizes)
+            parts = [(slice(e - n, e)) for n, e in zip(sizes, ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([x.tobytes() for x in lists], pa.binary())],
-                ["doc", "n", "ids"],
+                [
+                    batch.column(0),
+                    pa.array(sizes),
+                    pa.array([ids[p].astype("<u4").tobytes() for p in parts], pa.binary()),
+                    pa.array([every[p][behind[p]].astype("<i8").tobytes() for p in parts], pa.binary()),
+                ],
+                ["doc", "n", "ids", "shared"],
             )
 
-    return df.select(F.col(ident).alias("doc"), F.col(text).alias("body")).mapInArrow(
-        run, f"doc {df.schema[ident].dataType.simpleString()}, n long, ids binary"
+    plain = df.select(F.col(ident).alias("doc"), F.col(text).alias("body")).mapInArrow(
+        run, f"doc {df.schema[ident].dataType.simpleString()}, n long, ids binary, shared binary"
     )
+    # A shard trains on its documents in the order of their ids; a repeated row counts each time.
+    shards = max(1, -(-words.total // WORDS_PER_SHARD))
+    shard = F.pmod(F.xxhash64("doc", F.lit(SEED), F.xxhash64("ids")), F.lit(shards)).cast("int")
+    return plain.select("doc", shard.alias("shard"), "n", "ids", "shared")
 
 
 def _joined(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(b"".join(lists), "<u2").astype(np.int64)
-    return ids, np.repeat(np.arange(len(lists)), [len(x) // 2 for x in lists])
+    ids = np.frombuffer(b"".join(lists), "<u4").astype(np.int64)
+    return ids, np.repeat(np.arange(len(lists)), [len(x) // 4 for x in lists])
+
+
+def targets(size: int, shard: int, turn: int) -> np.ndarray:
+    """The places of a shard that are targets in a turn; all turns together have each place once."""
+    return np.arange((shard + turn) % ROUNDS, size, ROUNDS)
 
 
 _PARTS = "shard int, block int, weight double, sums binary"
 
 
-def _training(shared, turn: int):
+def _training(shared, clusters: int, turn: int):
     def train(frame: pd.DataFrame) -> pd.DataFrame:
-        own = shaped(shared.value)
+        own = shaped(shared.value, clusters)
         shard = int(frame["shard"].iloc[0])
         frame = frame.sort_values(["doc", "ids"], kind="stable")
         ids, owner = _joined(frame["ids"].tolist())
-        picked = np.arange((shard + turn * STRIDE // ROUNDS) % STRIDE, len(ids), STRIDE)
-        around = contexts(ids.astype(np.int16), owner)[picked]
+        picked = targets(len(ids), shard, turn)
+        around = contexts(ids.astype(np.int32), owner, clusters**2)[picked]
         order = np.random.default_rng([SEED, shard, turn]).permutation(len(picked))
         trained(own, around[order], ids[picked][order])
         weight = float(len(picked))
@@ -210,60 +306,82 @@ def _added(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def fitted(words: DataFrame) -> dict[str, np.ndarray]:
+def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
     """A network trained on all rows of ``numbered``."""
-    spark = words.sparkSession
-    total = words.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // WORDS_PER_SHARD))
-    network = new_network()
-    if not total:
-        return network
-    # A shard trains on its documents in the order of their ids; a repeated row counts each time.
-    dealt = words.filter("n > 0").select(
-        F.pmod(F.xxhash64("doc", F.lit(SEED), F.xxhash64("ids")), F.lit(shards)).cast("int").alias("shard"), "doc", "ids"
-    )
+    spark = rows.sparkSession
+    network = new_network(clusters)
+    dealt = rows.filter("n > 0").select("shard", "doc", "ids")
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(flat(network))
-
-        parts = dealt.groupBy("shard").applyInPandas(_training(shared, turn), _PARTS)
+        parts = dealt.groupBy("shard").applyInPandas(_training(shared, clusters, turn), _PARTS)
         # Sums in two steps, so that no group holds a part of every shard.
         some = parts.withColumn("some", (F.col("shard") / 64).cast("int"))
         halves = some.groupBy("block", "some").applyInPandas(_added, _PARTS)
-        rows = sorted(halves.groupBy("block").applyInPandas(_added, _PARTS).collect(), key=lambda r: r.block)
-        network = shaped(np.concatenate([np.frombuffer(r.sums) / r.weight for r in rows]))
+        sums = sorted(halves.groupBy("block").applyInPandas(_added, _PARTS).collect(), key=lambda r: r.block)
+        # A turn without targets (a corpus of one word) leaves the network as it is.
+        if sums and sums[0].weight:
+            network = shaped(np.concatenate([np.frombuffer(r.sums) / r.weight for r in sums]), clusters)
     return network
 
 
-def scored(words: DataFrame, network: dict[str, np.ndarray]) -> DataFrame:
-    """(doc, n, total): the sum of log-probabilities of each row of ``numbered``."""
-    shared = words.sparkSession.sparkContext.broadcast(flat(network))
+def _sharing(batches):
+    """(shard, word): distinct words of each shard in a batch that share a class."""
+    for batch in batches:
+        lists = texts_of(batch.column(1))
+        word = np.frombuffer(b"".join(lists), "<i8")
+        shard = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in lists])
+        order = np.lexsort((word, shard))
+        word, shard = word[order], shard[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (shard[1:] != shard[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(shard[new], pa.int32()), pa.array(word[new], pa.int64())], ["shard", "word"])
 
-    def run(batches):
-        own = shaped(shared.value)
-        for batch in batches:
-            lists = texts_of(batch.column(2))
-            sums = np.zeros(len(lists))
-            step = max(1, len(lists))
-            start = 0
-            while start < len(lists):
-                end, size = start, 0
-                while end < len(lists) and (end == start or size + len(lists[end]) < 400_000):
-                    size += len(lists[end])
-                    end += 1
-                ids, owner = _joined(lists[start:end])
-                if len(ids):
-                    sums[start:end] = np.bincount(owner, log_probabilities(own, ids, owner), end - start)
-                start = min(end, start + step)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sums)], ["doc", "n", "total"])
-
-    return words.select("doc", "n", "ids").mapInArrow(run, f"doc {words.schema['doc'].dataType.simpleString()}, n long, total double")
+
+def scored(rows: DataFrame, counts: DataFrame, words: Vocabulary, network: dict[str, np.ndarray]) -> DataFrame:
+    """(doc, n, total): the sum of log-probabilities of each row of ``numbered``."""
+    context = rows.sparkSession.sparkContext
+    shared, known = context.broadcast(flat(network)), context.broadcast(words)
+    kind = rows.schema["doc"].dataType.simpleString()
+
+    def score(docs: pa.Table, numbers: pa.Table) -> pa.Table:
+        vocabulary = known.value
+        own = shaped(shared.value, vocabulary.clusters)
+        found, often = numbers.column("word").to_numpy(), numbers.column("n").to_numpy()
+        order = np.argsort(found)
+        found, often = found[order], np.log(often[order].astype(np.float64))
+        lists, hashes = (texts_of(docs.column(name).combine_chunks()) for name in ("ids", "shared"))
+        sums = np.zeros(len(lists))
+        start = 0
+        while start < len(lists):
+            end, size = start, 0
+            while end < len(lists) and (end == start or size + len(lists[end]) < 800_000):
+                size += len(lists[end])
+                end += 1
+            ids, owner = _joined(lists[start:end])
+            if len(ids):
+                sums[start:end] = np.bincount(owner, log_probabilities(own, ids, owner), end - start)
+            word = np.frombuffer(b"".join(hashes[start:end]), "<i8")
+            if len(word):
+                owner = np.repeat(np.arange(end - start), [len(x) // 8 for x in hashes[start:end]])
+                group = vocabulary.occurrences[np.mod(word, len(vocabulary.occurrences))]
+                share = often[np.searchsorted(found, word)] - np.log(group.astype(np.float64))
+                sums[start:end] += np.bincount(owner, share, end - start)
+            start = end
+        return pa.table({"doc": docs.column("doc"), "n": docs.column("n"), "total": pa.array(sums)})
+
+    wanted = rows.select("shard", "shared").mapInArrow(_sharing, "shard int, word long").distinct()
+    numbers = wanted.join(counts, "word").select("shard", "word", "n")
+    docs = rows.select("shard", "doc", "n", "ids", "shared")
+    return docs.groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(score, f"doc {kind}, n long, total double")
 
 
 def pseudo_likelihood(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum) and mean_log_likelihood of every row."""
     prepare(df.sparkSession)
-    words = written(numbered(df, ident, text), "lm-words")
-    out = scored(words, fitted(words))
+    counts = written(word_counts(df, text), "lm-counts")
+    words = vocabulary(counts)
+    rows = written(numbered(df, ident, text, words), "lm-words")
+    out = scored(rows, counts, words, fitted(rows, words.clusters))
     return out.select(
         F.col("doc").alias(ident),
         F.col("n").alias("n_tokens"),
