@@ -269,6 +269,18 @@ def test_bpe(docs, empty, ranks):
     assert bpe.encoded(empty, ranks, public_tokenizers.PATTERN, ["doc_id"]).count() == 0
 
 
+def test_bpe_at_spaces_beside_other_white_space(ranks):
+    table = bpe.parse_ranks(ranks)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    encoder = bpe.Encoder(table, public_tokenizers.PATTERN)
+    texts = ["foo \xa0 \xa0 bar", "foo \xa0 \xa0bar", "\xa0 \xa0", " \xa0 \xa0 ", "a \n b", "a \xa0 \n \xa0 b c", "a  b \xa0 c", "a ", " a"]
+    draw = random.Random(3)
+    parts = ["a", "1", "!", " ", " ", "\xa0", "\xa0 \xa0", "\n", "\t", "\u2003", "\x1c", "é"]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(1, 14))) for _ in range(20_000)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text), repr(text)
+
+
 def test_utf8_stream():
     data = "aé中😀\x00z".encode() + b"\xff\xe4\xb8" + "ß".encode() + b"\xf0\x9f"
     for step in (1, 2, 3, 5):
