@@ -203,6 +203,36 @@ def test_rules(docs, labels, empty):
     assert rules.quality_verdicts(empty, labels).count() == 0
 
 
+def test_rules_reject_planted_junk(spark):
+    """Proven cutoffs reject what the base rule lets pass, in large strata and, pooled, in small ones."""
+    draw = random.Random(4)
+    sizes = {"en": 900, "de": 400, "ia": 170, "eo": 170}
+    rows, good = [], {}
+    for lang, size in sizes.items():
+        for _ in range(size):
+            good[len(rows)] = lang
+            rows.append((len(rows), " ".join(draw.choice(VOCABULARY) for _ in range(draw.randint(80, 120))), lang))
+    junk = {}
+    for lang in ("en", "de", "ia", "eo", "none", None):
+        for _ in range(5):
+            junk[len(rows)] = lang
+            rows.append((len(rows), " ".join(f"{draw.choice(VOCABULARY)}##$$%%" for _ in range(90)), lang))
+    texts = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(len(rows))], "doc_id long, quality int")
+    got = {r.doc_id: r for r in rules.quality_verdicts(texts, labels).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    for doc, lang in junk.items():
+        assert got[doc].kept == (lang in ("none", None)) and ("symbols" in got[doc].rejected_by) == (not got[doc].kept)
+    assert sum(not got[doc].kept for doc in good) <= rules.RISK * len(good)
+
+
+def test_proposed_cutoffs_never_get_looser():
+    path = rules.proposed([0] * 10 + [1, 2, 5, 9, 40] + [100] * 25, 100, 0.02)
+    assert path == sorted(path, reverse=True) and len(path) == rules.LOOSER + 1 + rules.SHARES
+    assert path[rules.LOOSER] == 2.0 ** (-9 / 4) and path[-1] == 2.0 ** (-11 / 4)
+    assert (1 - 0.02) ** rules.least_total(0.02, 0.01) <= 0.01 < (1 - 0.02) ** (rules.least_total(0.02, 0.01) - 1)
+
+
 def test_binomial_tail():
     from math import comb
 

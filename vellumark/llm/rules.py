@@ -1,10 +1,16 @@
 """Quality rules whose cutoffs carry a guarantee on false rejections.
 
 ``rule_counts`` measures each text. ``risk_controlled_cutoffs`` looks, per
-stratum and rule, for the strictest cutoff whose share of wrongly rejected good
-documents is at most ``risk``: an exact (Clopper-Pearson) upper bound on the
-rejections among labelled good holdout documents, at a confidence shared among
-all cutoffs tried (Bonferroni). ``apply_cutoffs`` gives the verdicts.
+stratum, for the strictest cutoffs with which all rules together wrongly reject
+at most the share ``risk`` of good documents. A quarter of the labelled good
+holdout documents, by a hash of doc_id, proposes a sequence of cutoffs from loose
+to strict; the others test it in that order with an exact (Clopper-Pearson) upper
+bound on the documents that any rule rejects, up to the first step that fails. Such
+a fixed sequence needs no correction for its steps; the confidence is shared among
+the strata and their pool. ``with_verdict`` gives the verdicts.
+
+Strata with too few documents to prove anything are pooled: they get the cutoffs
+that hold for all of them taken together, not for each.
 
 Null or empty texts have no words and fail the base rule. A stratum without a
 cutoff that can be proven rejects nothing beyond the base rule; so does a null
@@ -36,6 +42,12 @@ COUNTS = ", ".join(f"{name} long" for name in COUNT_NAMES)
 RISK = 0.02
 DELTA = 0.05
 STEPS = 40
+# One document in so many proposes cutoffs; the first step is so many grid steps looser than
+# what rejects none of them, and the last ones reject up to RISK of them by each rule.
+PROPOSING = 4
+LOOSER = 12
+SHARES = 8
+SEED = 23
 
 
 def _repeated_words(ids: np.ndarray, size: int) -> int:
@@ -128,45 +140,102 @@ def proven(bad: int, total: int, risk: float, delta: float) -> bool:
     return bad <= risk * total and binomial_tail(bad, total, risk) <= delta
 
 
+def least_total(risk: float, delta: float) -> int:
+    """The number of documents of which none may be rejected to prove ``risk``; with fewer nothing can be proven."""
+    return math.ceil(math.log(delta) / math.log1p(-risk))
+
+
+def proposed(above: list[int], total: int, risk: float) -> list[float]:
+    """Cutoffs of a rule from loose to strict; ``above`` has the documents above each grid step."""
+
+    def strictest(share: float) -> int:
+        return max((i for i, n in enumerate(above) if n <= share * total), default=-1)
+
+    none = strictest(0.0)
+    steps = [*range(none - LOOSER, none + 1), *(strictest(risk * k / SHARES) for k in range(1, SHARES + 1))]
+    return [2.0 ** (-i / 4) for i in steps]
+
+
 def risk_controlled_cutoffs(
-    good: DataFrame, stratum: str, values: dict[str, Column], risk: float = RISK, delta: float = DELTA, steps: int = STEPS
+    good: DataFrame,
+    stratum: str,
+    values: dict[str, Column],
+    risk: float = RISK,
+    delta: float = DELTA,
+    steps: int = STEPS,
+    ident: str = "doc_id",
 ) -> DataFrame:
     """(stratum, rule, cutoff) from good holdout documents; values above the cutoff are rejected.
 
-    The cutoffs tried are fixed beforehand: a grid of ``steps`` values that
-    halve the distance to 0 every four steps. Only counts per stratum, rule and
-    grid step leave the executors.
+    Cutoffs come from a grid of ``steps`` values that halve the distance to 0 every
+    four steps. Only counts per stratum, rule and step leave the executors.
     """
     grid = [2.0 ** (-i / 4) for i in range(steps)]
-    rules = list(values)
-    long = good.select(
-        F.col(stratum).alias("stratum"),
-        F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), values[r].alias("value")) for r in rules))).alias("x"),
-    ).select("stratum", "x.rule", "x.value")
-    tallies = (
-        long.filter(F.col("stratum").isNotNull())
-        .groupBy("stratum", "rule")
-        .agg(F.count("*").alias("total"), *(F.count_if(F.col("value") > g).alias(f"above_{i}") for i, g in enumerate(grid)))
+    tests = F.pmod(F.xxhash64(ident, F.lit(SEED)), F.lit(PROPOSING)) > 0
+    held = good.filter(F.col(stratum).isNotNull()).select(
+        F.col(stratum).alias("stratum"), tests.alias("tests"), F.array(*values.values()).alias("value")
+    )
+    sizes = held.groupBy("stratum").agg(F.count_if("tests").alias("tested"))
+    each_delta = delta / (sizes.count() + 1)
+    small = F.col("tested") < least_total(risk, each_delta)
+    # The pool is the group without a member.
+    groups = sizes.select(F.col("stratum").alias("of"), F.when(~small, F.col("stratum")).alias("member"))
+    held = held.join(groups, F.col("stratum") == F.col("of")).select("member", "tests", "value")
+    long = held.filter("not tests").select("member", F.posexplode("value").alias("rule", "value"))
+    tallies = long.groupBy("member", "rule").agg(
+        F.count("*").alias("total"), *(F.count_if(F.col("value") > g).alias(f"above_{i}") for i, g in enumerate(grid))
+    )
+    kind = good.schema[stratum].dataType.simpleString()
+
+    def propose(batches):
+        for frame in batches:
+            rows = [
+                (row.member, row.rule, proposed([int(getattr(row, f"above_{i}")) for i in range(steps)], int(row.total), risk))
+                for row in frame.itertuples(index=False)
+            ]
+            yield type(frame)(rows, columns=["member", "rule", "path"])
+
+    paths = (
+        tallies.mapInPandas(propose, f"member {kind}, rule int, path array<double>")
+        .groupBy(F.col("member").alias("path_of"))
+        .agg(F.sort_array(F.collect_list(F.struct("rule", "path"))).alias("paths"))
+    )
+    length = LOOSER + 1 + SHARES
+    # The number of steps that do not reject a document: paths never get looser.
+    passed = F.array_min(
+        F.zip_with("value", "paths", lambda value, rule: F.size(F.filter(rule["path"], lambda cutoff: cutoff >= value)))
+    )
+    tested = (
+        held.filter("tests")
+        .join(paths, F.col("member").eqNullSafe(F.col("path_of")))
+        .select("member", passed.alias("passed"))
+        .groupBy("member")
+        .agg(F.count("*").alias("total"), *(F.count_if(F.col("passed") <= i).alias(f"bad_{i}") for i in range(length)))
     )
-    strata = tallies.select("stratum").distinct().count()
-    each_risk = risk / len(rules)
-    each_delta = delta / max(1, strata * len(rules) * steps)
 
     def choose(batches):
         for frame in batches:
             rows = []
             for row in frame.itertuples(index=False):
-                safe = [
-                    g
-                    for i, g in enumerate(grid)
-                    if proven(int(getattr(row, f"above_{i}")), int(row.total), each_risk, each_delta)
-                ]
-                if safe:
-                    rows.append((row.stratum, row.rule, min(safe)))
-            yield type(frame)(rows, columns=["stratum", "rule", "cutoff"])
-
-    kind = good.schema[stratum].dataType.simpleString()
-    return tallies.mapInPandas(choose, f"stratum {kind}, rule string, cutoff double")
+                step = 0
+                while step < length and proven(int(getattr(row, f"bad_{step}")), int(row.total), risk, each_delta):
+                    step += 1
+                if step:
+                    rows.append((row.member, step - 1))
+            yield type(frame)(rows, columns=["member", "step"])
+
+    chosen = tested.mapInPandas(choose, f"member {kind}, step int")
+    names = F.array(*map(F.lit, values))
+    return (
+        chosen.join(paths, F.col("member").eqNullSafe(F.col("path_of")))
+        .select(F.col("member").alias("group"), "step", F.explode("paths").alias("x"))
+        .join(groups, F.col("group").eqNullSafe(F.col("member")))
+        .select(
+            F.col("of").alias("stratum"),
+            F.element_at(names, F.col("x.rule") + 1).alias("rule"),
+            F.element_at("x.path", F.col("step") + 1).alias("cutoff"),
+        )
+    )
 
 
 def with_verdict(counted: DataFrame, stratum: Column, cutoffs: DataFrame, values: dict[str, Column]) -> DataFrame:
