@@ -128,6 +128,17 @@ def test_near_duplicates(docs, empty):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, *range(4, 12)]
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    draw = random.Random(9)
+    a, b, c, d = (" ".join(draw.choice(VOCABULARY) for _ in range(100)) for _ in range(4))
+    rows = [(5, a), (5, b), (9, b), (7, c), (7, c + " tail"), (8, d), (8, d), (-3, None), (-3, d)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in neardup.near_duplicates(texts).collect())
+    assert got == [(-3, -3), (-3, -3), (5, 5), (5, 5), (7, 7), (7, 7), (8, -3), (8, -3), (9, 5)]
+    kept = {tuple(r) for r in neardup.first_of_each_class(texts).collect()}
+    assert {(5, a), (5, b), (-3, None), (-3, d)} < kept and len(kept) == 5 and {doc for doc, _ in kept} == {-3, 5, 7}
+
+
 def family(draw, base, first, copies, most):
     """Copies of a text with up to ``most`` words changed, some of them cut short."""
     rows = []

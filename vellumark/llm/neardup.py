@@ -25,7 +25,8 @@ than all components found so far.
 
 Texts of fewer than five words are one shingle; texts without words are alike only if equal.
 Null texts are a class of their own each. A class is named by its smallest doc_id. Rows
-that repeat a doc_id count as one document; rows without a doc_id have no class.
+that repeat a doc_id count as one document, so classes of its texts are joined; rows without a
+doc_id have no class.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHash, as_signed, chunks, discard, gram_hashes, mix, prepare, release, texts_of, written
@@ -314,18 +315,32 @@ def candidates_by_deviation(rows: DataFrame) -> DataFrame:
     return meeting.select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).unionByName(alike.select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y")))
 
 
-def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, class) for every row of ``df``."""
+def text_digest(ident: Column, body: Column) -> Column:
+    """Equal for equal texts. A null text is like no other text."""
+    return F.when(body.isNull(), F.concat(F.lit("null "), ident.cast("string"))).otherwise(F.sha2(body, 256))
+
+
+def similar_texts(df: DataFrame, ident: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc, digest) for every row of ``df``, and (digest, first, item, class) for every text.
+
+    ``first`` is the smallest document with the text. It stands for the text as
+    its item; a document that is the smallest of several texts does so for one of
+    them, and the others have a hash.
+    """
     spark = prepare(df.sparkSession)
     body = F.col(text)
-    # A null text is like no other text.
-    digest = F.when(body.isNull(), F.concat(F.lit("null "), F.col(ident).cast("string"))).otherwise(F.sha2(body, 256))
+    digest = text_digest(F.col(ident), body)
     plain = df.select(F.col(ident).cast("long").alias("doc"), digest.alias("digest"), F.coalesce(body, F.lit("")).alias("body"))
     every = written(with_signatures(plain.filter("doc is not null")), "near-signatures")
-    items = written(
-        every.groupBy("digest").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"), F.first("brief").alias("brief")), "near-items"
-    ).dropDuplicates(["doc"])
-    texts = plain.filter("doc is not null").select("doc", "body").join(items.select("doc"), "doc", "left_semi").dropDuplicates(["doc"])
+    firsts = every.groupBy("digest").agg(F.min("doc").alias("first"), F.first("bands").alias("bands"), F.first("brief").alias("brief"))
+    turn = F.row_number().over(Window.partitionBy("first").orderBy("digest"))
+    items = written(firsts.withColumn("doc", F.when(turn == 1, F.col("first")).otherwise(F.xxhash64("digest"))), "near-items")
+    named = items.select(F.col("first"), F.col("digest").alias("of"), F.col("doc").alias("item"))
+    texts = (
+        plain.join(named, (F.col("doc") == F.col("first")) & (F.col("digest") == F.col("of")))
+        .select(F.col("item").alias("doc"), "body")
+        .dropDuplicates(["doc"])
+    )
     buckets = items.select("doc", F.posexplode("bands").alias("band", "hash"))
     size = buckets.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
     crowded = written(buckets.join(size, ["band", "hash"]), "near-crowded")
@@ -371,10 +386,29 @@ def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") ->
     found = written(verified(last, items, texts), "near-links")
     if not found.isEmpty():
         known = written(classes(links.unionByName(found)), "near-classes")
-    named = items.select("digest", F.col("doc").alias("item")).join(known, F.col("item") == F.col("doc"), "left").select(
-        "digest", F.coalesce("class", "item").alias("class")
+    placed = items.select("digest", "first", F.col("doc").alias("item")).join(known, F.col("item") == F.col("doc"), "left").select(
+        "digest", "first", "item", F.coalesce("class", "item").alias("class")
     )
-    return every.select("doc", "digest").join(named, "digest").select("doc", "class")
+    return every.select("doc", "digest"), written(placed, "near-placed")
+
+
+def similar_classes(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, class) for every row of ``df``."""
+    every, placed = similar_texts(df, ident, text)
+    # Documents with several texts join the classes of these.
+    lead = every.groupBy("doc").agg(F.min("digest").alias("lead"), F.max("digest").alias("last")).filter("lead < last").select("doc", "lead")
+    same = every.join(lead, "doc").filter("digest <> lead").select("digest", "lead").distinct()
+    held = placed.select("digest", F.col("class").alias("a"))
+    other = placed.select(F.col("digest").alias("lead"), F.col("class").alias("b"))
+    same = written(same.join(held, "digest").join(other, "lead").select("a", "b").filter("a <> b").distinct(), "near-same")
+    if not same.isEmpty():
+        joined = classes(same).select(F.col("doc").alias("class"), F.col("class").alias("joined"))
+        placed = placed.join(joined, "class", "left").withColumn("class", F.coalesce("joined", "class")).drop("joined")
+    names = placed.groupBy("class").agg(F.min("first").alias("name"))
+    # Only a class with an item that is no document may have another name than its number.
+    renamed = names.filter("name <> class")
+    placed = placed.join(renamed, "class", "left").select("digest", F.coalesce("name", "class").alias("class"))
+    return every.join(placed, "digest").select("doc", "class")
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -385,9 +419,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
 
 def first_of_each_class(df: DataFrame) -> DataFrame:
-    """The documents that name their class, once each; rows without a doc_id stay."""
-    keep = similar_classes(df).filter("doc = class").select(F.col("doc").alias("kept_id")).distinct()
+    """One row of each class of similar texts, of its smallest doc_id; rows without a doc_id stay.
+
+    A document with several texts that are not similar has a row for each that it is first to have.
+    """
+    _, placed = similar_texts(df)
+    keep = placed.groupBy("class").agg(F.min(F.struct("first", "digest")).alias("kept")).select("kept.*").toDF("kept_id", "kept_digest")
     whole = df.select(F.struct(*df.columns).alias("row"))
     named = whole.filter("row.doc_id is not null").withColumn("ident", F.col("row.doc_id").cast("long"))
-    chosen = named.join(keep, F.col("ident") == F.col("kept_id"), "left_semi").dropDuplicates(["ident"])
+    named = named.withColumn("digest", text_digest(F.col("row.doc_id"), F.col("row.text")))
+    same = (F.col("ident") == F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    chosen = named.join(keep, same, "left_semi").dropDuplicates(["ident", "digest"])
     return chosen.select("row.*").unionByName(whole.filter("row.doc_id is null").select("row.*"))
