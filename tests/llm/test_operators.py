@@ -281,6 +281,21 @@ def test_mixing(docs, empty):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_keep_rows_without_an_id(spark):
+    draw = random.Random(6)
+    rows = [(None if i % 2 or i < 200 else i, " ".join(draw.choices(VOCABULARY, k=50)), "abc"[i % 3]) for i in range(900)]
+    rows.append((None, None, "a"))
+    own = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {r.source: r.target for r in mixing.mixed(own).select("source", "target").distinct().collect()}
+    got = mixing.mixed_documents(own).collect()
+    assert {tuple(r) for r in got} <= set(rows) and any(r.doc_id is None for r in got)
+    words_of = Counter()
+    for r in got:
+        words_of[r.source] += len(split(r.text))
+    for source, wanted in target.items():
+        assert abs(words_of[source] - wanted) <= 0.1 * wanted
+
+
 def test_permutation():
     for size in (1, 2, 3, 17, 64, 1000):
         at = mixing.permuted(np.arange(size), np.full(size, size), np.full(size, 12345, np.uint64))

@@ -104,21 +104,21 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, passe
 def positioned(sizes: DataFrame) -> DataFrame:
     """Add ``start``: the document's first word in the stream of its source.
 
-    ``sizes`` has doc_id, source and size, and no empty documents. A source is
-    cut into chunks by a hash of doc_id, so no window holds a whole source: the
-    chunks are summed first, then the documents of each chunk.
+    ``sizes`` has doc_id, source, mark (a hash of the text) and size, and no empty
+    documents. A source is cut into chunks by a hash of doc_id and mark, so no window
+    holds a whole source: the chunks are summed first, then the documents of each chunk.
     """
     chunks = shards_for(sizes.sparkSession, sizes.count(), DOCUMENTS_PER_CHUNK)
-    dealt = sizes.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(chunks)))
+    dealt = sizes.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark", F.lit(SEED)), F.lit(chunks)))
     running = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("source", "chunk").agg(F.sum("size").alias("words")).select(
         F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("words").over(running), F.lit(0)).alias("before")
     ).hint("merge")
-    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "mark", "size").rowsBetween(Window.unboundedPreceding, -1)
     return (
         dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
-        .select("doc_id", "source", "size", (F.col("before") + F.col("inside")).alias("start"))
+        .select(*sizes.columns, (F.col("before") + F.col("inside")).alias("start"))
     )
 
 
@@ -180,10 +180,11 @@ def block_takes(targets: DataFrame, block: int = BLOCK_WORDS, passes: int = MAX_
     return slots.groupBy("source", "block").agg(F.count("*").alias("times"))
 
 
-def mixed(df: DataFrame, block: int = BLOCK_WORDS, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken of every document of ``df``."""
-    counted = word_counts(df, ["doc_id", "source"]).select("row.doc_id", "row.source", "size")
-    sizes = written(counted, "mix-sizes")
+def _taken(df: DataFrame, keys: list[str], block: int, weights: tuple[float, ...]) -> DataFrame:
+    """doc_id, source, mark, the columns ``keys``, size, source_size, target and taken of every row of ``df``."""
+    names = ["doc_id", "source", "mark", *keys]
+    marked = df.select("doc_id", "source", "text", F.xxhash64("text").alias("mark"), *keys)
+    sizes = written(word_counts(marked, names).select("row.*", "size"), "mix-sizes")
     targets = written(source_targets(sizes, weights), "mix-targets")
     streams = positioned(sizes.filter("size > 0"))
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
@@ -193,13 +194,16 @@ def mixed(df: DataFrame, block: int = BLOCK_WORDS, weights: tuple[float, ...] =
     )
     takes = block_takes(targets, block).select(F.col("source").alias("s"), F.col("block").alias("b"), "times").hint("merge")
     joined = pieces.join(takes, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
-    taken = joined.groupBy("doc_id", "source", "size", "start").agg(
-        F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).alias("taken")
-    )
-    rest = sizes.filter("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
+    taken = joined.groupBy(*names, "size", "start").agg(F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).alias("taken"))
+    rest = sizes.filter("size = 0").select(*names, "size", F.lit(0).cast("long").alias("taken"))
     every = taken.drop("start").unionByName(rest)
     named = targets.select(F.col("source").alias("s"), "source_size", "target")
-    return every.join(named, F.col("source").eqNullSafe(F.col("s")), "left").select(
+    return every.join(named, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+
+def mixed(df: DataFrame, block: int = BLOCK_WORDS, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken of every document of ``df``."""
+    return _taken(df, [], block, weights).select(
         "doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken")
     )
 
@@ -207,17 +211,17 @@ def mixed(df: DataFrame, block: int = BLOCK_WORDS, weights: tuple[float, ...] =
 def mixed_documents(df: DataFrame) -> DataFrame:
     """The documents of the mix, whole: each repeated about taken / size times, at most three times.
 
-    The fraction left by whole passes decides by a hash of doc_id, so the words
-    of a source still come near its target.
+    The fraction left by whole passes decides by a hash of doc_id and text, so the
+    words of a source still come near its target. Every row is a document of its
+    own, with or without a doc_id; rows without words are not in the mix.
     """
-    copies = F.floor(F.col("taken") / F.col("size") + F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) / F.lit(1 << 20))
+    rows = written(df.select(F.struct(*df.columns).alias("row"), F.monotonically_increasing_id().alias("place")), "mix-rows")
+    share = F.pmod(F.xxhash64("doc_id", "mark", F.lit(SEED)), F.lit(1 << 20)) / F.lit(1 << 20)
+    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + share).cast("int")
     chosen = (
-        mixed(df)
-        .filter("size > 0 and doc_id is not null")
-        .select("doc_id", copies.cast("int").alias("copies"))
-        .groupBy(F.col("doc_id").alias("chosen"))
-        .agg(F.max("copies").alias("copies"))
+        _taken(rows.select("row.doc_id", "row.source", "row.text", "place"), ["place"], BLOCK_WORDS, WEIGHTS)
+        .filter("size > 0")
+        .select("place", copies.alias("copies"))
         .filter("copies > 0")
     )
-    out = df.select(F.struct(*df.columns).alias("row")).join(chosen, F.col("row.doc_id") == F.col("chosen"))
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    return rows.join(chosen, "place").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
