@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, knn, mixing, neardup, phrases, pseudo, rules, suffixes, warc
+from . import bpe, classifier, knn, merkle, mixing, neardup, packing, phrases, pseudo, rules, suffixes, trie, warc
 from .common import documents, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,27 @@ def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     return pseudo.pseudo_likelihood(documents(spark, folder))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(merkle.manifest(documents(spark, folder)))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, folder, "conversations")).drop("name", "parent")
+
+
+def op13_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    out = packing.packed_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _crc32_sql(number: str) -> str:
+    """DuckDB expression for the CRC-32 of a number's decimal text, one bit at a time."""
+    codes = f"[CAST(ascii(c) AS BIGINT) for c in string_split(CAST({number} AS VARCHAR), '')]"
+    step = "lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"lambda crc, code: list_reduce(list_prepend(xor(crc, code), CAST(range(8) AS BIGINT[])), {step})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {byte}), 4294967295)"
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -82,6 +103,9 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_mixing,
         op10_pseudo_likelihood,
+        op11_merkle_manifest,
+        op12_prefix_trie,
+        op13_packed_ids,
     )
 }
 
@@ -158,5 +182,88 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM firsts
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         text, CASE WHEN {_crc32_sql("doc_id")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents
+), leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS other_leaf
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), levels AS (
+  SELECT tree, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY tree) AS size FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (any_value(size) + 2) // 3
+  FROM levels WHERE size > 1 GROUP BY tree, level, place // 3
+), subroots AS (
+  SELECT tree, node AS subroot, level AS top_level, row_number() OVER (ORDER BY tree) - 1 AS place FROM levels WHERE size = 1
+), tops AS (
+  SELECT 0 AS level, place, subroot AS node, (SELECT count(*) FROM subroots) AS size FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (any_value(size) + 2) // 3
+  FROM tops WHERE size > 1 GROUP BY level, place // 3
+), nodes AS (
+  SELECT tree, level, place, node FROM levels WHERE size > 1
+  UNION ALL
+  SELECT NULL, level, place, node FROM tops WHERE size > 1
+), runs AS (
+  SELECT tree, level, place // 3 AS run, list(node ORDER BY place) AS members FROM nodes GROUP BY tree, level, place // 3
+), steps AS (
+  SELECT p.doc_id, p.tree, r.level AS step, r.members, p.place // CAST(pow(3, r.level) AS BIGINT) % 3 AS spot
+  FROM placed p JOIN runs r ON r.tree = p.tree AND r.run = p.place // CAST(pow(3, r.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT p.doc_id, p.tree, s.top_level + r.level, r.members, s.place // CAST(pow(3, r.level) AS BIGINT) % 3
+  FROM placed p JOIN subroots s ON s.tree = p.tree JOIN runs r ON r.tree IS NULL AND r.run = s.place // CAST(pow(3, r.level + 1) AS BIGINT)
+), climbs AS (
+  SELECT doc_id, tree, 0 AS step, other_leaf AS node FROM placed
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.step + 1,
+         sha256(array_to_string(s.members[: s.spot] || [c.node] || s.members[s.spot + 2 :], ''))
+  FROM climbs c JOIN steps s ON s.doc_id = c.doc_id AND s.tree = c.tree AND s.step = c.step
+), folded AS (
+  SELECT doc_id, tree, arg_max(node, step) AS folded_root FROM climbs GROUP BY doc_id, tree
+), proofs AS (
+  SELECT doc_id, tree, sha256(string_agg(array_to_string(members[: spot] || members[spot + 2 :], ''), '' ORDER BY step)) AS proof_sha256
+  FROM steps GROUP BY doc_id, tree
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.node AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.folded_root,
+       f.folded_root = t.node AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN folded f ON f.doc_id = p.doc_id AND f.tree = p.tree
+LEFT JOIN proofs q ON q.doc_id = p.doc_id AND q.tree = p.tree
+CROSS JOIN (SELECT node FROM tops WHERE size = 1) t
+""",
+    "op12_prefix_trie": rf"""
+WITH lists AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT l.conv_id, l.turns, coalesce(d.turns, []) AS donor, CAST({_crc32_sql("l.conv_id")} % 4 AS INTEGER) AS h
+  FROM lists l LEFT JOIN lists d ON d.conv_id = l.conv_id - l.conv_id % 20
+), rebuilt AS (
+  SELECT conv_id, donor[1 : h] || turns[h + 1 :] AS turns FROM heads
+), prefixes AS (
+  SELECT conv_id, d AS depth, turns[1 : d] AS prefix, d = len(turns) AS ended
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '') AS ends
+  FROM prefixes GROUP BY prefix
+), sized AS (
+  SELECT *, CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[1 : n.depth] = n.prefix) AS n_children
+  FROM nodes n
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, any_value(p.conv_id) AS parent_conv_id, any_value(n.n_convs) AS n_convs,
+       any_value(n.n_children) AS n_children, CAST(count_if(b.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens,
+       sha256(any_value(n.ends)) AS ends_sha256
+FROM sized n JOIN sized b ON b.depth >= n.depth AND b.prefix[1 : n.depth] = n.prefix
+LEFT JOIN sized p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1 : n.depth - 1]
+GROUP BY n.prefix, n.depth, n.conv_id
 """,
 }
