@@ -194,14 +194,23 @@ TEXTS = [
 ]
 
 
-def test_piecewise_ids_are_those_of_the_library(monkeypatch):
-    monkeypatch.setattr(packing, "SLICE_BYTES", 50)
-    encoder, whole = packing.PieceEncoder(TOKENIZER, limit=5), Tokenizer.from_file(TOKENIZER)
-    letters = "aB 's.́é\n\tΣ漢😀1<|>  İß"
-    texts = [t or "" for t in TEXTS] + ["".join(DRAW.choices(letters, k=DRAW.randint(1, 200))) for _ in range(500)]
-    for text in texts:
-        got = np.frombuffer(encoder(text.encode()), "<u4").tolist()
-        assert got == whole.encode(text, add_special_tokens=False).ids
+def test_piecewise_ids_are_those_of_the_library():
+    encoder, whole = packing.PieceEncoder(TOKENIZER, limit=50), Tokenizer.from_file(TOKENIZER)
+    assert encoder.cuts
+    letters = "aBéÉ '’s.,!?\u0301é\n\tΣ漢😀1<|>\u00a0\u2003İßŉſÞ×"
+    texts = TEXTS + ["".join(DRAW.choices(letters, k=DRAW.randint(1, 200))) for _ in range(2000)]
+    for start in range(0, len(texts), 7):
+        part = texts[start : start + 7]
+        got = [ids.tolist() for ids in encoder(pa.array(part, pa.string()))]
+        assert got == [whole.encode(text or "", add_special_tokens=False).ids for text in part]
+    assert encoder(pa.array([], pa.string())) == []
+
+
+def test_tokenizers_that_keep_white_space_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, whole = packing.PieceEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.cuts
+    assert [ids.tolist() for ids in encoder(pa.array(TEXTS))] == [whole.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
 
 
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 24, 31, 32])

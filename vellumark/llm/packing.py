@@ -1,8 +1,10 @@
 """Token ids in files of fixed-width bits, with random access.
 
-Encoding: texts are cut at ASCII white space, which no token crosses and which the
-tokenizer drops; each distinct piece is encoded by the tokenizers library once per
-worker (a bounded memo) and the ids of a text are joined from it.
+Encoding: where the tokenizer lowers case, drops white space and splits by a pattern, no token
+crosses white space. Texts are then cut at ASCII white space, a batch's distinct pieces found,
+and plain words taken apart from the points and commas behind them. The tokenizers
+library encodes each part once; a worker remembers parts up to a limit, and the ids of the
+texts are gathered from them by numpy. Every other tokenizer of that library encodes whole texts.
 
 Files: every id takes the bits that the largest id of the vocabulary needs, least
 significant bit first. ``BLOCK`` ids make a block, so each block starts at a byte; a
@@ -30,7 +32,6 @@ to fit in memory.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import uuid
 import zlib
@@ -39,6 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +48,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from tokenizers import Tokenizer
 
 from ..session import new_path
-from .common import discard, prepare, texts_of, written
+from .common import discard, prepare, written
 from .warc import _store
 
 MANIFEST = "_manifest.json"
@@ -55,10 +57,12 @@ BLOCK = 4096
 FILE_IDS = 1 << 27
 # Ids that a reader unpacks at a time, unless one document has more.
 READ_IDS = 1 << 19
-SLICE_BYTES = 1 << 20
-MEMO_PIECES = 600_000
+MEMO_PARTS = 1_200_000
+# How the tokenizer splits, by its file. And words of letters up to U+017F, all composed and of
+# fixed lower case (U+0130 becomes two characters), with points and commas behind them.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = "^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ſ]+)(?P<tail>[.,;:!?]*)$"
 _TAIL = struct.Struct("<QQIH4s")
-_GAP = re.compile(rb"[\x20\x09-\x0d]")
 
 ENCODED = "doc_id long, n_tokens long, packed binary"
 IDS_TYPES = {"bytes": "binary", "array": "array<int>"}
@@ -97,46 +101,74 @@ def unpack(data: bytes, width: int, count: int) -> np.ndarray:
     return out
 
 
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer composes, lowers case, and keeps only runs of letters, digits and other signs."""
+    with open(path, encoding="utf-8") as file:
+        kinds = json.load(file)
+    normal, split = kinds["normalizer"] or {}, kinds["pre_tokenizer"] or {}
+    if [n["type"] for n in normal.get("normalizers", [])] != ["NFC", "Replace", "Lowercase"]:
+        return False
+    steps = split.get("pretokenizers", [])
+    if [step["type"] for step in steps] != ["Split", "ByteLevel"] or steps[1]["use_regex"] or steps[1]["add_prefix_space"]:
+        return False
+    keeps = steps[0]["behavior"] == "Removed" and steps[0]["invert"] and steps[0]["pattern"] == {"Regex": SPLIT}
+    return keeps and normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+
+
 class PieceEncoder:
-    """Ids of texts from those of their pieces, little-endian and 4 bytes each."""
+    """Ids of a batch of texts, from those of their parts."""
 
-    def __init__(self, path: str, limit: int = MEMO_PIECES):
+    def __init__(self, path: str, limit: int = MEMO_PARTS):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.memo: dict[bytes, bytes] = {}
-
-    def __call__(self, text: bytes) -> bytes:
-        if len(text) <= SLICE_BYTES:
-            return self._slice(text)
-        parts, start = [], 0
-        while start < len(text):
-            gap = _GAP.search(text, start + SLICE_BYTES)
-            end = gap.start() if gap else len(text)
-            parts.append(self._slice(text[start:end]))
-            start = end
-        return b"".join(parts)
-
-    def _slice(self, text: bytes) -> bytes:
-        pieces = text.split()
-        try:
-            return b"".join(map(self.memo.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.memo) >= self.limit:
-            self.memo.clear()
-        self.learn(set(pieces) - self.memo.keys())
-        return b"".join(map(self.memo.__getitem__, pieces))
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Encode new pieces as one text; a token belongs to the piece in which it starts."""
-        names = list(pieces)
-        texts = [piece.decode("utf-8", "replace") for piece in names]
-        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        raw = np.array(encoding.ids, "<u4").tobytes()
+        self.known: dict[str, bytes] = {"": b""}
+        self.cuts = drops_white_space(path)
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.cuts:
+            return [np.frombuffer(self._ids(text)[0], "<u4") for text in texts.to_pylist()]
+        pieces = pc.ascii_split_whitespace(texts)
+        ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        named = pieces.flatten().dictionary_encode()
+        # A plain word and the signs behind it are two parts, any other piece is one.
+        halves = pc.extract_regex(named.dictionary, PLAIN)
+        plain = halves.is_valid()
+        words = pc.if_else(plain, pc.utf8_lower(pc.struct_field(halves, "word")), named.dictionary)
+        tails = pc.if_else(plain, pc.struct_field(halves, "tail"), "")
+        parts = pa.chunked_array([words, tails]).combine_chunks().dictionary_encode()
+        encoded = self._parts(parts.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        ids = np.frombuffer(b"".join(encoded), "<u4")
+        begins = np.cumsum(sizes) - sizes
+        # The parts of the texts in order, and from them the places of their ids.
+        part = parts.indices.to_numpy().reshape(2, -1)[:, named.indices.to_numpy()].T.ravel()
+        lengths = sizes[part]
+        after = np.concatenate([[0], np.cumsum(lengths)])
+        gathered = ids[np.repeat(begins[part] - after[:-1], lengths) + np.arange(after[-1])]
+        return np.split(gathered, after[2 * ends[1:-1]])[: len(texts)]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        known = self.known
+        new = [part for part in parts if part not in known]
+        if len(known) + len(new) > self.limit:
+            known.clear()
+            new = parts
+        known.update(zip(new, self._encode(new), strict=True))
+        return list(map(known.__getitem__, parts))
+
+    def _ids(self, text: str):
+        encoding = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(encoding.ids, "<u4").tobytes(), encoding
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without white space at their ends, encoded as one; a token belongs to the text in which it starts."""
+        if not texts:
+            return []
+        raw, encoding = self._ids(" ".join(texts))
         begins = np.cumsum([0, *[len(text) + 1 for text in texts]])
         first = 4 * np.searchsorted(np.array([start for start, _ in encoding.offsets], np.int64), begins)
-        for i, name in enumerate(names):
-            self.memo[name] = raw[first[i] : first[i + 1]]
+        return [raw[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -151,12 +183,12 @@ def worker_encoder(path: str) -> PieceEncoder:
 
 def encoded(docs: DataFrame, tokenizer: str, width: int, end_id: int | None, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, packed) per row, the end id included."""
-    end = b"" if end_id is None else struct.pack("<I", end_id)
+    end = np.array([] if end_id is None else [end_id], np.uint32)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
         for batch in batches:
-            ids = [np.frombuffer(encoder(t) + end, "<u4") for t in texts_of(batch.column(1))]
+            ids = [np.concatenate([x, end]) for x in encoder(batch.column(1))]
             packed = [pack(x, width) for x in ids]
             counts = pa.array([len(x) for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "packed"])
