@@ -468,3 +468,21 @@ def test_pseudo_likelihood_trains_on_every_place():
     for shard in range(3):
         places = np.concatenate([pseudo.targets(1001, shard, turn) for turn in range(pseudo.ROUNDS)])
         assert sorted(places.tolist()) == list(range(1001))
+
+
+def test_pseudo_likelihood_of_a_small_vocabulary_adds_up(spark):
+    """With ten words nearly all classes are empty; none of them takes probability from the words."""
+    draw = random.Random(6)
+    names = [f"v{i}" for i in range(10)]
+    own = spark.createDataFrame([(i, " ".join(draw.choices(names, k=200))) for i in range(20)], "doc_id long, text string")
+    known = pseudo.vocabulary(pseudo.word_counts(own, "text"))
+    network = pseudo.fitted(pseudo.numbered(own, "doc_id", "text", known), known.clusters)
+    ids = known.classes(as_signed_hashes(names))
+    for around in ([0, 1, 2, 3], [9, 9, 9, 9]):
+        places = [np.array([*ids[around[:2]], i, *ids[around[2:]]]) for i in ids]
+        total = sum(np.exp(pseudo.log_probabilities(network, p, np.zeros(5, np.int64))[2]) for p in places)
+        assert 0.999 < total < 1.001
+
+
+def as_signed_hashes(names):
+    return np.array([int(np.uint64(pseudo.WordHash()[w.encode()]).view(np.int64)) for w in names], np.int64)

@@ -49,6 +49,8 @@ WORDS_PER_SHARD = 2_000_000
 COUNTED_AT_ONCE = 2_000_000
 BLOCKS = 8
 SEED = 11
+# Bias of a class that no word has: its probability is 0, so training leaves it there.
+NEVER = -1e4
 
 
 class Vocabulary(NamedTuple):
@@ -133,6 +135,14 @@ def new_network(clusters: int, seed: int = SEED) -> dict[str, np.ndarray]:
     }
 
 
+def without_empty(network: dict[str, np.ndarray], used: np.ndarray) -> None:
+    """Take all probability from the classes that are not in ``used``, and from groups without any."""
+    empty = np.ones(network["lower_bias"].shape, bool)
+    empty.ravel()[used] = False
+    network["lower_bias"][empty] = NEVER
+    network["upper_bias"][empty.all(1)] = NEVER
+
+
 def flat(network: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([v.ravel() for v in network.values()])
 
@@ -277,6 +287,16 @@ def targets(size: int, shard: int, turn: int) -> np.ndarray:
     return np.arange((shard + turn) % ROUNDS, size, ROUNDS)
 
 
+def used_classes(rows: DataFrame) -> np.ndarray:
+    """The classes that occur in rows of ``numbered``; at most as many as the network has."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_joined(texts_of(batch.column(0)))[0]))], ["used"])
+
+    return np.array([r.used for r in rows.select("ids").mapInArrow(run, "used long").distinct().collect()], np.int64)
+
+
 _PARTS = "shard int, block int, weight double, sums binary"
 
 
@@ -310,6 +330,7 @@ def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
     """A network trained on all rows of ``numbered``."""
     spark = rows.sparkSession
     network = new_network(clusters)
+    without_empty(network, used_classes(rows))
     dealt = rows.filter("n > 0").select("shard", "doc", "ids")
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(flat(network))
