@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, similar_pairs
+from vellumark.operators.probing import Probing, likely_codes
+from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, pruning_report, similar_pairs
 
 
 def vectors(n, copies=0.0, seed=1):
@@ -87,3 +88,75 @@ def test_described(spark):
     )
     row = describe_pairs(similar_pairs(items, "v"), items).first().asDict()
     assert (row["left_title"], row["right_title"], row["right_topic_cluster"]) == ("A", "B", 1)
+
+
+def clustered(groups, size, spread, seed=3):
+    random = np.random.RandomState(seed)
+    centres = random.randn(groups, 16)
+    return {f"{i:05d}": centres[i % groups] + spread * random.randn(16) for i in range(groups * size)}
+
+
+@pytest.mark.parametrize("neighbours", [None, 3])
+def test_bounds_spare_far_blocks_and_change_nothing(spark, neighbours):
+    items = clustered(12, 40, 0.08)
+    found = similar_pairs(frame(spark, items), "v", neighbours=neighbours, block_rows=16)
+    assert pairs_of(found) == brute_force(items, 0.75, 0.7, neighbours)
+    report = pruning_report(frame(spark, items), "v", neighbours=neighbours, block_rows=16).first()
+    assert report["met"] <= report["block_pairs"] and report["skipped"] > 0.7
+
+
+def test_near_copies_that_tie_take_the_smallest_ids(spark):
+    random = np.random.RandomState(4)
+    base = random.randn(16)
+    items = {f"{i:04d}": base + (1e-6 if i % 2 else 0.0) * random.randn(16) for i in range(300)}
+    items |= {f"x{i}": random.randn(16) for i in range(20)}
+    assert pairs_of(similar_pairs(frame(spark, items), "v", block_rows=16)) == brute_force(items, 0.75, 0.7, 3)
+    report = pruning_report(frame(spark, items), "v", block_rows=16).first()
+    assert report["met"] < 6 * report["blocks"]
+
+
+def test_repeated_and_null_ids(spark):
+    a, b, c = [1.0, 0.0, 0.1], [1.0, 0.1, 0.0], [0.9, 0.2, 0.0]
+    rows = [("a", a), *[("b", b)] * 3, ("c", c), ("b", [0.0, 0.0, 1.0]), (None, a), (None, b), ("d", [0.0, 0.1, 1.0])]
+    table = spark.createDataFrame(rows, "content_id string, v array<double>")
+    for hashing in (None, Hashing(), WIDE_HASHING, Probing()):
+        for block_rows in (1, 2, 100):
+            found = {r[:2] for r in pairs_of(similar_pairs(table, "v", hashing=hashing, block_rows=block_rows))}
+            if hashing is None:
+                assert found == {("a", "b"), ("a", "c"), ("b", "c"), ("b", "d")}
+            assert found <= {("a", "b"), ("a", "c"), ("b", "c"), ("b", "d")}
+    assert similar_pairs(table.limit(0), "v").count() == 0
+    assert similar_pairs(table.limit(0), "v", hashing=Probing()).count() == 0
+
+
+def test_likely_codes_are_all_subsets_by_chance():
+    margins = np.array([[0.05, -0.3, 0.01], [2.0, 2.0, 2.0]])
+    row, code = likely_codes(margins, 0.7, 64, 0.999999)
+    assert code[row == 0][0] == 0b101 and code[row == 0][1] == 0b001
+    assert sorted(code[row == 0]) == list(range(8)) and list(code[row == 1]) == [0b111]
+    row, code = likely_codes(margins, 0.7, 64, 0.0)
+    assert list(code) == [0b101, 0b111]
+
+
+def test_probing_finds_planted_pairs_and_only_true_ones(spark):
+    random = np.random.RandomState(8)
+    items = {}
+    for i in range(250):
+        base, side = random.randn(64), random.randn(64)
+        base /= np.linalg.norm(base)
+        side -= side @ base * base
+        side /= np.linalg.norm(side)
+        angle = 2 * np.arcsin(0.7 / 2)
+        items[f"a{i:03d}"], items[f"b{i:03d}"] = base, np.cos(angle) * base + np.sin(angle) * side
+    every = brute_force(items, 0.75, 0.7, None)
+    found = pairs_of(similar_pairs(frame(spark, items), "v", hashing=Probing(), block_rows=32))
+    assert found <= every
+    planted = {(f"a{i:03d}", f"b{i:03d}") for i in range(250)}
+    assert len(planted & {pair[:2] for pair in found}) >= 0.95 * 250
+
+
+def test_probing_of_copies_splits_no_further(spark):
+    items = {f"{i:04d}": np.ones(6) for i in range(400)} | {f"x{i}": v for i, v in enumerate(vectors(50).values())}
+    found = pairs_of(similar_pairs(frame(spark, items), "v", hashing=Probing(tables=2), block_rows=16))
+    copies = {(f"{i:04d}", f"{j:04d}", 1.0) for i in range(400) for j in range(i + 1, min(i + 4, 400))}
+    assert copies <= found

@@ -1,17 +1,13 @@
 """Pairs of similar items by the distance of their unit vectors.
 
-The plain method compares an item with every later one; the hashed method only
-with items that share a bucket of a random-projection hash. Both run on blocks:
-each bucket is cut into blocks of consecutive ids of bounded size, a task
-compares two blocks with one matrix product, and only pairs that can be in the
-result leave the task. A bucket that holds a third of all items is so many
-blocks, never one group.
-
-With a neighbour limit a first pass compares each block with itself and the
-next. An item that already found its full number of neighbours of similarity 1
-there is settled, because any other such neighbour has a larger id and would
-rank behind. Copies, however many, are therefore done after that pass; what is
-left is regrouped and meets the remaining blocks of its bucket.
+The plain method compares blocks of items wherever bounds allow a pair. The probing
+method looks into the likeliest buckets of narrow hashes. The bucket method compares items that share
+a bucket of a random-projection hash; it runs on blocks too: each bucket is cut into
+blocks of consecutive ids of bounded size, a task compares two blocks with one matrix product, and
+only pairs that can be in the result leave the task. A bucket that holds a third of
+all items is so many blocks, never one group. In it, an item that found its full number of neighbours of similarity
+1 in its own block and the next is settled, because any other such neighbour has a larger
+id and would rank behind.
 """
 
 from __future__ import annotations
@@ -21,12 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise, ship_package
+from .blocks import best_pairs, exact_pairs, pair_columns, search
+from .probing import Probing, probed_pairs
 
 MAX_DISTANCE = 0.75
 MIN_COSINE = 0.7
@@ -130,40 +129,8 @@ def _search(left: pd.DataFrame, right: pd.DataFrame, limits: dict) -> pd.DataFra
     """Pairs within the limits, at most ``neighbours`` per left row if that is set."""
     right = right.sort_values("id", kind="stable")
     left_ids, right_ids = left["id"].to_numpy(object), right["id"].to_numpy(object)
-    left_units, right_units = np.vstack(left["unit"].to_numpy()), np.vstack(right["unit"].to_numpy())
-    first = np.searchsorted(right_ids, left_ids, side="right")
-    columns = np.arange(len(right_ids))
-    keep = limits["neighbours"]
-    found = []
-    for start in range(0, len(left_ids), 512):
-        rows = slice(start, start + 512)
-        squared = np.maximum(2.0 - 2.0 * (left_units[rows] @ right_units.T), 0.0)
-        units = np.floor((1.0 - squared / 2.0) * 10000 + 0.5).astype(np.int64)
-        distance = np.sqrt(squared)
-        valid = (
-            (columns >= first[rows, None])
-            & (distance < limits["max_distance"])
-            & (units >= round(limits["min_cosine"] * 10000))
-        )
-        if keep is not None and keep < len(right_ids):
-            # Higher similarity first, then the smaller id, as one number per pair.
-            rank = np.where(valid, units * len(columns) - columns, np.iinfo(np.int64).min)
-            best = np.argpartition(rank, -keep, axis=1)[:, -keep:]
-            chosen = np.zeros_like(valid)
-            np.put_along_axis(chosen, best, True, axis=1)
-            valid &= chosen
-        i, j = np.nonzero(valid)
-        found.append(
-            pd.DataFrame(
-                {
-                    "left_id": left_ids[rows][i],
-                    "right_id": right_ids[j],
-                    "cosine_similarity": units[i, j] / 10000.0,
-                    "embedding_distance": np.floor(distance[i, j] * 10000 + 0.5) / 10000.0,
-                }
-            )
-        )
-    return pd.concat(found, ignore_index=True)
+    found = search(left_ids, np.vstack(left["unit"].to_numpy()), right_ids, np.vstack(right["unit"].to_numpy()), limits)
+    return pa.table(pair_columns(left_ids, found)).to_pandas()
 
 
 def _near_pairs(blocks: DataFrame, limits: dict) -> DataFrame:
@@ -240,36 +207,58 @@ def _far_pairs(blocks: DataFrame, near: DataFrame, limits: dict, block_rows: int
     return left_groups.cogroup(right_groups).applyInPandas(compare, PAIR_SCHEMA)
 
 
+def _bucket_pairs(rows: DataFrame, limits: dict, hashing: Hashing, block_rows: int) -> DataFrame:
+    """Pairs that share a bucket of a table of whole hashes."""
+    total = rows.count()
+    blocks = _blocks(_buckets(rows, hashing), total, block_rows)
+    near = _near_pairs(blocks, limits)
+    pairs = near.drop("bucket")
+    if total > 2 * block_rows:
+        near = materialise(near, "similar-near")
+        pairs = near.drop("bucket").unionByName(_far_pairs(blocks, near, limits, block_rows))
+    return best_pairs(pairs, limits["neighbours"])
+
+
+def pruning_report(
+    items: DataFrame,
+    vector: str,
+    max_distance: float = MAX_DISTANCE,
+    min_cosine: float = MIN_COSINE,
+    neighbours: int | None = NEIGHBOURS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """What the exact method spares on these items: blocks, ordered pairs of blocks, those that met, the share skipped."""
+    ship_package(items.sparkSession)
+    limits = {"max_distance": max_distance, "min_cosine": min_cosine, "neighbours": neighbours}
+    return exact_pairs(materialise(_unit_rows(items, vector).distinct(), "similar-items"), limits, block_rows)[1]
+
+
 def similar_pairs(
     items: DataFrame,
     vector: str,
     max_distance: float = MAX_DISTANCE,
     min_cosine: float = MIN_COSINE,
     neighbours: int | None = NEIGHBOURS,
-    hashing: Hashing | None = None,
+    hashing: Hashing | Probing | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs ``left id < right id`` nearer than ``max_distance``.
 
     ``neighbours`` keeps the best of each left item, by rounded similarity and
-    then right id; ``None`` keeps all pairs. Without ``hashing`` the result is
-    exact, at a cost that grows with the square of the items.
+    then right id; ``None`` keeps all pairs. Rows of one id are one item, whose similarity to another is that
+    of their nearest vectors. Without ``hashing`` the result is exact: blocks of items meet unless bounds rule out
+    a pair (``operators.blocks``). ``Probing`` compares an item with buckets of bounded size (``operators.probing``),
+    ``Hashing`` with those that share all hashes of a table.
     """
     ship_package(items.sparkSession)
     limits = {"max_distance": max_distance, "min_cosine": min_cosine, "neighbours": neighbours}
-    rows = _unit_rows(items, vector)
-    total = rows.count()
-    blocks = _blocks(_buckets(rows, hashing), total, block_rows)
-    near = _near_pairs(blocks, limits)
-    pairs = near.drop("bucket")
-    if total > 2 * block_rows:
-        near = materialise(near, "similar-near")
-        pairs = near.drop("bucket").unionByName(_far_pairs(blocks, near, limits, block_rows))
-    if hashing is not None:
-        pairs = pairs.dropDuplicates(["left_id", "right_id"])
-    if neighbours is not None:
-        best = Window.partitionBy("left_id").orderBy(F.desc("cosine_similarity"), F.asc("right_id"))
-        pairs = pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= neighbours).drop("rank")
+    rows = _unit_rows(items, vector).distinct()
+    if hashing is None:
+        pairs, _ = exact_pairs(materialise(rows, "similar-items"), limits, block_rows)
+    elif isinstance(hashing, Probing):
+        pairs = probed_pairs(materialise(rows, "similar-items"), limits, hashing, block_rows)
+    else:
+        pairs = _bucket_pairs(rows, limits, hashing, block_rows)
     return pairs.select(
         F.col("left_id").alias("left_content_id"),
         F.col("right_id").alias("right_content_id"),

@@ -437,6 +437,32 @@ SQL: dict[str, str] = {
     "similar_pairs_all": _sql(
         VECTORS, "SELECT left_content_id, right_content_id, cosine_similarity, embedding_distance FROM all_pairs"
     ),
+    "similar_pairs_repeated": f"""
+WITH every AS (
+  SELECT vec_id, embedding FROM embeddings
+  UNION ALL SELECT vec_id - 1, embedding FROM embeddings WHERE vec_id % 3 = 1
+  UNION ALL SELECT vec_id, embedding FROM embeddings WHERE vec_id % 4 = 0
+  UNION ALL SELECT vec_id, embedding FROM embeddings WHERE vec_id % 4 = 0
+), lengths AS (
+  SELECT CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS e,
+         sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+  FROM every
+), vectors AS (
+  SELECT id, list_transform(e, lambda x: x / norm) AS u FROM lengths WHERE norm > 0
+), distances AS (
+  SELECT a.id AS left_content_id, b.id AS right_content_id, min(list_distance(a.u, b.u)) AS d
+  FROM vectors a JOIN vectors b ON a.id < b.id GROUP BY ALL
+), pairs AS (
+  SELECT left_content_id, right_content_id, floor((1 - d * d / 2) * 10000 + 0.5) / 10000 AS cosine_similarity,
+         floor(d * 10000 + 0.5) / 10000 AS embedding_distance
+  FROM distances WHERE d < {VECTOR_DISTANCE}
+)
+SELECT * FROM pairs WHERE cosine_similarity >= {VECTOR_COSINE}
+QUALIFY row_number() OVER (PARTITION BY left_content_id ORDER BY cosine_similarity DESC, right_content_id) <= 3
+""",
+    "similar_pairs_probed": _sql(
+        VECTORS, "SELECT count(*) AS exact_pairs, CAST(0 AS BIGINT) AS surplus, TRUE AS reached FROM all_pairs"
+    ),
     "similar_pairs_nearest": _sql(
         VECTORS, "SELECT left_content_id, right_content_id, cosine_similarity, embedding_distance FROM nearest"
     ),

@@ -538,6 +538,37 @@ def similar_pairs_hashed(spark, folder):
     )
 
 
+def _repeated_items(spark, folder):
+    """Vectors of which every id divisible by 3 has the vectors of two rows, and one id in four occurs three times."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    moved = vectors.filter("vec_id % 3 = 1").select((F.col("vec_id") - 1).alias("vec_id"), "embedding")
+    again = vectors.filter("vec_id % 4 = 0")
+    every = vectors.unionByName(moved).unionByName(again).unionByName(again)
+    return every.select(F.col("vec_id").cast("string").alias("content_id"), "embedding")
+
+
+@query
+def similar_pairs_repeated(spark, folder):
+    """Nearest neighbours where ids repeat with the same and with other vectors."""
+    return similar.similar_pairs(_repeated_items(spark, folder), "embedding", block_rows=128, **VECTOR_PAIR_LIMITS)
+
+
+@query
+def similar_pairs_probed(spark, folder):
+    """The pairs of all items, how many probing finds beside them (none), and whether it finds 95 % of them."""
+    items = vector_items(spark, folder)
+    probing = similar.Probing(radius=VECTOR_DISTANCE)
+    exact = similar.similar_pairs(items, "embedding", neighbours=None, block_rows=64, **VECTOR_PAIR_LIMITS)
+    probed = similar.similar_pairs(items, "embedding", neighbours=None, hashing=probing, block_rows=64, **VECTOR_PAIR_LIMITS)
+    names = ["left_content_id", "right_content_id"]
+    both = exact.select(*names, F.lit(True).alias("exact")).join(probed.select(*names, F.lit(True).alias("probed")), names, "full")
+    return both.agg(
+        F.count("exact").alias("exact_pairs"),
+        F.count_if(F.col("exact").isNull()).alias("surplus"),
+        (F.count_if(F.col("exact") & F.col("probed")) >= 0.95 * F.count("exact")).alias("reached"),
+    )
+
+
 @query
 def similar_pairs_described(spark, folder):
     return _vector_pairs(spark, folder)

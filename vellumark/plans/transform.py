@@ -13,7 +13,8 @@ from vellumark.operators.clean import catalogue_summary, clean_catalogue
 from vellumark.operators.features import text_features
 from vellumark.operators.ordering import ordered
 from vellumark.operators.sentiment import sentiment_table, with_sentiment
-from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, similar_pairs
+from vellumark.operators.probing import Probing
+from vellumark.operators.similar import Hashing, describe_pairs, similar_pairs
 from vellumark.operators.terms import (
     bigram_counts,
     keyword_counts,
@@ -48,8 +49,8 @@ def topics(stats: DataFrame) -> DataFrame:
     ), "clustered")
 
 
-def similar_titles(clustered: DataFrame, hashing: Hashing | None = WIDE_HASHING) -> DataFrame:
-    """Described pairs of documents that share a bucket of ``hashing``; None compares all."""
+def similar_titles(clustered: DataFrame, hashing: Hashing | Probing | None = Probing()) -> DataFrame:
+    """Described pairs of documents that ``hashing`` brings together; None is exact."""
     pairs = similar_pairs(clustered, "normalized_embedding", hashing=hashing)
     return describe_pairs(pairs, clustered)
 
