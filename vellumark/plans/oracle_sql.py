@@ -437,6 +437,27 @@ SQL: dict[str, str] = {
     "similar_pairs_all": _sql(
         VECTORS, "SELECT left_content_id, right_content_id, cosine_similarity, embedding_distance FROM all_pairs"
     ),
+    "vector_lloyd_step": """
+WITH plain AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
+), scaled AS (
+  SELECT vec_id, list_transform(e, lambda x: floor(x * (1048576.0 / largest))) AS p
+  FROM plain CROSS JOIN (SELECT max(list_max(list_transform(e, lambda x: abs(x)))) AS largest FROM plain)
+), centres AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS topic_cluster, p AS c FROM scaled QUALIFY row_number() OVER (ORDER BY vec_id) <= 8
+), nearest AS (
+  SELECT vec_id, p, topic_cluster
+  FROM scaled CROSS JOIN centres
+  QUALIFY row_number() OVER (
+    PARTITION BY vec_id ORDER BY list_inner_product(p, p) + list_inner_product(c, c) - 2 * list_inner_product(p, c), topic_cluster
+  ) = 1
+), parts AS (
+  SELECT topic_cluster, unnest(range(len(p))) AS position, unnest(p) AS value FROM nearest
+)
+SELECT CAST(topic_cluster AS BIGINT) AS topic_cluster, CAST(position AS BIGINT) AS position, count(*) AS items,
+       CAST(sum(value) AS BIGINT) AS total
+FROM parts GROUP BY topic_cluster, position
+""",
     "similar_pairs_repeated": f"""
 WITH every AS (
   SELECT vec_id, embedding FROM embeddings

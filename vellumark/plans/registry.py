@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import first_integer
 from ..functions.lexicon import NEGATIVE_TERMS, POSITIVE_TERMS
 from ..functions.text import bigrams
-from ..operators import clean, features, ordering, quality, sentiment, similar, terms, tokens, topics
-from ..session import built_once, new_path
+from ..operators import clean, clusters, features, ordering, quality, sentiment, similar, terms, tokens, topics
+from ..session import built_once, materialise, new_path
 from ..sources import sinks
 from ..sources.catalogue import RAW_COLUMNS, read_catalogue_csv, read_report, read_table, table
 from . import marts, transform
@@ -594,6 +595,30 @@ def topic_cluster_mix(spark, folder):
     return marts.cluster_mix(_clustered(spark, folder))
 
 
+@query
+def topic_cluster_mix_word2vec(spark, folder):
+    """The same mix from Spark's own models."""
+    return marts.cluster_mix(transform.topics(_stemmed_stats(spark, folder), reproducible=False))
+
+
+@query
+def vector_lloyd_step(spark, folder):
+    """Sums of one step of k-means from the vectors of the eight least ids."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    largest = clusters.largest_component(vectors, "embedding")
+    first = vectors.orderBy("vec_id").limit(8).select(clusters.whole(vectors, "embedding", largest).alias("point")).collect()
+    points = clusters.whole_vectors(vectors, "vec_id", "embedding", largest)
+    sums = clusters.cluster_sums(points, np.array([r["point"] for r in first], float))
+    return sums.filter("items > 0").withColumnRenamed("cluster", "topic_cluster")
+
+
+@query
+def vector_clusters(spark, folder):
+    """Topic of every vector."""
+    vectors = vector_items(spark, folder).select("content_id", "embedding")
+    return clusters.stable_topics(materialise(vectors, "vectors")).select("content_id", "topic_cluster")
+
+
 @query
 def topic_cluster_terms(spark, folder):
     return marts.cluster_terms(_topics(spark, folder))

@@ -13,8 +13,10 @@ from vellumark.operators.clean import catalogue_summary, clean_catalogue
 from vellumark.operators.features import text_features
 from vellumark.operators.ordering import ordered
 from vellumark.operators.sentiment import sentiment_table, with_sentiment
+from vellumark.operators.clusters import stable_topics
 from vellumark.operators.probing import Probing
 from vellumark.operators.similar import Hashing, describe_pairs, similar_pairs
+from vellumark.operators.spectral import spectral_embeddings
 from vellumark.operators.terms import (
     bigram_counts,
     keyword_counts,
@@ -42,8 +44,16 @@ def analysed(documents: DataFrame, stem: bool = True, name: str = "stats") -> Da
     return materialise(with_term_stats(with_sentiment(tokens)), name)
 
 
-def topics(stats: DataFrame) -> DataFrame:
-    clustered = assign_topics(materialise(embed_documents(stats), "embedded"))
+def topics(stats: DataFrame, reproducible: bool = True) -> DataFrame:
+    """Documents with vectors and topic numbers.
+
+    Vectors come from co-occurrence and clusters from whole numbers, equal in every run; without
+    ``reproducible`` from Spark's Word2Vec and KMeans, which differ somewhat from run to run.
+    """
+    if reproducible:
+        clustered = stable_topics(materialise(spectral_embeddings(stats), "embedded"))
+    else:
+        clustered = assign_topics(materialise(embed_documents(stats), "embedded"))
     return materialise(clustered.select(
         "content_id", "content_type", "country", "title", "topic_cluster", "embedding", "normalized_embedding"
     ), "clustered")
