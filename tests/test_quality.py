@@ -64,3 +64,32 @@ def test_long_values(spark):
     texts = ["x" * 500, "x" * 499 + "y", "x" * 500, " " * 500, " " * 501 + "z"]
     row = quality.column_stats(spark.createDataFrame([(t,) for t in texts], "text string")).first()
     assert (row["null_count"], row["distinct_count"]) == (1, 4)
+
+
+def test_large_integers_and_nested_values_stay_exact(spark):
+    big = (1 << 53) + 1
+    rows = [(big, ["a, b"], (1, None), {"k": 1}), (big, ["a", "b"], (1, "x"), {"k": 1}), (-big, None, None, None)]
+    df = spark.createDataFrame(rows, "n bigint, names array<string>, pair struct<a: int, b: string>, m map<string, int>")
+    stats = {r["column"]: r for r in quality.exact_column_stats(df).collect()}
+    assert (stats["n"]["min_exact"], stats["n"]["max_exact"], stats["names"]["min_exact"]) == (str(-big), str(big), None)
+    assert stats["n"]["mean"] == round(big / 3, 4)
+    assert [stats[c]["distinct_count"] for c in df.columns] == [2, 3, 3, 2]
+    assert [stats[c]["null_count"] for c in df.columns] == [0, 1, 1, 1]
+
+
+def test_merged_states_are_the_state_of_the_whole(flawed):
+    key = ["content_id", "name"]
+    parts = [flawed.filter(f"content_id = {i}") for i in (1, 2, 3)] + [flawed.filter("false")]
+    state = quality.merged_states(*[quality.profile_state(part, key) for part in parts])
+    merged = quality.merged_states(quality.merged_states(state), quality.profile_state(flawed.filter("false"), key))
+    assert quality.report_of_state(merged, flawed.columns, key).collect() == quality.quality_report(flawed, key).collect()
+    whole = quality.exact_column_stats(flawed).collect()
+    assert sorted(map(str, quality.stats_of_state(merged, flawed.columns).collect())) == sorted(map(str, whole))
+
+
+def test_the_report_reads_its_input_once(spark, flawed, tmp_path):
+    flawed.write.parquet(str(tmp_path / "t"))
+    report = quality.quality_report(spark.read.parquet(str(tmp_path / "t")))
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert tuple(report.first()["duplicates"]) == tuple(quality.quality_report(flawed).first()["duplicates"])
+    assert tuple(report.first()["duplicates"])[1:] == tuple(quality.key_duplicates(flawed, ["content_id"]).first())[1:]

@@ -226,7 +226,8 @@ described AS (
 )"""
 
 
-def _column_profile(source: str, columns: list[str], numeric: tuple[str, ...]) -> str:
+def _column_profile(source: str, columns: list[str], numeric: tuple[str, ...], whole: tuple[str, ...] | None = None) -> str:
+    """Profile of each column; with ``whole`` also the exact range of the columns named there."""
     parts = []
     for name in columns:
         low, high, mean = (
@@ -234,12 +235,16 @@ def _column_profile(source: str, columns: list[str], numeric: tuple[str, ...]) -
             if name in numeric
             else ("CAST(NULL AS DOUBLE)",) * 3
         )
+        exact = ""
+        if whole is not None:
+            least, largest = (f"CAST({way}({name}) AS VARCHAR)" if name in whole else "CAST(NULL AS VARCHAR)" for way in ("min", "max"))
+            exact = f", {least} AS min_exact, {largest} AS max_exact"
         parts.append(
             f"""SELECT '{name}' AS "column",
   count(*) FILTER (WHERE {name} IS NULL OR trim(CAST({name} AS VARCHAR)) = '') AS null_count,
   floor(CAST(null_count AS DOUBLE) / count(*) * 100 * 100 + 0.5) / 100 AS null_pct,
   count(DISTINCT {name}) + CAST(count(*) > count({name}) AS BIGINT) AS distinct_count,
-  {low} AS min, {high} AS max, {mean} AS mean FROM {source}"""
+  {low} AS min, {high} AS max, {mean} AS mean{exact} FROM {source}"""
         )
     return "\nUNION ALL\n".join(parts)
 
@@ -304,8 +309,13 @@ SQL: dict[str, str] = {
         "(SELECT count(*) FROM raw) AS raw_row_count, (SELECT count(*) FROM cleaned) AS cleaned_row_count)",
     ),
     "quality_report_sink": "SELECT (SELECT count(*) FROM customer) AS total_rows, 1.0::DOUBLE AS quality_score, "
-    '"column", null_count, null_pct, distinct_count FROM ('
-    + _column_profile("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], ())
+    '"column", null_count, null_pct, distinct_count, min, max, mean, min_exact, max_exact FROM ('
+    + _column_profile(
+        "customer",
+        ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+        ("c_custkey", "c_nationkey", "c_acctbal"),
+        ("c_custkey", "c_nationkey"),
+    )
     + ")",
     "ordered_keywords": _sql(TERMS, f"SELECT * FROM keyword {_BY_MENTIONS}, keyword"),
     "ordered_tfidf": _sql(
@@ -437,6 +447,14 @@ SQL: dict[str, str] = {
     "similar_pairs_all": _sql(
         VECTORS, "SELECT left_content_id, right_content_id, cosine_similarity, embedding_distance FROM all_pairs"
     ),
+    "profile_of_parts": """
+WITH flawed AS (
+  SELECT event_id + 9007199254740992 AS large, CASE WHEN event_id % 3 = 0 THEN ['a, b'] ELSE ['a', 'b'] END AS names,
+         nullif(user_id, 1) AS user_id, event_type
+  FROM events
+)
+"""
+    + _column_profile("flawed", ["large", "names", "user_id", "event_type"], ("large", "user_id"), ("large", "user_id")),
     "vector_lloyd_step": """
 WITH plain AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
