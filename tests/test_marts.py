@@ -101,3 +101,11 @@ def test_headlines_prefer_stored_metrics(spark, raw):
     assert headline_counts(spark.createDataFrame([], METRICS_SCHEMA), tables).first()["dropped_row_count"] == 6
     nothing = headline_counts(stored, {"raw": raw, "cleaned": tables["cleaned"].filter("false")}).first()
     assert (nothing["cleaned_row_count"], nothing["dropped_row_count"]) == (0, 0)
+
+
+def test_one_pass_over_the_raw_table_gives_the_same(raw):
+    cleaned = clean_catalogue(raw)
+    assert marts.retention_of_raw(raw).collect() == marts.retention(raw, cleaned).collect()
+    assert marts.retention_of_raw(raw.filter("false")).collect() == marts.retention(raw.filter("false"), cleaned.filter("false")).collect()
+    columns = ["content_type", "rows", "stage"]
+    assert sorted(marts.type_mix_of_raw(raw).select(columns).collect()) == sorted(marts.type_mix(raw, cleaned).select(columns).collect())

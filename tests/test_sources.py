@@ -76,3 +76,15 @@ def test_only_small_inputs_are_spread(spark):
     assert session.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
     many = spark.range(10, numPartitions=cores + 3)
     assert session.spread(many) is many
+
+
+def test_built_tables_follow_their_files(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def build():
+        return session.built_once(spark, "counted", folder, lambda: spark.read.parquet(f"{folder}/t.parquet").groupBy().count())
+
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    assert (build().first()[0], build().first()[0]) == (3, 3)
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert build().first()[0] == 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import first_integer, long_date, primary_value, tolerant_int
@@ -27,9 +27,14 @@ def project_catalogue(raw: DataFrame) -> DataFrame:
     )
 
 
+def admitted(min_year: int = MIN_YEAR) -> Column:
+    """Whether a projected row has a country and a release year from ``min_year`` on; null where one is missing."""
+    return (F.col("country") != "") & (F.col("release_year") >= min_year)
+
+
 def admit(projected: DataFrame, min_year: int = MIN_YEAR) -> DataFrame:
-    """Keep rows with a country and a release year from ``min_year`` on."""
-    return projected.filter((F.col("country") != "") & (F.col("release_year") >= min_year))
+    """Keep the admitted rows."""
+    return projected.filter(admitted(min_year))
 
 
 def clean_catalogue(raw: DataFrame, min_year: int = MIN_YEAR, recent_year: int = RECENT_YEAR) -> DataFrame:

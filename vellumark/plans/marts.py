@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import round_half_up
+from ..operators.clean import admitted, project_catalogue
 from ..operators.ordering import top_rows
 from ..operators.quality import flagged_columns, quality_band
 
@@ -30,7 +31,16 @@ def _rows(df: DataFrame):
 
 def retention(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """One row: rows of both stages, share kept and rows dropped."""
-    counted = raw.agg(F.count("*").alias("raw_rows")).withColumn("cleaned_rows", _rows(cleaned))
+    return _retained(raw.agg(F.count("*").alias("raw_rows")).withColumn("cleaned_rows", _rows(cleaned)))
+
+
+def retention_of_raw(raw: DataFrame) -> DataFrame:
+    """``retention`` from one pass over the raw table."""
+    both = project_catalogue(raw).agg(F.count("*").alias("raw_rows"), F.count_if(admitted()).alias("cleaned_rows"))
+    return _retained(both)
+
+
+def _retained(counted: DataFrame) -> DataFrame:
     kept = F.col("cleaned_rows") / F.nullif("raw_rows", F.lit(0)) * 100
     return counted.select(
         "raw_rows",
@@ -50,6 +60,14 @@ def type_mix(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     return stage(raw, "type", "Raw").unionByName(stage(cleaned, "content_type", "Cleaned"))
 
 
+def type_mix_of_raw(raw: DataFrame) -> DataFrame:
+    """``type_mix`` from one pass over the raw table."""
+    kind = F.coalesce("content_type", F.lit("Unknown")).alias("content_type")
+    both = project_catalogue(raw).groupBy(kind).agg(F.count("*").alias("raw"), F.count_if(admitted()).alias("cleaned"))
+    stages = F.array(*[F.struct(F.col(name.lower()).alias("rows"), F.lit(name).alias("stage")) for name in ("Raw", "Cleaned")])
+    return both.select("content_type", F.inline(stages)).filter("rows > 0")
+
+
 def top_countries(agg: DataFrame, n: int = 15) -> DataFrame:
     return top_rows(agg, "agg", n)
 

@@ -457,12 +457,12 @@ def quality_null_alerts(spark, folder):
 
 @query
 def retention(spark, folder):
-    return marts.retention(raw_catalogue(spark, folder), _cleaned(spark, folder))
+    return marts.retention_of_raw(raw_catalogue(spark, folder))
 
 
 @query
 def type_mix(spark, folder):
-    return marts.type_mix(raw_catalogue(spark, folder), _cleaned(spark, folder))
+    return marts.type_mix_of_raw(raw_catalogue(spark, folder))
 
 
 @query

@@ -66,9 +66,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def files_below(spark: SparkSession, folder: str) -> tuple:
+    """Path, size and time of the files in a folder and the folders in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return ()
+    found = []
+    for entry in store.listStatus(path):
+        inner = store.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in inner]
+    return tuple(sorted(found))
+
+
 def built_once(spark: SparkSession, name: str, source: str, build) -> DataFrame:
-    """Materialise ``build()`` on first use in this application, reuse it after."""
-    key = (spark.sparkContext.applicationId, source, name)
+    """Materialise ``build()`` on first use in this application, reuse it while the files of ``source`` stay as they are."""
+    key = (spark.sparkContext.applicationId, source, name, files_below(spark, source))
     if key not in _built:
         df = build()
         path = new_path(spark, name)
