@@ -317,15 +317,15 @@ SQL: dict[str, str] = {
         ("c_custkey", "c_nationkey"),
     )
     + ")",
-    "ordered_keywords": _sql(TERMS, f"SELECT * FROM keyword {_BY_MENTIONS}, keyword"),
+    "ordered_keywords": _sql(TERMS, f"SELECT *, row_number() OVER ({_BY_MENTIONS}, keyword) AS place FROM keyword"),
     "ordered_tfidf": _sql(
-        TERMS, "SELECT * FROM summary ORDER BY avg_tfidf DESC, max_tfidf DESC, content_type, term"
+        TERMS, "SELECT *, row_number() OVER (ORDER BY avg_tfidf DESC, max_tfidf DESC, content_type, term) AS place FROM summary"
     ),
     "ordered_topics": _sql(
-        PROFILE, "SELECT * FROM topic_rows ORDER BY topic_cluster, top_tfidf_score DESC NULLS LAST, content_id"
+        PROFILE, "SELECT *, row_number() OVER (ORDER BY topic_cluster, top_tfidf_score DESC NULLS LAST, content_id) AS place FROM topic_rows"
     ),
     "ordered_pairs": _sql(
-        VECTORS, "SELECT * FROM described ORDER BY cosine_similarity DESC, left_content_id, right_content_id"
+        VECTORS, "SELECT *, row_number() OVER (ORDER BY cosine_similarity DESC, left_content_id, right_content_id) AS place FROM described"
     ),
     "catalogue_parsed": _sql(PARSED, "SELECT * FROM parsed"),
     "catalogue_clean": _sql(CLEANED, "SELECT * FROM cleaned"),
@@ -373,9 +373,10 @@ SQL: dict[str, str] = {
     "catalogue_preview": _sql(AGG, f"SELECT * FROM agg {_BY_SIZE} LIMIT 50"),
     "ordered_sentiment": _sql(
         FREQUENT,
-        "SELECT * EXCLUDE (tokens), len(tokens) AS token_count FROM scored ORDER BY abs(sentiment_score) DESC, content_id",
+        "SELECT * EXCLUDE (tokens), len(tokens) AS token_count, "
+        "row_number() OVER (ORDER BY abs(sentiment_score) DESC, content_id) AS place FROM scored",
     ),
-    "ordered_text_features": _sql(PROFILE, "SELECT * FROM features ORDER BY token_count DESC, content_id"),
+    "ordered_text_features": _sql(PROFILE, "SELECT *, row_number() OVER (ORDER BY token_count DESC, content_id) AS place FROM features"),
     "quality_columns": _sql(PARSED, _PARSED_STATS),
     "quality_columns_lineitem": _column_profile("lineitem", LINEITEM_COLUMNS, tuple(LINEITEM_COLUMNS[:8])),
     "quality_duplicates": "SELECT 'o_custkey,o_orderstatus' AS key_columns, total_rows, distinct_rows, "

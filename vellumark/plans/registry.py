@@ -366,32 +366,32 @@ def catalogue_preview(spark, folder):
 @query
 def ordered_sentiment(spark, folder):
     scored = _scored(spark, folder, FREQUENT_POSITIVE, FREQUENT_NEGATIVE)
-    return ordering.ordered(sentiment.sentiment_table(scored), "sentiment")
+    return ordering.ranked(sentiment.sentiment_table(scored), "sentiment")
 
 
 @query
 def ordered_text_features(spark, folder):
-    return ordering.ordered(_features(spark, folder), "text_features")
+    return ordering.ranked(_features(spark, folder), "text_features")
 
 
 @query
 def ordered_keywords(spark, folder):
-    return ordering.ordered(terms.keyword_counts(_content(spark, folder)), "keywords")
+    return ordering.ranked(terms.keyword_counts(_content(spark, folder)), "keywords")
 
 
 @query
 def ordered_tfidf(spark, folder):
-    return ordering.ordered(terms.tfidf_summary(terms.tfidf_records(_stats(spark, folder))), "tfidf")
+    return ordering.ranked(terms.tfidf_summary(terms.tfidf_records(_stats(spark, folder))), "tfidf")
 
 
 @query
 def ordered_topics(spark, folder):
-    return ordering.ordered(_labelled_topics(spark, folder), "topic_clusters")
+    return ordering.ranked(_labelled_topics(spark, folder), "topic_clusters")
 
 
 @query
 def ordered_pairs(spark, folder):
-    return ordering.ordered(_vector_pairs(spark, folder), "similarity_pairs")
+    return ordering.ranked(_vector_pairs(spark, folder), "similarity_pairs")
 
 
 # --- quality ----------------------------------------------------------------
