@@ -4,25 +4,25 @@ A byte goes if a string of ``SPAN`` bytes that covers it also starts in a docume
 with a smaller doc_id.
 
 1. Anchors: of every string of ``SPAN`` bytes, the ``GRAM`` bytes with the least hash.
-   Equal strings have equal anchors; anchors of one text only are dropped. So are
-   those whose ``SIDE`` bytes before and whose ``SIDE`` bytes after are both found in one document
-   only: a string of ``SPAN`` bytes reaches that far to one side at least.
+   Equal strings have equal anchors. They travel once, packed: a task sends each shard one
+   row of arrays. The shard drops anchors of one text only, and those whose ``SIDE`` bytes before
+   and whose ``SIDE`` bytes after are both found in one document only: a string of
+   ``SPAN`` bytes reaches that far to one side at least.
    Of equal texts only the first document goes on; later ones lose every byte.
 2. Around each anchor left, a fragment holds all strings that it anchors. Fragments are
    dealt out by the hash of their anchor, so all copies of a string meet in one shard.
+   Of equal fragments of a batch only those of the first document travel with their bytes.
+   Distinct fragments of an anchor with more than ``MOST_COPIES`` copies are cut into their
+   strings first and dealt out by the hash of all bytes, so no anchor fills a shard.
 3. A shard keeps, of equal fragments, the first document; later ones are covered
    whole. Over the distinct fragments it sorts the suffixes, takes the common prefixes
    of neighbours, and gets for every suffix the longest previous factor from the
    nearest positions above and below in suffix order whose document is smaller.
 4. The ranges that have a previous factor of ``SPAN`` bytes or more are cut.
 
-An anchor that has more than ``MOST_COPIES`` fragments would make its shard large. Its
-fragments are grouped by Spark with partial sums instead: equal fragments first, then
-the strings of the distinct ones. This gives the same ranges.
-
 Null texts are empty. Rows without an id match nothing and lose nothing. A row that
-repeats a document is treated like it; rows that repeat an id with another text are
-cut by their own text, and not by each other.
+repeats a document is treated like it; rows that repeat an id with another text (told apart
+by 64 bits of its hash) are cut by their own text, and not by each other.
 """
 
 from __future__ import annotations
@@ -32,29 +32,53 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchors, as_signed, chunks, covered, discard, gram_hashes, mix, prepare, release, shards_for, texts_of, variant, written
+from .common import anchors, chunks, covered, discard, gram_hashes, mix, prepare, release, shards_for, texts_of, written
 
 SPAN = 50
 GRAM = 16
 LEFT = SPAN - GRAM
 SIDE = LEFT // 2
-PLACE_BITS = 31  # a text of Spark is shorter
 MOST_COPIES = 20_000
 CHUNK_BYTES = 1 << 20
 SUFFIXES_AT_ONCE = 400_000
+ANCHORS_AT_ONCE = 1 << 20
+ANCHORS_PER_SHARD = 1_000_000
 FRAGMENTS_PER_SHARD = 60_000
 
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(7))
 
 
-def byte_anchors(df: DataFrame) -> DataFrame:
-    """(gram, doc, at, sides) from (doc, variant, body).
+def _firsts(docs: np.ndarray, texts: list[bytes]) -> list[int]:
+    """Rows of a batch that hold a text's smallest document, one for each text."""
+    least = {}
+    for row in np.argsort(docs, kind="stable").tolist():
+        least.setdefault(texts[row], row)
+    return sorted(least.values())
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal neighbours begin."""
+    return np.flatnonzero(np.concatenate([[len(values) > 0], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+
+
+def _by_shard(shard: np.ndarray):
+    """(shard, rows) for each shard that occurs."""
+    order = np.argsort(shard, kind="stable")
+    for rows in np.split(order, _runs(shard[order])[1:]) if len(order) else ():
+        yield int(shard[rows[0]]), rows
+
 
-    ``at`` holds the variant above ``PLACE_BITS`` bits of position, ``sides`` 16 bits of a hash of the
-    bytes before the anchor and 16 of those after it; 0 where the text ends sooner.
+def byte_anchors(df: DataFrame, shards: int) -> DataFrame:
+    """Packed anchors of (doc, variant, body): one row for each shard that a task has anchors for.
+
+    An anchor has 14 bytes: 32 bits of its hash below those that name the shard (more anchors may meet
+    by chance, which costs work only), its text, its place, and 16 bits of a hash of the bytes before it
+    and 16 of those after it; 0 where the text ends sooner.
     """
 
     def side(values, owner, at, begin):
@@ -63,13 +87,26 @@ def byte_anchors(df: DataFrame) -> DataFrame:
         inside = (first >= 0) & (last < len(owner))
         inside &= owner[np.clip(first, 0, len(owner) - 1)] == owner[at]
         inside &= owner[np.clip(last, 0, len(owner) - 1)] == owner[at]
-        hashes = mix(gram_hashes(values, SIDE))[np.clip(first, 0, max(0, len(owner) - SIDE))] % np.uint64(65535) + np.uint64(1)
-        return np.where(inside, hashes.astype(np.int64), 0)
+        hashes = gram_hashes(values, SIDE)[np.clip(first, 0, max(0, len(owner) - SIDE))]
+        return np.where(inside, mix(hashes) % np.uint64(65535) + np.uint64(1), np.uint64(0)).astype(np.uint32)
+
+    def packed(held):
+        docs, kinds, owners, grams, places, sides = (np.concatenate(c) for c in zip(*held, strict=True))
+        out = []
+        for shard, rows in _by_shard(((grams >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)):
+            used, owner = np.unique(owners[rows], return_inverse=True)
+            arrays = (docs[used], kinds[used], owner.astype("<u2"), grams[rows].astype("<u4"), places[rows], sides[rows])
+            out.append((shard, *(x.tobytes() for x in arrays)))
+        columns = list(zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], PACKED)
 
     def find(batches):
+        held, rows_held, anchors_held = [], 0, 0
         for batch in batches:
             docs, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts = texts_of(batch.column(2))
+            rows = _firsts(docs, texts)
+            docs, kinds, texts = docs[rows], kinds[rows], [texts[i] for i in rows]
             sizes = np.array([len(t) for t in texts], np.int64)
             for first, last in chunks(sizes, CHUNK_BYTES):
                 part = sizes[first:last]
@@ -77,61 +114,149 @@ def byte_anchors(df: DataFrame) -> DataFrame:
                 values = _BYTE[np.frombuffer(b"".join(texts[first:last]), np.uint8)]
                 grams = mix(gram_hashes(values, GRAM))
                 at = anchors(grams, owner, GRAM, SPAN)
-                rows = owner[at]
-                place = at - (np.cumsum(part) - part)[rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(as_signed(grams[at])),
-                        pa.array(docs[first + rows]),
-                        pa.array((kinds[first + rows] << PLACE_BITS) | place),
-                        pa.array(((side(values, owner, at, -SIDE) << 16) | side(values, owner, at, GRAM)).astype(np.uint32).view(np.int32)),
-                    ],
-                    ["gram", "doc", "at", "sides"],
-                )
-
-    return df.select("doc", "variant", "body").mapInArrow(find, "gram long, doc long, at long, sides int")
-
-
-def with_shared_sides(rows: DataFrame) -> DataFrame:
-    """Anchors that two documents have with the same bytes before or with the same bytes after."""
-    rows = rows.repartition("gram").withColumns(
-        {"before": F.shiftrightunsigned("sides", 16), "after": F.col("sides").bitwiseAND(F.lit(0xFFFF))}
+                if not len(at):
+                    continue
+                sides = (side(values, owner, at, -SIDE) << np.uint32(16)) | side(values, owner, at, GRAM)
+                place = (at - (np.cumsum(part) - part)[owner[at]]).astype("<u4")
+                held.append((docs[first:last], kinds[first:last], owner[at] + rows_held, grams[at], place, sides))
+                rows_held += last - first
+                anchors_held += len(at)
+                if anchors_held >= ANCHORS_AT_ONCE or rows_held > 60_000:
+                    yield packed(held)
+                    held, rows_held, anchors_held = [], 0, 0
+        if held:
+            yield packed(held)
+
+    schema = "shard int, " + ", ".join(f"{name} binary" for name in PACKED[1:])
+    return df.select("doc", "variant", "body").mapInArrow(find, schema)
+
+
+PACKED = ["shard", "docs", "kinds", "owners", "grams", "places", "sides"]
+SHARED = "d long, v long, hot boolean, places array<int>"
+
+
+def _unpacked(table: pa.Table, name: str, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+
+
+def _lists(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    offsets = np.append(begins, len(values)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+
+def shared_anchors(table: pa.Table) -> pa.Table:
+    """Places of a shard's anchors that two documents have with the same bytes before or after, by document."""
+    parts = _unpacked(table, "docs", "<i8")
+    base = np.cumsum([0, *map(len, parts)])[:-1]
+    docs, kinds = np.concatenate(parts), np.concatenate(_unpacked(table, "kinds", "<i8"))
+    text = np.concatenate([o + b for o, b in zip(_unpacked(table, "owners", "<u2"), base, strict=True)])
+    grams, places, sides = (np.concatenate(_unpacked(table, name, "<u4")) for name in ("grams", "places", "sides"))
+
+    def shared(keys, rows):
+        """Rows whose key is found in two documents and two texts, and the size of their groups."""
+        rows = rows[np.argsort(keys[rows], kind="stable")]
+        begin = _runs(keys[rows])
+        if not len(begin):
+            return rows, rows
+        of = text[rows]
+        several = np.ones(len(begin), bool)
+        for values in (docs[of], kinds[of]):
+            several &= np.minimum.reduceat(values, begin) < np.maximum.reduceat(values, begin)
+        size = np.diff(np.append(begin, len(rows)))
+        chosen = np.repeat(several, size)
+        return rows[chosen], np.repeat(size, size)[chosen]
+
+    rows, copies = shared(grams, np.arange(len(grams)))
+    hot = np.zeros(len(grams), bool)
+    hot[rows] = copies > MOST_COPIES
+    wanted = np.zeros(len(grams), bool)
+    for part in (sides >> np.uint32(16), sides & np.uint32(0xFFFF)):
+        keys = (grams.astype(np.uint64) << np.uint64(16)) | part
+        wanted[shared(keys, rows[part[rows] > 0])[0]] = True
+    rows = np.flatnonzero(wanted)
+    rows = rows[np.lexsort((places[rows], hot[rows], text[rows]))]
+    begin = _runs(text[rows] * 2 + hot[rows])
+    of = text[rows[begin]]
+    return pa.Table.from_arrays(
+        [pa.array(docs[of]), pa.array(kinds[of]), pa.array(hot[rows[begin]]), _lists(places[rows], begin)], ["d", "v", "hot", "places"]
     )
-    wanted = F.lit(False)
-    for name in ("before", "after"):
-        same = Window.partitionBy("gram", name)
-        rows = rows.withColumn(f"{name}_shared", (F.col(name) > 0) & (F.min("doc").over(same) < F.max("doc").over(same)))
-        wanted = wanted | F.col(f"{name}_shared")
-    return rows.filter(wanted)
 
 
-def fragments(df: DataFrame) -> DataFrame:
-    """(gram, doc, variant, start, offset, fragment) from (doc, variant, body, places, grams)."""
+FRAGMENTS = ["shard", "known", "grams", "docs", "kinds", "starts", "offsets", "lengths", "bytes"]
+
+
+def fragments(df: DataFrame, shards: int) -> DataFrame:
+    """Packed fragments of (doc, variant, body, places, hot): one row for each shard that a batch has some for.
+
+    Rows that are ``known`` hold ranges without bytes: of a fragment that a smaller document of the batch has, too.
+    """
+
+    def of_first(docs, pieces):
+        """Which pieces of a batch are those of their first document, and their lengths."""
+        code, _ = pd.factorize(pieces)
+        first = np.full(code.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, code, docs)
+        return docs == first[code], np.fromiter(map(len, pieces), np.uint8, len(pieces))
 
     def cut(batches):
         for batch in batches:
-            docs, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns = [batch.column(i) for i in (3, 4)]
+            docs, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            columns = {False: [], True: []}
             for row, text in enumerate(texts_of(batch.column(2))):
-                at, grams = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
-                start = np.maximum(at - LEFT, 0)
-                end = np.minimum(at + SPAN, len(text))
-                pieces = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(grams, pa.int64()),
-                        pa.array(np.full(n, docs[row]), pa.int64()),
-                        pa.array(np.full(n, kinds[row]), pa.int64()),
-                        pa.array(start, pa.int64()),
-                        pa.array(at - start, pa.int32()),
-                        pa.array(pieces, pa.binary()),
-                    ],
-                    ["gram", "doc", "variant", "start", "offset", "fragment"],
-                )
-
-    schema = "gram long, doc long, variant long, start long, offset int, fragment binary"
-    return df.select("doc", "variant", "body", "places", "grams").mapInArrow(cut, schema)
+                hashes = mix(gram_hashes(_BYTE[np.frombuffer(text, np.uint8)], GRAM))
+                for hot, column in ((False, 3), (True, 4)):
+                    at = batch.column(column)[row].values.to_numpy(zero_copy_only=False)
+                    if not len(at):
+                        continue
+                    start, end = np.maximum(at - LEFT, 0), np.minimum(at + SPAN, len(text))
+                    pieces = [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+                    n = len(at)
+                    columns[hot].append((hashes[at], np.full(n, docs[row]), np.full(n, kinds[row]), start, at - start, pieces))
+            out = []
+            for hot, parts in columns.items():
+                if not parts:
+                    continue
+                held = [np.concatenate(c) for c in list(zip(*parts, strict=True))[:5]]
+                pieces = np.array([p for part in parts for p in part[5]], object)
+                own, lengths = of_first(held[1], pieces)
+                out.extend(_known(held, lengths, ~own))
+                if hot:
+                    # Strings that hold the anchor, each a fragment of its own.
+                    held, pieces = _cut_apart(held, pieces, np.flatnonzero(own))
+                    own, lengths = of_first(held[1], pieces)
+                    out.extend(_known(held, lengths, ~own))
+                rows = np.flatnonzero(own)
+                for shard, chosen in _by_shard((held[0][rows] % np.uint64(shards)).astype(np.int64)):
+                    out.append((shard, False, *_arrays(held, lengths, rows[chosen]), b"".join(pieces[rows[chosen]])))
+            if out:
+                done = list(zip(*out, strict=True))
+                kinds_of = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(done, kinds_of, strict=True)], FRAGMENTS)
+
+    def _arrays(held, lengths, rows):
+        grams, docs, kinds, starts, offsets = (c[rows] for c in held)
+        arrays = grams.astype("<u8"), docs.astype("<i8"), kinds.astype("<i8"), starts.astype("<u4"), offsets.astype(np.uint8), lengths[rows]
+        return [x.tobytes() for x in arrays]
+
+    def _known(held, lengths, which):
+        """Ranges that need no further comparison, for the shard that their documents hash to."""
+        rows = np.flatnonzero(which)
+        shard = mix(held[1][rows].view(np.uint64)) % np.uint64(shards)
+        return [(s, True, *_arrays(held, lengths, rows[chosen]), b"") for s, chosen in _by_shard(shard.astype(np.int64))]
+
+    def _cut_apart(held, pieces, rows):
+        grams, docs, kinds, starts, offsets = held
+        low, high = _strings(np.fromiter(map(len, pieces[rows]), np.int64, len(rows)), offsets[rows])
+        count = high - low + 1
+        of = np.repeat(rows, count)
+        inside = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        strings = np.empty(len(of), object)
+        strings[:] = [pieces[i][a : a + SPAN] for i, a in zip(of.tolist(), inside.tolist(), strict=True)]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64, len(of))
+        return [hashes, docs[of], kinds[of], starts[of] + inside, offsets[of] - inside], strings
+
+    schema = "shard int, known boolean, " + ", ".join(f"{name} binary" for name in FRAGMENTS[2:])
+    return df.select("doc", "variant", "body", "places", "hot").mapInArrow(cut, schema)
 
 
 def suffix_order(suffixes: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -183,17 +308,28 @@ def _strings(lengths: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.maximum(offsets - LEFT, 0), np.minimum(offsets, lengths - SPAN)
 
 
-def fragment_ranges(frame: pd.DataFrame) -> pd.DataFrame:
-    """Ranges (doc, variant, start, end) that the fragments of a shard lose."""
-    pieces = frame["fragment"].to_numpy()
-    docs, starts = frame["doc"].to_numpy(), frame["start"].to_numpy()
-    kinds, grams, offsets = frame["variant"].to_numpy(), frame["gram"].to_numpy(), frame["offset"].to_numpy()
+def fragment_ranges(table: pa.Table) -> pa.Table:
+    """Ranges (d, v, starts, ends) that the fragments of a shard lose, joined within a document."""
+    known = table.filter(table.column("known"))
+    table = table.filter(pc.invert(table.column("known")))
+
+    def arrays(table, name, kind):
+        return np.concatenate([np.empty(0, kind), *_unpacked(table, name, kind)]).astype(np.uint64 if kind == "<u8" else np.int64)
+
+    grams, docs, kinds = (arrays(table, name, kind) for name, kind in (("grams", "<u8"), ("docs", "<i8"), ("kinds", "<i8")))
+    starts, offsets, sizes = (arrays(table, name, kind) for name, kind in (("starts", "<u4"), ("offsets", "u1"), ("lengths", "u1")))
+    given = [arrays(known, name, kind) for name, kind in (("docs", "<i8"), ("kinds", "<i8"), ("starts", "<u4"), ("lengths", "u1"))]
+    body = b"".join(table.column("bytes").to_pylist())
+    ends = np.cumsum(sizes)
+    pieces = np.empty(len(sizes), object)
+    pieces[:] = [body[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
     code, distinct = pd.factorize(pieces)
     lengths = np.array([len(p) for p in distinct], np.int64)
     first = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(first, code, docs)
     later = docs > first[code]
     out = [(docs[later], kinds[later], starts[later], starts[later] + lengths[code[later]])]
+    out.append((given[0], given[1], given[2], given[2] + given[3]))
 
     # Distinct fragments whose anchor has others, in runs of whole anchors.
     one = np.zeros(len(distinct), np.int64)
@@ -235,35 +371,24 @@ def fragment_ranges(frame: pd.DataFrame) -> pd.DataFrame:
             for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
                 rows.append((docs[i], kinds[i], starts[i] + run[0], starts[i] + run[-1] + SPAN))
         out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
-    return pd.DataFrame({name: np.concatenate([o[i] for o in out]) for i, name in enumerate(["doc", "variant", "start", "end"])})
-
-
-RANGE = "doc long, variant long, start long, end long"
-
-
-def hot_ranges(hot: DataFrame) -> DataFrame:
-    """The ranges of fragments whose anchors have very many, from grouped sums."""
-    firsts = hot.groupBy("fragment", "offset").agg(F.min("doc").alias("first"))
-    length = F.octet_length("fragment")
-    low, high = F.greatest(F.col("offset") - LEFT, F.lit(0)), F.least(F.col("offset"), length - SPAN)
-    strings = firsts.filter(high >= low).select(
-        "fragment", "offset", "first", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("string_at")
-    ).withColumn("string", F.expr(f"substring(fragment, string_at + 1, {SPAN})"))
-    earliest = strings.groupBy("string").agg(F.min("first").alias("earliest"))
-    own = (
-        strings.join(earliest, "string")
-        .filter(F.col("earliest") < F.col("first"))
-        .groupBy("fragment", "offset")
-        .agg(F.collect_set("string_at").alias("inner"))
-    )
-    known = firsts.join(own, ["fragment", "offset"], "left")
-    rows = hot.join(known, ["fragment", "offset"])
-    whole = F.array(F.struct(F.col("start").alias("start"), (F.col("start") + length).cast("long").alias("end")))
-    inner = F.transform("inner", lambda x: F.struct((F.col("start") + x).alias("start"), (F.col("start") + x + SPAN).cast("long").alias("end")))
-    return (
-        rows.select("doc", "variant", F.explode(F.when(F.col("doc") > F.col("first"), whole).otherwise(inner)).alias("range"))
-        .select("doc", "variant", F.col("range.start").cast("long").alias("start"), "range.end")
-    )
+    d, v, start, end = (np.concatenate([o[i] for o in out]) for i in range(4))
+    order = np.lexsort((start, v, d))
+    d, v, start, end = d[order], v[order], start[order], end[order]
+    # Ranges that touch the furthest end before them, in one document, are one.
+    same = np.zeros(len(d), bool)
+    same[1:] = (d[1:] == d[:-1]) & (v[1:] == v[:-1])
+    block = np.cumsum(~same) - 1
+    reach = np.maximum.accumulate(end + (block << 32)) - (block << 32)
+    new = ~same
+    new[1:] |= start[1:] > reach[:-1]
+    begin = np.flatnonzero(new)
+    start, end = start[begin], reach[np.append(begin[1:], len(d)) - 1] if len(begin) else reach
+    lists = _runs(block[begin])
+    of = begin[lists]
+    return pa.Table.from_arrays([pa.array(d[of]), pa.array(v[of]), _lists(start, lists), _lists(end, lists)], ["d", "v", "starts", "ends"])
+
+
+RANGE = "d long, v long, starts array<int>, ends array<int>"
 
 
 def later_copies(texts: DataFrame) -> DataFrame:
@@ -274,58 +399,33 @@ def later_copies(texts: DataFrame) -> DataFrame:
     return light.join(firsts, "digest").filter(F.col("first") < F.col("d")).select("d", "v", "n").distinct()
 
 
-def _with_places(texts: DataFrame, found: DataFrame, copies: DataFrame) -> DataFrame:
-    """Documents that hold anchors and are not among ``copies``, with their places."""
-    per_doc = found.groupBy(F.col("doc").alias("d"), F.shiftright("at", PLACE_BITS).alias("v")).agg(
-        # A set, as a row that repeats a document repeats its anchors.
-        F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "gram")).alias("anchors")
-    )
-    per_doc = per_doc.join(copies, ["d", "v"], "left_anti")
-    return texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v"))).select(
-        "doc", "variant", "body", F.col("anchors.place").alias("places"), F.col("anchors.gram").alias("grams")
-    )
-
-
 def repeated_ranges(plain: DataFrame) -> DataFrame:
-    """(d, v, ranges): byte ranges that documents (doc, variant, body) lose."""
+    """(d, v, starts, ends): byte ranges that documents (doc, variant, body) lose."""
     spark = plain.sparkSession
     texts = plain.filter("doc is not null")
     copies = written(later_copies(texts), "suffix-copies")
-    found = byte_anchors(texts)
-    common = written(
-        found.groupBy("gram")
-        .agg(
-            *(f(c).alias(f"{name}_{c}") for c in ("doc", "at", "sides") for name, f in (("low", F.min), ("high", F.max))),
-            F.count("*").alias("copies"),
-        )
-        # Copies of one text have an anchor at one place, with the same bits of the text above it.
-        .filter("low_doc < high_doc and (low_at < high_at or low_sides < high_sides)")
-        .select("gram", (F.col("copies") > MOST_COPIES).alias("hot")),
-        "suffix-grams",
-    )
-    shared = written(found.join(common, "gram"), "suffix-anchors")
-    discard(common)
-    cold = written(with_shared_sides(shared.filter("not hot")).select("gram", "doc", "at"), "suffix-shared")
-    hot = written(shared.filter("hot").select("gram", "doc", "at"), "suffix-hot")
-    discard(shared)
-    release(spark)
-    shards = shards_for(spark, cold.count(), FRAGMENTS_PER_SHARD)
-    shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int")
-    placed = written(_with_places(texts, cold, copies), "suffix-texts")
-    discard(cold)
+    size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    # Two anchors for each window of SPAN - GRAM + 1 bytes, and one more.
+    shards = shards_for(spark, 2 * size // (SPAN - GRAM + 2), ANCHORS_PER_SHARD)
+    found = byte_anchors(texts, shards).groupBy("shard").applyInArrow(shared_anchors, SHARED)
+    shared = written(found.join(copies, ["d", "v"], "left_anti"), "suffix-shared")
     release(spark)
-    ranges = fragments(placed).withColumn("shard", shard).groupBy("shard").applyInPandas(fragment_ranges, RANGE)
-    if not hot.isEmpty():
-        ranges = ranges.unionByName(hot_ranges(written(fragments(_with_places(texts, hot, copies)), "suffix-fragments")))
-    whole = copies.select(
-        F.col("d").alias("doc"), F.col("v").alias("variant"), F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end")
+    amount = shared.agg(F.sum(F.size("places"))).first()[0] or 0
+    shards = shards_for(spark, amount, FRAGMENTS_PER_SHARD)
+    per_doc = shared.groupBy("d", "v").agg(
+        *(F.flatten(F.collect_list(F.when(F.col("hot") == kind, F.col("places")))).alias(name) for name, kind in (("places", False), ("hot", True)))
     )
-    ranges = ranges.unionByName(whole)
+    placed = texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")))
+    ranges = fragments(placed, shards).groupBy("shard").applyInArrow(fragment_ranges, RANGE)
+    whole = copies.select("d", "v", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
     out = written(
-        ranges.groupBy(F.col("doc").alias("d"), F.col("variant").alias("v")).agg(F.collect_list(F.struct("start", "end")).alias("ranges")),
+        ranges.unionByName(whole)
+        .groupBy("d", "v")
+        .agg(F.collect_list(F.struct("starts", "ends")).alias("ranges"))
+        .select("d", "v", F.flatten("ranges.starts").alias("starts"), F.flatten("ranges.ends").alias("ends")),
         "suffix-ranges",
     )
-    discard(placed, hot, copies)
+    discard(shared, copies)
     release(spark)
     return out
 
@@ -337,11 +437,11 @@ def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: st
     """
     prepare(df.sparkSession)
     plain = df.select(
-        F.struct(*keep).alias("row"), F.col(ident).cast("long").alias("doc"), variant(F.col(text)).alias("variant"), F.coalesce(F.col(text), F.lit("")).alias("body")
+        F.struct(*keep).alias("row"), F.col(ident).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("variant"), F.coalesce(F.col(text), F.lit("")).alias("body")
     )
     joined = plain.join(
         repeated_ranges(plain.select("doc", "variant", "body")), (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")), "left"
-    ).select("row", "body", F.col("ranges.start").alias("starts"), F.col("ranges.end").alias("ends"))
+    ).select("row", "body", "starts", "ends")
 
     def cut(batches):
         for batch in batches:
@@ -350,7 +450,7 @@ def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: st
             for i, text in enumerate(texts_of(batch.column(1))):
                 spans, left = 0, text
                 if starts[i].is_valid and len(text):
-                    gone = covered(starts[i].values.to_numpy(), ends[i].values.to_numpy(), len(text))
+                    gone = covered(starts[i].values.to_numpy(zero_copy_only=False), ends[i].values.to_numpy(zero_copy_only=False), len(text))
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     left = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 shown = left if kept == "binary" else left.decode("utf-8", "ignore") if kept else None
