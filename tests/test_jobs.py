@@ -2,8 +2,8 @@ import json
 
 from vellumark.operators.quality import quality_report
 from vellumark.plans import quality_job, transform
-from vellumark.plans.metrics import METRICS_SCHEMA, headline_counts
-from vellumark.sources.catalogue import read_report, read_table
+from vellumark.plans.metrics import METRICS_SCHEMA, RunMeter, headline_counts, run_metrics
+from vellumark.sources.catalogue import read_catalogue_csv, read_report, read_table
 
 SUBJECTS = ["sea", "harbour", "mountain", "market", "village", "river", "castle", "garden"]
 
@@ -44,6 +44,10 @@ def test_whole_run(spark, tmp_path):
     assert row["tokenized_document_count"] == row["stemmed_document_count"] == cleaned
     labels = ("positive", "neutral", "negative")
     assert sum(row[f"{label}_document_count"] for label in labels) == cleaned
+    # The writes observed what the stored tables hold.
+    asked = run_metrics({"raw": read_catalogue_csv(spark, source), **tables}, source, stamp=False).first().asDict()
+    kept = {name: value for name, value in asked.items() if value is not None}
+    assert len(kept) == 19 and kept.items() <= row.items()
     part = next((tmp_path / "out" / "metrics.json").glob("part-*.json"))
     assert set(json.loads(part.read_text())) == set(METRICS_SCHEMA.names)
     assert headline_counts(metrics, {"raw": tables["cleaned"]}).first()["raw_row_count"] == 60
@@ -61,3 +65,12 @@ def test_run_without_documents(spark, tmp_path):
     )
     tables = transform.text_tables(transform.read_catalogue_csv(spark, str(path)))
     assert all(table.count() == 0 for table in tables.values())
+
+
+def test_meter_of_an_empty_table(spark, tmp_path):
+    meter = RunMeter()
+    rows = spark.createDataFrame([], "keyword string, content_type string, title_mentions long")
+    meter.watch(rows, "keywords").write.parquet(str(tmp_path / "none"))
+    row = meter.row(spark, "none").first()
+    assert row.keyword_row_count == 0 and row.top_keyword is None and row.bigram_row_count is None
+    assert row.generated_at_utc.endswith("+00:00")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import STOP_WORDS
@@ -37,10 +37,15 @@ def normalised_documents(documents: DataFrame) -> DataFrame:
     return documents.withColumn("text", normalise_text(F.col("text")))
 
 
+def has_tokens(text: Column) -> Column:
+    """Whether a text that is not split yet holds any token."""
+    return F.lower(text).rlike("[a-z0-9]")
+
+
 def tokenised_documents(documents: DataFrame) -> DataFrame:
     """Documents as token arrays, without those that hold no token."""
     tokens = split_tokens(normalise_text(F.col("text")))
-    return documents.filter(F.lower("text").rlike("[a-z0-9]")).select(*DOCUMENT_COLUMNS, tokens.alias("tokens"))
+    return documents.filter(has_tokens(F.col("text"))).select(*DOCUMENT_COLUMNS, tokens.alias("tokens"))
 
 
 def filtered_documents(tokenised: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:

@@ -569,3 +569,5 @@ QUALIFY row_number() OVER (PARTITION BY left_content_id ORDER BY cosine_similari
   CAST(0 AS BIGINT) AS negative_document_count""",
     ),
 }
+# The same metrics, gathered another way.
+SQL["run_metrics_observed"] = SQL["run_metrics_row"]

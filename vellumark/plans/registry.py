@@ -16,7 +16,7 @@ from ..session import built_once, materialise, new_path
 from ..sources import sinks
 from ..sources.catalogue import RAW_COLUMNS, read_catalogue_csv, read_report, read_table, table
 from . import marts, transform
-from .metrics import METRICS_SCHEMA, headline_counts, run_metrics
+from .metrics import METRICS_SCHEMA, RunMeter, headline_counts, run_metrics
 from .views import document_catalogue, raw_catalogue, vector_items
 
 # Frequent words of the test texts, so that all three labels occur.
@@ -736,3 +736,32 @@ def run_metrics_row(spark, folder):
 def headline_numbers(spark, folder):
     """No stored metrics: every number falls back on its table."""
     return headline_counts(spark.createDataFrame([], METRICS_SCHEMA), _metric_tables(spark, folder))
+
+
+@query
+def run_metrics_observed(spark, folder):
+    """Every metric from the writes of the tables themselves, through the report sink.
+
+    Text tables are the unstemmed ones; topics are labels and pairs are vectors, which SQL can follow.
+    """
+    meter = RunMeter()
+
+    def store(name, df):
+        path = new_path(spark, f"observed-{name}")
+        sinks.write_table(meter.watch(df, name), path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    cleaned = store("cleaned", clean.clean_catalogue(meter.watch(raw_catalogue(spark, folder), "raw")))
+    store("agg", clean.catalogue_summary(cleaned))
+    stats = transform.analysed(_documents(spark, folder), stem=False, name="observed-stats", meter=meter)
+    records = terms.tfidf_records(stats)
+    store("text_features", features.text_features(stats, terms.top_terms(records)))
+    store("keywords", terms.keyword_counts(stats))
+    store("bigrams", terms.bigram_counts(stats))
+    store("tfidf", terms.tfidf_summary(records))
+    store("sentiment", sentiment.sentiment_table(stats))
+    store("topic_clusters", _labelled_topics(spark, folder))
+    store("similarity_pairs", _vector_pairs(spark, folder))
+    path = new_path(spark, "observed-metrics")
+    sinks.write_report(meter.row(spark, "tables"), path)
+    return read_report(spark, path, METRICS_SCHEMA).drop("generated_at_utc")

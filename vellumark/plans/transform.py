@@ -8,7 +8,9 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vellumark.functions.lexicon import NEGATIVE_TERMS, POSITIVE_TERMS
 from vellumark.operators.clean import catalogue_summary, clean_catalogue
 from vellumark.operators.features import text_features
 from vellumark.operators.ordering import ordered
@@ -26,22 +28,32 @@ from vellumark.operators.terms import (
     with_term_stats,
 )
 from vellumark.operators.tokens import (
-    analysed_documents,
     content_documents,
+    has_tokens,
+    stemmed_documents,
     text_documents,
     tokenised_documents,
 )
 from vellumark.operators.topics import assign_topics, embed_documents, topic_table
-from vellumark.plans.metrics import run_metrics
+from vellumark.plans.metrics import RunMeter
 from vellumark.session import build_session, materialise
 from vellumark.sources.catalogue import read_catalogue_csv
 from vellumark.sources.sinks import write_preview_csv, write_report, write_table
 
 
-def analysed(documents: DataFrame, stem: bool = True, name: str = "stats") -> DataFrame:
-    """Scored documents with term statistics, written once for the passes that follow."""
-    tokens = analysed_documents(documents, stem)
-    return materialise(with_term_stats(with_sentiment(tokens)), name)
+def analysed(documents: DataFrame, stem: bool = True, name: str = "stats", meter: RunMeter | None = None) -> DataFrame:
+    """Scored documents with term statistics, written once for the passes that follow.
+
+    A ``meter`` counts the documents of each step in the same pass.
+    """
+    if meter:
+        documents = meter.watch(documents, "tokenised", has_tokens(F.col("text")))
+    content = content_documents(documents)
+    if meter:
+        content = meter.watch(content, "filtered")
+    scored = with_sentiment(stemmed_documents(content)) if stem else with_sentiment(content, POSITIVE_TERMS, NEGATIVE_TERMS)
+    stats = with_term_stats(scored)
+    return materialise(meter.watch(stats, "stemmed") if meter else stats, name)
 
 
 def topics(stats: DataFrame, reproducible: bool = True) -> DataFrame:
@@ -65,14 +77,14 @@ def similar_titles(clustered: DataFrame, hashing: Hashing | Probing | None = Pro
     return describe_pairs(pairs, clustered)
 
 
-def text_tables(raw: DataFrame, cleaned: DataFrame | None = None) -> dict[str, DataFrame]:
+def text_tables(raw: DataFrame, cleaned: DataFrame | None = None, meter: RunMeter | None = None) -> dict[str, DataFrame]:
     """Cleaned, grouped and text tables by name; no model is trained.
 
     ``cleaned`` is the cleaned table where it has been written already.
     """
     cleaned = clean_catalogue(raw) if cleaned is None else cleaned
     documents = text_documents(cleaned)
-    stats = analysed(documents)
+    stats = analysed(documents, meter=meter)
     records = tfidf_records(stats)
     return {
         "raw": raw,
@@ -89,13 +101,13 @@ def text_tables(raw: DataFrame, cleaned: DataFrame | None = None) -> dict[str, D
     }
 
 
-def run_tables(raw: DataFrame, cleaned: DataFrame | None = None) -> dict[str, DataFrame]:
+def run_tables(raw: DataFrame, cleaned: DataFrame | None = None, meter: RunMeter | None = None) -> dict[str, DataFrame]:
     """Every table of a run by name.
 
     Without any document there is nothing to train on, and the tables that
     need a model are left out.
     """
-    tables = text_tables(raw, cleaned)
+    tables = text_tables(raw, cleaned, meter)
     if tables["stemmed"].isEmpty():
         return tables
     clustered = topics(tables["stemmed"])
@@ -114,18 +126,16 @@ OUTPUTS = [
 
 def run(spark: SparkSession, source: str, out: str, sort: bool = False) -> None:
     """Write all tables below ``out``; ``sort`` stores them in presentation order."""
+    meter = RunMeter()
     raw = read_catalogue_csv(spark, source)
-    write_table(clean_catalogue(raw), f"{out}/cleaned")
-    tables = run_tables(raw, spark.read.parquet(f"{out}/cleaned"))
-    written = dict(tables)
+    write_table(meter.watch(clean_catalogue(meter.watch(raw, "raw")), "cleaned"), f"{out}/cleaned")
+    tables = run_tables(raw, spark.read.parquet(f"{out}/cleaned"), meter)
     for name in OUTPUTS[1:]:
-        if name not in tables:
-            continue
-        df = tables[name]
-        write_table(ordered(df, name) if sort else df, f"{out}/{name}")
-        written[name] = spark.read.parquet(f"{out}/{name}")
-    write_preview_csv(ordered(written["agg"], "agg"), f"{out}/preview.csv")
-    write_report(run_metrics(written, source), f"{out}/metrics.json")
+        if name in tables:
+            df = ordered(tables[name], name) if sort else tables[name]
+            write_table(meter.watch(df, name), f"{out}/{name}")
+    write_preview_csv(ordered(spark.read.parquet(f"{out}/agg"), "agg"), f"{out}/preview.csv")
+    write_report(meter.row(spark, source), f"{out}/metrics.json")
 
 
 def main() -> None:
