@@ -32,6 +32,25 @@ def test_csv_quoted_line_breaks(spark, tmp_path):
     assert catalogue.read_catalogue_csv(spark, path).count() == 2
 
 
+def test_damaged_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    whole = 's{},Movie,T,Ann,"Peru, Chile","May 1, 2020",2019,PG,9 min,A,"D, e"\n'
+    lines = [whole.format(1), "s2,Movie\n", whole.format(3).rstrip() + ",x,y\n", "\n", 's4,Movie,"open\n', 'rest",Ann\n', whole.format(5), "s6,,,,,,,,,,\n"]
+    first = write(tmp_path / "in" / "a.csv", HEADER + "".join(lines))
+    write(tmp_path / "in" / "b.csv", HEADER.replace("show_id,type", "type,show_id") + whole.format(7))
+    write(tmp_path / "in" / "c.csv", HEADER)
+    kept, rejected = catalogue.quarantined_csv(spark, str(tmp_path / "in"))
+    assert kept.columns == catalogue.RAW_COLUMNS
+    assert sorted((r.show_id, r.country) for r in kept.collect()) == [("s1", "Peru, Chile"), ("s5", "Peru, Chile"), ("s6", None)]
+    got = sorted((r.line[:7], r.reason, r.file.endswith("a.csv"), r.block) for r in rejected.collect() if r.reason != "header")
+    assert got == [('rest",A', "torn", True, 0), ("s2,Movi", "short", True, 0), ("s3,Movi", "long", True, 0), ("s4,Movi", "torn", True, 0)]
+    others = rejected.filter("reason = 'header'").collect()
+    assert len(others) == 2 and all(r.file.endswith("b.csv") for r in others)
+    assert kept.count() + rejected.count() == len(lines) - 1 + 2
+    with pytest.raises(catalogue.MissingInput):
+        catalogue.quarantined_csv(spark, first + ".none")
+
+
 def test_missing_inputs(spark, tmp_path):
     with pytest.raises(catalogue.MissingInput):
         catalogue.read_catalogue_csv(spark, str(tmp_path / "none.csv"))

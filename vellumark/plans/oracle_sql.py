@@ -571,3 +571,16 @@ QUALIFY row_number() OVER (PARTITION BY left_content_id ORDER BY cosine_similari
 }
 # The same metrics, gathered another way.
 SQL["run_metrics_observed"] = SQL["run_metrics_row"]
+SQL["headline_numbers_stored"] = _sql(
+    _ALL,
+    "SELECT "
+    + _COUNTS
+    + """,
+  (SELECT count(*) FROM scored WHERE sentiment_label = 'positive') AS positive_document_count,
+  (SELECT count(*) FROM scored WHERE sentiment_label = 'neutral') AS neutral_document_count,
+  (SELECT count(*) FROM scored WHERE sentiment_label = 'negative') AS negative_document_count""",
+)
+SQL["csv_quarantine"] = _sql(
+    RAW,
+    "SELECT show_id, CASE CAST(show_id AS BIGINT) % 10 WHEN 1 THEN 'short' WHEN 2 THEN 'long' WHEN 3 THEN 'torn' END AS reason FROM raw",
+)

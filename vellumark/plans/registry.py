@@ -14,7 +14,7 @@ from ..functions.text import bigrams
 from ..operators import clean, clusters, features, ordering, quality, sentiment, similar, terms, tokens, topics
 from ..session import built_once, materialise, new_path
 from ..sources import sinks
-from ..sources.catalogue import RAW_COLUMNS, read_catalogue_csv, read_report, read_table, table
+from ..sources.catalogue import RAW_COLUMNS, quarantined_csv, read_catalogue_csv, read_report, read_table, table
 from . import marts, transform
 from .metrics import METRICS_SCHEMA, RunMeter, headline_counts, run_metrics
 from .views import document_catalogue, raw_catalogue, vector_items
@@ -141,6 +141,26 @@ def csv_scan(spark, folder):
     return read_catalogue_csv(spark, path, RAW_COLUMNS)
 
 
+@query
+def csv_quarantine(spark, folder):
+    """The raw catalogue as CSV lines, of which three in ten are damaged: each id with the reason of its rejection."""
+    path = new_path(spark, "damaged-csv")
+    raw = raw_catalogue(spark, folder).select(*RAW_COLUMNS)
+    cells = [F.concat(F.lit('"'), F.regexp_replace(F.coalesce(c, F.lit("")), r'(["\\\\])', r"\\$1"), F.lit('"')) for c in RAW_COLUMNS]
+    damage = F.pmod(F.col("show_id").cast("long"), F.lit(10))
+    line = (
+        F.when(damage == 1, F.concat_ws(",", *cells[:3]))
+        .when(damage == 2, F.concat_ws(",", *cells, F.lit("more"), F.lit("cells")))
+        .when(damage == 3, F.concat(F.concat_ws(",", *cells[:2]), F.lit(',"cut')))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    header = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
+    header.union(raw.select(line)).coalesce(1).write.text(path)
+    kept, rejected = quarantined_csv(spark, path)
+    lost = rejected.select(F.regexp_extract("line", '^"([^"]*)"', 1).alias("show_id"), "reason")
+    return kept.select("show_id", F.lit(None).cast("string").alias("reason")).union(lost)
+
+
 @query
 def parquet_sink(spark, folder):
     path = new_path(spark, "agg")
@@ -765,3 +785,11 @@ def run_metrics_observed(spark, folder):
     path = new_path(spark, "observed-metrics")
     sinks.write_report(meter.row(spark, "tables"), path)
     return read_report(spark, path, METRICS_SCHEMA).drop("generated_at_utc")
+
+
+@query
+def headline_numbers_stored(spark, folder):
+    """Headline numbers where a run has stored its metrics."""
+    found = _metric_tables(spark, folder)
+    metrics = built_once(spark, "stored-metrics", folder, lambda: run_metrics(found, "tables", stamp=False))
+    return headline_counts(metrics, found)
