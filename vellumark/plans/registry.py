@@ -154,8 +154,16 @@ def csv_quarantine(spark, folder):
         .when(damage == 3, F.concat(F.concat_ws(",", *cells[:2]), F.lit(',"cut')))
         .otherwise(F.concat_ws(",", *cells))
     )
-    header = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
-    header.union(raw.select(line)).coalesce(1).write.text(path)
+    # Lines as they are, each file with the header: a sink without quotes and with a separator that no line holds.
+    (
+        raw.select(line.alias(",".join(RAW_COLUMNS)))
+        .write.option("header", True)
+        .option("sep", "\u0001")
+        .option("quote", "\u0000")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     kept, rejected = quarantined_csv(spark, path)
     lost = rejected.select(F.regexp_extract("line", '^"([^"]*)"', 1).alias("show_id"), "reason")
     return kept.select("show_id", F.lit(None).cast("string").alias("reason")).union(lost)
