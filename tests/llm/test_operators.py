@@ -1,6 +1,8 @@
 """The operators against brute force on a small table with the awkward cases."""
 
+import gzip
 import hashlib
+import io
 import random
 from collections import Counter
 
@@ -398,6 +400,51 @@ def test_warc(spark, tmp_path):
     assert warc.archived_pages(spark, pages.limit(0)).count() == 0
 
 
+def test_warc_headers_as_given_and_checksums(spark, tmp_path):
+    given = ["http://a/b%2Fc?q=%0A", "http://a/é 😀", "two\r\nWARC-Type: revisit\u2028", " edge ", "", None]
+    rows = [(f"{i}\nx" if i == 2 else str(i), uri, b"" if i == 1 else b"pay%d" % i) for i, uri in enumerate(given)] + [(None, "u", b"z" * 300_000)]
+    frame = spark.createDataFrame(rows, "record_id string, target_uri string, payload binary").selectExpr(
+        "'response' record_type", "record_id", "target_uri", "cast(null as string) refers_to", "sha2(payload, 256) payload_digest",
+        "cast(length(payload) as long) payload_length", "payload",
+    )
+    path = str(tmp_path / "own")
+    warc.write_archive(frame, path)
+    columns = warc.SCHEMA.fieldNames()
+    assert sorted(map(str, warc.read_archive(spark, path).select(columns).collect())) == sorted(map(str, frame.select(columns).collect()))
+    assert warc.read_archive(spark, path).filter(F.col("target_uri") == given[0]).select("record_id").first()[0] == "0"
+
+    record = warc.record_bytes({"record_type": "response", "record_id": "1"}, b"payload" * 99)
+    broken = record[:-8] + bytes([record[-8] ^ 1]) + record[-7:]
+    with pytest.raises(ValueError, match="checksum"):
+        list(warc.read_records(io.BytesIO(broken), {}, True))
+    # An unwanted record is jumped over.
+    kept = list(warc.read_records(io.BytesIO(broken + record), {"record_type": {"revisit"}}, True))
+    assert kept == [] and len(list(warc.read_records(io.BytesIO(broken + record), {}, False))) == 2
+
+
+def test_warc_of_other_writers(spark, tmp_path):
+    def record(kind, ident, body, more=""):
+        return f"WARC/1.0\r\nWARC-Type:{kind}\r\nwarc-record-id: <urn:uuid:{ident}>\r\n{more}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+    parts = [
+        record("warcinfo", "a", b"software: x\r\n"),
+        record("response", "b", b"HTTP/1.1 200 OK\r\n\r\n<p>\r\n\r\n</p>", "WARC-Target-URI: http://x/%41\r\n  b\r\n"),
+        record("request", "c", b"G" * 100_000),
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "plain.warc").write_bytes(b"".join(parts))
+    (tmp_path / "in" / "each.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    (tmp_path / "in" / "whole.warc.gz").write_bytes(gzip.compress(b"".join(parts)))
+    (tmp_path / "in" / "notes.txt").write_bytes(b"none")
+    for path, files in ((tmp_path / "in", 3), (tmp_path / "in" / "each.warc.gz", 1)):
+        got = warc.read_archive(spark, f"file://{path}").collect()
+        assert sorted((r.record_type, r.record_id, r.payload_length) for r in got) == sorted(
+            [("warcinfo", "<urn:uuid:a>", 13), ("response", "<urn:uuid:b>", 30), ("request", "<urn:uuid:c>", 100_000)] * files
+        )
+        found = warc.read_archive(spark, f"file://{path}").filter("record_type = 'response'").collect()
+        assert {(r.target_uri, bytes(r.payload)) for r in found} == {("http://x/%41 b", b"HTTP/1.1 200 OK\r\n\r\n<p>\r\n\r\n</p>")}
+
+
 def test_classifier(spark, docs, labels, empty):
     rows = [(i, " ".join(words(60)) if i % 2 else "JUNK!! " * 30, i % 2) for i in range(400)]
     own = spark.createDataFrame(rows, "doc_id long, text string, quality int")

@@ -10,19 +10,27 @@ Reading: one partition per run of files. Equality and IN filters on
 header block of a record first and leaves the payload compressed when a filter rejects
 the record or no payload column is wanted (option ``payload``).
 
+Archives of other writers are read, too: plain ones and gzip without length fields, of a folder without
+manifest or a single file; their payload is the record's whole block. Checksums of records whose payload is read
+are verified. Header values that a line cannot hold are percent-quoted, and a header of our own
+names the columns for which this was done; all others are written and read as they are.
+
 Columns: record_type, record_id, target_uri, refers_to, payload_digest,
 payload_length (as the headers say) and payload (null for revisits). Null header
-values are not written. Null payloads are empty. Rows without an id are written without one.
+values are not written. Null payloads are empty. A row without an id gets a random one in the file and is read back without.
 """
 
 from __future__ import annotations
 
+import gzip
+import io
 import json
 import struct
 import urllib.parse
 import uuid
 import zlib
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs
@@ -73,16 +81,40 @@ def _store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def record_bytes(values: dict, payload: bytes) -> bytes:
-    """A gzip member with one record; ``values`` by column name."""
-    lines = ["WARC/1.1"]
+# Forms of the format.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_ID, _NO_ID, _DIGEST = "<urn:x-record:", "<urn:x-no-record:", "sha256:"
+_ESCAPED = "X-Escaped"
+_READ_AHEAD = 4096
+
+
+def _header_lines(values: dict) -> list[str]:
+    lines, escaped = ["WARC/1.1", f"WARC-Date: {datetime.now(UTC):%Y-%m-%dT%H:%M:%SZ}"], []
     for column, header in HEADERS.items():
         value = values.get(column)
-        if value is not None:
-            text = urllib.parse.quote(value, safe=":/?#[]@!$&'()*+,;=%~-._ ") if column == "target_uri" else str(value)
-            lines.append(f"{header}: {text}")
-    lines.append(f"Content-Length: {len(payload)}")
-    head = ("\r\n".join(lines) + "\r\n\r\n").encode()
+        if value is None:
+            if column == "record_id":
+                lines.append(f"{header}: {_NO_ID}{uuid.uuid4()}>")
+            continue
+        text = str(value)
+        if text != text.strip() or not text or any(c < " " or c in "\x7f\x85\u2028\u2029" for c in text):
+            text = urllib.parse.quote(text, safe="")
+            escaped.append(column)
+        if column in ("record_id", "refers_to"):
+            text = f"{_ID}{text}>"
+        elif column == "payload_digest":
+            text = _DIGEST + text
+        lines.append(f"{header}: {text}")
+    if values.get("record_type") == "revisit":
+        lines.append(f"WARC-Profile: {REVISIT_PROFILE}")
+    if escaped:
+        lines.append(f"{_ESCAPED}: {','.join(escaped)}")
+    return lines
+
+
+def record_bytes(values: dict, payload: bytes) -> bytes:
+    """A gzip member with one record; ``values`` by column name."""
+    head = ("\r\n".join([*_header_lines(values), f"Content-Length: {len(payload)}"]) + "\r\n\r\n").encode()
     packer = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, -15)
     # A full flush after the headers lets a reader inflate them alone.
     body = packer.compress(head) + packer.flush(zlib.Z_FULL_FLUSH) + packer.compress(payload + b"\r\n\r\n") + packer.flush()
@@ -93,49 +125,94 @@ def record_bytes(values: dict, payload: bytes) -> bytes:
     return start + body + struct.pack("<II", zlib.crc32(raw), len(raw) & 0xFFFFFFFF)
 
 
-def _head(data: memoryview) -> tuple[dict, bytes, zlib._Decompress]:
-    """Columns of the header block, what was inflated beyond it, and the inflater."""
-    inflater = zlib.decompressobj(-15)
-    out, at = b"", 0
-    while (end := out.find(b"\r\n\r\n")) < 0:
-        part = inflater.unconsumed_tail or data[at : at + 4096]
-        if not inflater.unconsumed_tail:
-            at += 4096
-        if not part:
-            raise ValueError("A record ends within its headers.")
-        out += inflater.decompress(part, 1 << 16)
-    rest = (inflater.unconsumed_tail, data[at:])
-    values = {}
-    for line in out[:end].decode("utf-8").split("\r\n")[1:]:
-        name, _, value = line.partition(": ")
-        values[name.lower()] = value
-    return values, out[end + 4 :], (inflater, rest)
-
-
-def _payload(values: dict, begun: bytes, state) -> bytes:
-    inflater, (tail, rest) = state
+def _row(head: bytes) -> tuple[dict, int]:
+    """Columns of a header block, without the payload, and the length of the record's block."""
+    values, name = {}, ""
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t"):  # a folded line
+            values[name] = f"{values.get(name, '')} {line.strip()}"
+            continue
+        name, _, value = line.partition(":")
+        name = name.strip().lower()
+        values[name] = value.strip(" \t")
+    row = {column: values.get(header) for header, column in _COLUMN.items()}
+    if (row["record_id"] or "").startswith(_NO_ID):
+        row["record_id"] = None
+    for column in ("record_id", "refers_to"):
+        if (row[column] or "").startswith(_ID):
+            row[column] = row[column][len(_ID) : -1]
+    row["payload_digest"] = row["payload_digest"] and row["payload_digest"].removeprefix(_DIGEST)
+    for column in filter(None, values.get(_ESCAPED.lower(), "").split(",")):
+        row[column] = urllib.parse.unquote(row[column])
     length = int(values["content-length"])
-    out = begun + inflater.decompress(bytes(tail)) + inflater.decompress(rest) + inflater.flush()
+    row["payload_length"] = length if row["payload_length"] is None else int(row["payload_length"])
+    return row, length
+
+
+def _block(out: bytes, length: int) -> bytes:
     if len(out) < length:
         raise ValueError("A record is shorter than its Content-Length.")
     return out[:length]
 
 
 def read_records(file, wanted: dict[str, set], payload: bool):
-    """Column values of the records that match ``wanted`` (column -> allowed values), from an open file."""
-    while start := file.read(20):
+    """Column values of the records that match ``wanted`` (column -> allowed values), from an open file that can seek."""
+
+    def chosen(row):
+        """Whether the record is wanted at all, and with its payload."""
+        fits = all(row[column] in allowed for column, allowed in wanted.items())
+        return fits, fits and payload and row["record_type"] != "revisit"
+
+    while True:
+        begin = file.tell()
+        start = file.read(20)
+        if not start:
+            return
         if len(start) < 20 or start[:4] != b"\x1f\x8b\x08\x04" or start[12:14] != b"SL":
-            raise ValueError("A record has no length field.")
+            file.seek(begin)
+            yield from _foreign_records(gzip.GzipFile(fileobj=file) if start[:2] == b"\x1f\x8b" else file, chosen)
+            return
         size = struct.unpack("<I", start[16:20])[0]
-        values, begun, state = _head(memoryview(file.read(size - 20))[:-8])
-        row = {column: values.get(header) for header, column in _COLUMN.items()}
-        if row["payload_length"] is not None:
-            row["payload_length"] = int(row["payload_length"])
-        if row["target_uri"] is not None:
-            row["target_uri"] = urllib.parse.unquote(row["target_uri"])
-        if all(row[column] in allowed for column, allowed in wanted.items()):
-            full = payload and row["record_type"] != "revisit"
-            row["payload"] = _payload(values, begun, state) if full else None
+        inflater, out, left = zlib.decompressobj(-15), b"", size - 20
+        while (end := out.find(b"\r\n\r\n")) < 0:
+            part = file.read(min(left, _READ_AHEAD))
+            if not part:
+                raise ValueError("A record ends within its headers.")
+            left -= len(part)
+            out += inflater.decompress(part)
+        row, length = _row(out[:end])
+        fits, full = chosen(row)
+        row["payload"] = None
+        if full:
+            out += inflater.decompress(file.read(left)) + inflater.flush()
+            if inflater.unused_data != struct.pack("<II", zlib.crc32(out), len(out) & 0xFFFFFFFF):
+                raise ValueError("The checksum of a record is wrong.")
+            row["payload"] = _block(out[end + 4 :], length)
+        else:
+            # Payloads that nobody wants are neither read nor inflated.
+            file.seek(begin + size)
+        if fits:
+            yield row
+
+
+def _foreign_records(file, chosen):
+    """The same from records one after the other, plain or as gzip inflates them."""
+    while line := file.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError("A record does not begin with the name of the format.")
+        head = [line.rstrip(b"\r\n")]
+        while (line := file.readline()).strip():
+            head.append(line.rstrip(b"\r\n"))
+        row, length = _row(b"\r\n".join(head))
+        fits, full = chosen(row)
+        row["payload"] = None
+        if full:
+            row["payload"] = _block(file.read(length), length)
+        else:
+            file.seek(length, io.SEEK_CUR)
+        if fits:
             yield row
 
 
@@ -163,14 +240,19 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self):
         store, base = _store(self.path)
-        with store.open_input_stream(f"{base}/{MANIFEST}", compression=None) as file:
-            names = json.loads(file.read())
+        if store.get_file_info(f"{base}/{MANIFEST}").type == fs.FileType.File:
+            with store.open_input_stream(f"{base}/{MANIFEST}", compression=None) as file:
+                names = [f"{base}/{name}" for name in json.loads(file.read())]
+        elif store.get_file_info(base).type == fs.FileType.File:
+            names = [base]
+        else:
+            names = sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith((".warc", ".warc.gz")))
         return [FileRun(names[i : i + self.files]) for i in range(0, len(names), self.files)] or [FileRun([])]
 
     def read(self, partition):
-        store, base = _store(self.path)
+        store, _ = _store(self.path)
         for name in partition.paths:
-            with store.open_input_stream(f"{base}/{name}", compression=None, buffer_size=1 << 20) as file:
+            with io.BufferedReader(store.open_input_file(name), 1 << 20) as file:
                 rows, size = [], 0
                 for row in read_records(file, self.wanted, self.payload):
                     rows.append(row)
