@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from vellumark.operators import blocks
 from vellumark.operators.probing import Probing, likely_codes
 from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, pruning_report, similar_pairs
 
@@ -160,3 +162,17 @@ def test_probing_of_copies_splits_no_further(spark):
     found = pairs_of(similar_pairs(frame(spark, items), "v", hashing=Probing(tables=2), block_rows=16))
     copies = {(f"{i:04d}", f"{j:04d}", 1.0) for i in range(400) for j in range(i + 1, min(i + 4, 400))}
     assert copies <= found
+
+
+def test_a_tile_yields_the_best_of_all_its_meetings(spark):
+    random = np.random.RandomState(6)
+    base = random.randn(8)
+    rows = [(f"{i:03d}", [float(x) for x in unit / np.linalg.norm(unit)]) for i in range(160) for unit in [base + 0.1 * random.randn(8)]]
+    units = spark.createDataFrame(rows, "id string, unit array<double>").withColumn("cell", F.lit(0).cast("long"))
+    packed = blocks.packed_blocks(blocks.numbered_blocks(units, ["cell"], len(rows), 16), 8).cache()
+    left, right = packed.select("cell", "block"), packed.select(F.col("cell").alias("to_cell"), F.col("block").alias("to_block"))
+    limits = {"max_distance": 0.75, "min_cosine": 0.7, "neighbours": 3}
+    found = blocks.compared(packed, packed, left.crossJoin(right), limits, 8)
+    assert found.groupBy("left_id").count().agg(F.max("count")).first()[0] == 3
+    expected = brute_force({name: np.array(unit) for name, unit in rows}, 0.75, 0.7, 3)
+    assert pairs_of(found.select("left_id", "right_id", "cosine_similarity")) == expected

@@ -45,6 +45,10 @@ PACKED = (
 )
 PAIRS = "left_id string, right_id string, cosine_similarity double, embedding_distance double"
 _FOUND = f"cell long, block long, {PAIRS}"
+_PLACE = "struct<to_cell: bigint, to_block: bigint>"
+# Items on each side of a tile: what one task holds. Small inputs make smaller tiles, so that all cores have some.
+TILE_ROWS = 32_768
+TILE_LEAST = 512
 
 
 def numbered_blocks(rows: DataFrame, bucket: list[str], total: int, block_rows: int) -> DataFrame:
@@ -141,37 +145,73 @@ def search(left_ids, left, right_ids, right, limits: dict, needed: np.ndarray |
     """
     keep, found = limits["neighbours"], []
     open_rows = np.arange(len(left_ids))
+    far = np.full(len(left_ids), limits["max_distance"])
     if needed is not None:
+        far = np.minimum(far, needed)
         to_centre = np.sqrt(np.maximum(((left - centre[0]) ** 2).sum(1), 0))
         open_rows = open_rows[to_centre - centre[1] <= needed + SLACK]
     starts = _groups(right_ids)
     names = right_ids[starts]
     first = np.searchsorted(names, left_ids, side="right")
-    columns = np.arange(len(names))
+    open_rows = open_rows[first[open_rows] < len(names)]
+    least_units = round(limits["min_cosine"] * 10000)
+    # The least product of a pair that can count; the limits themselves are tested on the few that reach it.
+    floor = np.maximum(1.0 - far**2 / 2.0, (least_units - 0.5) / 10000) - 1e-7
     for begin in range(0, len(open_rows), 512):
         rows = open_rows[begin : begin + 512]
-        squared = np.maximum(2.0 - 2.0 * (left[rows] @ right.T), 0.0)
+        # Names that are larger than the least id of these rows.
+        lowest = int(first[rows].min())
+        products = left[rows] @ right[starts[lowest] :].T
         if len(starts) < len(right_ids):
-            squared = np.minimum.reduceat(squared, starts, axis=1)
+            products = np.maximum.reduceat(products, starts[lowest:] - starts[lowest], axis=1)
+        if keep is not None and keep < products.shape[1]:
+            products[np.arange(lowest, len(names)) < first[rows, None]] = -2.0
+            reached = products >= floor[rows, None]
+            if np.count_nonzero(reached) > 4 * keep * len(rows):
+                # Rounding is monotonous, so what is rounded below the last one wanted cannot be among them.
+                last = np.partition(products, -keep, axis=1)[:, -keep] - 1.01 / 10000
+                reached &= products >= last[:, None]
+        else:
+            reached = products >= floor[rows, None]
+        i, j = np.nonzero(reached)
+        squared = np.maximum(2.0 - 2.0 * products[i, j], 0.0)
         units = np.floor((1.0 - squared / 2.0) * 10000 + 0.5).astype(np.int64)
         distance = np.sqrt(squared)
-        valid = (
-            (columns >= first[rows, None])
-            & (distance < limits["max_distance"])
-            & (units >= round(limits["min_cosine"] * 10000))
-        )
-        if keep is not None and keep < len(names):
-            # Higher similarity first, then the smaller id, as one number per pair.
-            rank = np.where(valid, units * len(columns) - columns, np.iinfo(np.int64).min)
-            best = np.argpartition(rank, -keep, axis=1)[:, -keep:]
-            chosen = np.zeros_like(valid)
-            np.put_along_axis(chosen, best, True, axis=1)
-            valid &= chosen
-        i, j = np.nonzero(valid)
-        found.append((rows[i], names[j], units[i, j], distance[i, j]))
+        j = j + lowest
+        valid = (j >= first[rows[i]]) & (distance < limits["max_distance"]) & (units >= least_units)
+        i, j, units, distance = i[valid], j[valid], units[valid], distance[valid]
+        if keep is not None:
+            chosen = _leading(i, j, units, keep)
+            i, j, units, distance = i[chosen], j[chosen], units[chosen], distance[chosen]
+        found.append((rows[i], names[j], units, distance))
     return found
 
 
+def _leading(i: np.ndarray, j: np.ndarray, units: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the first ``keep`` per ``i``: higher similarity first, then the smaller ``j``."""
+    order = np.lexsort((j, -units, i))
+    row = i[order]
+    begins = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
+    rank = np.arange(len(row)) - np.repeat(begins, np.diff(np.append(begins, len(row))))
+    return order[rank < keep]
+
+
+def merged(left_ids: np.ndarray, found: list[tuple], keep: int | None) -> list[tuple]:
+    """What several searches of the same left rows found, each pair of a row and an id once, the best ``keep`` per row."""
+    if len(found) < 2 or keep is None:
+        return found
+    i, names, units, distance = (np.concatenate([f[k] for f in found]) for k in range(4))
+    if not len(i):
+        return []
+    names, j = np.unique(names, return_inverse=True)
+    order = np.lexsort((distance, -units, j, i))
+    i, j, units, distance = i[order], j[order], units[order], distance[order]
+    fresh = np.concatenate([[True], (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    i, j, units, distance = i[fresh], j[fresh], units[fresh], distance[fresh]
+    chosen = _leading(i, j, units, keep)
+    return [(i[chosen], names[j[chosen]], units[chosen], distance[chosen])]
+
+
 def pair_columns(left_ids: np.ndarray, found: list[tuple]) -> dict:
     i = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
     return {
@@ -184,48 +224,114 @@ def pair_columns(left_ids: np.ndarray, found: list[tuple]) -> dict:
     }
 
 
+def _tile_groups(packed: DataFrame) -> int:
+    """Groups of about ``TILE_ROWS`` items, enough of them for all cores."""
+    rows = packed.agg(F.sum(F.size("ids"))).first()[0] or 0
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    return max(math.ceil(rows / TILE_ROWS), min(math.ceil(math.sqrt(2 * cores)), math.ceil(rows / TILE_LEAST)), 1)
+
+
+def _group(cell: str, block: str, groups: int):
+    return F.pmod(F.xxhash64(cell, block), F.lit(groups))
+
+
 def compared(
-    packed: DataFrame, others: DataFrame, meetings: DataFrame, limits: dict, width: int, state: DataFrame | None = None
+    packed: DataFrame,
+    others: DataFrame,
+    meetings: DataFrame,
+    limits: dict,
+    width: int,
+    state: DataFrame | None = None,
+    met: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs of the blocks that meet: ``meetings`` has cell, block (of ``packed``), to_cell, to_block (of ``others``)."""
-    left = packed.select("cell", "block", "ids", "units")
-    if state is not None:
-        left = left.join(state.select("cell", "block", "needs"), ["cell", "block"])
+    """Pairs of the blocks that meet: ``meetings`` has cell, block (of ``packed``), to_cell, to_block (of ``others``).
+
+    Blocks are dealt into groups, and two groups are a tile: a block travels once to each tile in which it meets any
+    other, not once per meeting, and a tile yields the best of a left row over all its meetings. Without
+    ``to_block`` a meeting is with every block of a cell for which bounds leave room by the ``state`` of the left
+    block, those of ``met`` apart.
+    """
+    left_groups, right_groups = _tile_groups(packed), _tile_groups(others)
+    left_group, right_group = _group("cell", "block", left_groups), _group("to_cell", "to_block", right_groups)
+    if "to_block" in meetings.columns:
+        wanted = meetings.select("cell", "block", "to_cell", "to_block").withColumn("right", right_group)
     else:
-        left = left.withColumn("needs", F.lit(None).cast("map<string,double>"))
+        placed = others.select(F.col("cell").alias("to_cell"), F.col("block").alias("to_block")).withColumn("right", right_group)
+        places = placed.select("to_cell", "right").distinct()
+        wanted = meetings.select("cell", "block", "to_cell").join(places, "to_cell").withColumn("to_block", F.lit(-1).cast("long"))
+    tiled = wanted.groupBy("cell", "block", "right").agg(F.collect_set(F.struct("to_cell", "to_block")).alias("partners"))
+    tiled = materialise(tiled.withColumn("left", left_group), "similar-tiles")
+
+    nothing = {"needs": "map<string,double>", "need": "double", "until": "string", "done": f"array<{_PLACE}>"}
+    held = packed.select("cell", "block", "ids", "units", "centroid", "radius", "first_id", "last_id")
+    if state is not None:
+        until = F.when(F.col("same"), F.coalesce("until", F.lit(""))).alias("until")
+        held = held.join(state.select("cell", "block", "needs", "need", until), ["cell", "block"])
+    if met is not None:
+        done = met.groupBy("cell", "block").agg(F.collect_set(F.struct("to_cell", "to_block")).alias("done"))
+        held = held.join(done, ["cell", "block"], "left")
+    left = held.withColumns({name: F.lit(None).cast(kind) for name, kind in nothing.items() if name not in held.columns})
+    left = tiled.join(left, ["cell", "block"])
+    # A right block is sent to the tiles of its group in which its cell or itself is wanted.
+    asked = tiled.select("left", "right", F.explode("partners").alias("p")).select("left", "right", "p.to_cell", "p.to_block").distinct()
     right = others.select(
-        F.col("cell").alias("to_cell"),
-        F.col("block").alias("to_block"),
-        F.col("ids").alias("right_ids"),
-        F.col("units").alias("right_units"),
-        F.col("centroid").alias("centre"),
-        "radius",
+        F.col("cell").alias("to_cell"), F.col("block").alias("to_block"), "ids", "units", "centroid", "radius", "first_id", "last_id"
     )
-    joined = meetings.select("cell", "block", "to_cell", "to_block").join(left, ["cell", "block"]).join(right, ["to_cell", "to_block"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                at = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
-                left_ids, right_ids = (np.array(at[name].as_py(), object) for name in ("ids", "right_ids"))
-                units, right_units = (np.frombuffer(at[name].as_py()).reshape(-1, width) for name in ("units", "right_units"))
-                needed = None
-                if at["needs"].is_valid:
-                    needs = dict(at["needs"].as_py())
-                    needed = np.array([needs.get(name, limits["max_distance"]) for name in left_ids])
-                centre = (np.frombuffer(at["centre"].as_py()), at["radius"].as_py())
-                out = pair_columns(left_ids, search(left_ids, units, right_ids, right_units, limits, needed, centre))
-                n = len(out["left_id"])
-                yield pa.RecordBatch.from_pydict(
-                    {"cell": pa.array([at["cell"].as_py()] * n, pa.int64()), "block": pa.array([at["block"].as_py()] * n, pa.int64()), **out}
-                )
-
-    columns = joined.select("cell", "block", "ids", "units", "needs", "right_ids", "right_units", "centre", "radius")
-    return columns.mapInArrow(compare, _FOUND)
-
-
-def best_pairs(pairs: DataFrame, neighbours: int | None) -> DataFrame:
-    """Each pair of ids once, at its nearest; with ``neighbours`` the best of each left id."""
+    if "to_block" in meetings.columns:
+        right = asked.join(right, ["to_cell", "to_block"])
+    else:
+        right = asked.drop("to_block").join(right.withColumn("right", right_group), ["to_cell", "right"])
+    right = right.withColumnsRenamed({"to_cell": "cell", "to_block": "block"})
+    right = right.withColumns({"partners": F.lit(None).cast(f"array<{_PLACE}>"), **{name: F.lit(None).cast(kind) for name, kind in nothing.items()}})
+    both = left.withColumn("own", F.lit(True)).unionByName(right.withColumn("own", F.lit(False)))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        sides: dict[bool, list] = {True: [], False: []}
+        for row in rows.to_pylist():
+            row["ids"] = np.array(row["ids"], object)
+            row["units"] = np.frombuffer(row["units"]).reshape(-1, width)
+            row["centroid"] = np.frombuffer(row["centroid"])
+            sides[row["own"]].append(row)
+        others = sides[False]
+        centroids = np.array([r["centroid"] for r in others]).reshape(-1, width)
+        radii = np.array([r["radius"] for r in others])
+        out = []
+        for own in sides[True]:
+            partners, done = ({(p["to_cell"], p["to_block"]) for p in own[name] or ()} for name in ("partners", "done"))
+            needed = None
+            if own["needs"] is not None:
+                needs = dict(own["needs"])
+                needed = np.array([needs.get(name, limits["max_distance"]) for name in own["ids"]])
+            need = limits["max_distance"] if own["need"] is None else own["need"]
+            bound = np.sqrt(((centroids - own["centroid"]) ** 2).sum(1)) - radii - own["radius"]
+            found = []
+            for to in np.flatnonzero(bound <= need + SLACK).tolist():
+                other = others[to]
+                at = other["cell"], other["block"]
+                if at not in partners and ((at[0], -1) not in partners or at in done):
+                    continue
+                if other["last_id"] <= own["first_id"]:
+                    continue
+                if own["until"] is not None and other["first_id"] >= own["until"]:
+                    continue
+                found += search(own["ids"], own["units"], other["ids"], other["units"], limits, needed, (other["centroid"], other["radius"]))
+            columns = pair_columns(own["ids"], merged(own["ids"], found, limits["neighbours"]))
+            n = len(columns["left_id"])
+            out.append(pa.table({"cell": pa.array([own["cell"]] * n, pa.int64()), "block": pa.array([own["block"]] * n, pa.int64()), **columns}))
+        names = ["cell", "block", "left_id", "right_id", "cosine_similarity", "embedding_distance"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        return pa.concat_tables([pa.schema(list(zip(names, kinds, strict=True))).empty_table(), *out])
+
+    return both.groupBy("left", "right").applyInArrow(compare, _FOUND)
+
+
+def best_pairs(pairs: DataFrame, neighbours: int | None, unique: bool = False) -> DataFrame:
+    """Each pair of ids once, at its nearest; with ``neighbours`` the best of each left id.
+
+    ``unique`` says that no pair occurs twice.
+    """
+    if unique and neighbours is None:
+        return pairs
     once = pairs.groupBy("left_id", "right_id").agg(
         F.max("cosine_similarity").alias("cosine_similarity"), F.min("embedding_distance").alias("embedding_distance")
     )
@@ -276,15 +382,11 @@ def _reach(summaries: DataFrame, pivots: np.ndarray, radii: np.ndarray, nearest:
                 rank = np.argsort(np.argsort(np.where(can, bound, np.inf), axis=1, kind="stable"), axis=1)
                 can &= rank < nearest
             i, j = np.nonzero(can)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(pa.array(i)) for k in range(batch.num_columns)), pa.array(j, pa.int64())], [*batch.schema.names, "to_cell"]
-            )
+            kept = [batch.column(k).take(pa.array(i)) for k, name in enumerate(batch.schema.names) if name in _REACH]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(j, pa.int64())], [*_REACH, "to_cell"])
 
-    wanted = summaries.select("cell", "block", "centroid", "radius", "first_id", "need", "same", "until")
-    return wanted.mapInArrow(
-        reach,
-        "cell long, block long, centroid binary, radius double, first_id string, need double, same boolean, until string, to_cell long",
-    )
+    wanted = summaries.select("cell", "block", "first_id", "same", "centroid", "radius", "need")
+    return wanted.mapInArrow(reach, "cell long, block long, first_id string, same boolean, to_cell long")
 
 
 def _apart(width: int):
@@ -311,6 +413,7 @@ def _within(candidates: DataFrame, width: int) -> DataFrame:
     return candidates.mapInArrow(keep, "cell long, block long, to_cell long, to_block long")
 
 
+_REACH = ["cell", "block", "first_id", "same"]
 _MEET = ["cell", "block", "to_cell", "to_block"]
 
 
@@ -326,7 +429,7 @@ def exact_pairs(rows: DataFrame, limits: dict, block_rows: int) -> tuple[DataFra
     pivots = _pivots(rows, total, block_rows)
     width = pivots.shape[1]
     packed = materialise(packed_blocks(numbered_blocks(_in_cells(rows, pivots), ["cell"], total, block_rows), width), "similar-blocks")
-    plain = packed.drop("units", "ids").withColumns({"need": F.lit(limits["max_distance"]), "same": F.lit(False), "until": F.lit(None).cast("string")})
+    plain = packed.drop("units", "ids", "last_id").withColumns({"need": F.lit(limits["max_distance"]), "same": F.lit(False), "until": F.lit(None).cast("string")})
     # How far a cell's vectors lie from its pivot: at most MAX_CELLS rows.
     radii = np.full(len(pivots), -np.inf)
     for row in _spread(plain, pivots).collect():
@@ -336,7 +439,7 @@ def exact_pairs(rows: DataFrame, limits: dict, block_rows: int) -> tuple[DataFra
     after = plain.select("cell", (F.col("block") - 1).alias("block"), F.col("block").alias("to_block"))
     own = plain.select("cell", "block", F.col("cell").alias("to_cell"), F.col("block").alias("to_block"))
     near = own.unionByName(after.withColumn("to_cell", F.col("cell")).filter("block >= 0"))
-    others = plain.select(
+    others = packed.select(
         F.col("cell").alias("to_cell"),
         F.col("block").alias("to_block"),
         F.col("centroid").alias("to_centroid"),
@@ -345,7 +448,7 @@ def exact_pairs(rows: DataFrame, limits: dict, block_rows: int) -> tuple[DataFra
         "last_id",
     )
     keep = limits["neighbours"]
-    met = near
+    met, state = near, None
     if keep is not None:
         # Of the nearest other cells, the block that goes on from the least id.
         ahead = _reach(plain, pivots, radii, FIRST_CELLS).join(others, "to_cell").filter(F.col("last_id") > F.col("first_id"))
@@ -354,22 +457,24 @@ def exact_pairs(rows: DataFrame, limits: dict, block_rows: int) -> tuple[DataFra
         found = materialise(compared(packed, packed, met, limits, width), "similar-near")
         state = materialise(_state(packed, found, limits), "similar-state")
         plain = plain.drop("need", "same", "until").join(state.drop("needs"), ["cell", "block"])
+    # Blocks of which cells; which of those the bounds leave is settled where they meet.
     ahead = _reach(plain, pivots, radii, None).filter(~(F.col("same") & (F.col("to_cell") == F.col("cell"))))
-    early = ~F.col("same") | (F.col("to_first") < F.col("until"))
-    further = _within(ahead.join(others, "to_cell").filter((F.col("last_id") > F.col("first_id")) & early), width)
-    if keep is not None:
-        further = further.join(met, _MEET, "left_anti")
-        pairs = found.unionByName(compared(packed, packed, materialise(further, "similar-far"), limits, width, state))
-        met = met.unionByName(further)
+    pairs = compared(packed, packed, ahead.select("cell", "block", "to_cell"), limits, width, state, None if keep is None else met)
+    unique = False
+    if keep is None:
+        unique = rows.select("id").distinct().count() == total
     else:
-        # All pairs: those of a block with itself and with later or other blocks are all in reach.
-        met = further
-        pairs = compared(packed, packed, further, limits, width)
+        pairs = found.unionByName(pairs)
+    # What the report counts, the same bounds once more; computed only if it is asked for.
+    early = ~F.col("same") | (F.col("to_first") < F.col("until"))
+    candidates = ahead.select("cell", "block", "to_cell").join(plain, ["cell", "block"]).join(others, "to_cell")
+    further = _within(candidates.filter((F.col("last_id") > F.col("first_id")) & early), width)
+    met = further if keep is None else met.unionByName(further.join(met, _MEET, "left_anti"))
     blocks = packed.select("cell", "block", "first_id", "last_id")
     counted = blocks.agg(F.count("*").alias("blocks")).crossJoin(met.agg(F.count("*").alias("met")))  # one row each
     allowed = F.col("blocks") * F.col("blocks")
     report = counted.select("blocks", allowed.alias("block_pairs"), "met", (1 - F.col("met") / allowed).alias("skipped"))
-    return best_pairs(pairs.drop("cell", "block"), keep), report
+    return best_pairs(pairs.drop("cell", "block"), keep, unique), report
 
 
 def _spread(plain: DataFrame, pivots: np.ndarray) -> DataFrame:
