@@ -327,6 +327,18 @@ def test_bpe(docs, empty, ranks):
     assert bpe.encoded(empty, ranks, public_tokenizers.PATTERN, ["doc_id"]).count() == 0
 
 
+def test_bpe_of_short_pieces_builds_no_states(ranks):
+    table, plain = bpe.parse_ranks(ranks), tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(ranks), special_tokens={})
+    encoder = bpe.Encoder(table, public_tokenizers.PATTERN)
+    draw = random.Random(11)
+    text = " ".join("".join(draw.choice("aeinorstXÉß9") for _ in range(draw.randint(1, 14))) for _ in range(3000))
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+    assert len(encoder.transducer.items) == 1
+    long = "".join(draw.choice("aeinorst") for _ in range(500))
+    assert np.frombuffer(encoder.encode(long), "<u4").tolist() == plain.encode_ordinary(long)
+    assert len(encoder.transducer.items) > 1
+
+
 def test_bpe_at_spaces_beside_other_white_space(ranks):
     table = bpe.parse_ranks(ranks)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
