@@ -1,6 +1,7 @@
 import pyarrow as pa
 
 from tests.conftest import token_documents
+from vellumark.functions import porter2
 from vellumark.functions.porter2 import stem, stem_lists
 from vellumark.operators.tokens import stemmed_documents
 
@@ -42,3 +43,17 @@ def test_documents(spark):
     if len(stem("aes")) >= 3:
         expected["2"] = [stem("aes")]
     assert rows == expected
+
+
+def test_parts_of_a_batch_are_stemmed_apart(monkeypatch):
+    lists = [["running", "is"], None, [], ["cats"] * 5, ["ponies", "of"], ["skies"]]
+    whole = porter2.stem_lists(pa.array(lists, pa.list_(pa.string())), 3).to_pylist()
+    assert whole == [["run"], [], [], ["cat"] * 5, ["poni"], ["sky"]]
+    seen = []
+    plain = porter2._stemmed
+    monkeypatch.setattr(porter2, "TOKENS_AT_ONCE", 3)
+    monkeypatch.setattr(porter2, "_stemmed", lambda part, least: seen.append(len(part)) or plain(part, least))
+    assert porter2.stem_lists(pa.array(lists, pa.list_(pa.string())), 3).to_pylist() == whole
+    assert len(seen) > 2 and sum(seen) == len(lists)
+    assert porter2.stem_lists(pa.array([], pa.list_(pa.string()))).to_pylist() == []
+    assert porter2.stem.cache_info().maxsize <= 50_000
