@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,11 @@ def test_a_term_that_looks_like_the_key_of_another(spark):
     assert sorted((r.content_id, r.term[:1], r.document_frequency) for r in rows.collect()) == sorted(
         [("1", "a", 2), ("1", digest[:1], 1), ("2", "a", 2), ("2", "b", 1)]
     )
+
+
+def test_terms_of_lists_are_counted_in_one_arrow_step():
+    lists = [["b", "a", "b"], None, [], ["é", "z", None, "z", "a"]]
+    found = terms.term_lists(pa.array([["x"], *lists], pa.list_(pa.string())).slice(1)).to_pylist()
+    plain = [[(e["term"], e["term_count"], e["first_position"]) for e in row] if row is not None else None for row in found]
+    assert plain == [[("a", 1, 1), ("b", 2, 0)], None, [], [(None, 1, 2), ("a", 1, 4), ("z", 2, 1), ("é", 1, 0)]]
+    assert terms.term_lists(pa.array([], pa.list_(pa.string()))).to_pylist() == []
