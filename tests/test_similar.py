@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from vellumark.operators import blocks
 from vellumark.operators.probing import Probing, likely_codes
 from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, pruning_report, similar_pairs
+from vellumark.plans import transform
 
 
 def vectors(n, copies=0.0, seed=1):
@@ -176,3 +177,15 @@ def test_a_tile_yields_the_best_of_all_its_meetings(spark):
     assert found.groupBy("left_id").count().agg(F.max("count")).first()[0] == 3
     expected = brute_force({name: np.array(unit) for name, unit in rows}, 0.75, 0.7, 3)
     assert pairs_of(found.select("left_id", "right_id", "cosine_similarity")) == expected
+
+
+def test_the_title_job_looks_into_no_buckets(spark, monkeypatch):
+    def none(*_):
+        raise AssertionError("buckets in a dense cone hold nearly everything")
+
+    monkeypatch.setattr("vellumark.operators.similar.probed_pairs", none)
+    items = {name: 3 + vector for name, vector in vectors(40).items()}
+    columns = {"title": F.col("content_id"), "content_type": F.lit("a"), "topic_cluster": F.lit(0)}
+    titles = frame(spark, items).withColumnRenamed("v", "normalized_embedding").withColumns(columns)
+    found = transform.similar_titles(titles).select("left_content_id", "right_content_id", "cosine_similarity")
+    assert pairs_of(found) == brute_force(items, 0.75, 0.7, 3)
