@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -104,6 +106,19 @@ def test_suffixes(docs, empty, monkeypatch, most):
     assert sorted(map(tuple, got), key=str) == removed(plain(ROWS), lambda t: (t or "").encode(), 50, bytes)
     assert suffixes.without_copies(empty, ["doc_id"]).count() == 0
 
+def test_ranges_of_a_shard_are_one_row_for_each_bucket():
+    """However many documents lose something, a shard gives no more rows than there are buckets."""
+    text = random.Random(3).randbytes(60)
+    kinds = ("<u4", "<i8", "<i8", "<u4", "u1", "u1")
+    columns = np.full(30, 7), np.arange(30), np.zeros(30), np.zeros(30), np.full(30, 20), np.full(30, 60)
+    arrays = [pa.array([c.astype(k).tobytes()], pa.binary()) for c, k in zip(columns, kinds, strict=True)]
+    body = pa.array([pa.compress(text * 30, "zstd", asbytes=True)], pa.binary())
+    table = pa.Table.from_arrays([pa.array([0], pa.int32()), pa.array([False]), *arrays, body], suffixes.FRAGMENTS)
+    packed = suffixes.fragment_ranges(table, 3)
+    assert packed.num_rows <= 3
+    got = [r for n in packed.column("bucket").to_pylist() for r in suffixes.bucket_ranges(packed.filter(pc.equal(packed.column("bucket"), n))).to_pylist()]
+    assert sorted((r["d"], r["starts"], r["ends"]) for r in got) == [(d, [0], [60]) for d in range(1, 30)]
+
 
 def test_previous_factors():
     text = "".join(DRAW.choice("ab") for _ in range(300)).encode()

@@ -18,7 +18,8 @@ with a smaller doc_id.
    whole. Over the distinct fragments it sorts the suffixes, takes the common prefixes
    of neighbours, and gets for every suffix the longest previous factor from the
    nearest positions above and below in suffix order whose document is smaller.
-4. The ranges that have a previous factor of ``SPAN`` bytes or more are cut.
+4. The ranges that have a previous factor of ``SPAN`` bytes or more travel packed, one row for each
+   shard and bucket of documents, are joined within a document there, and are cut.
 
 Null texts are empty. Rows without an id match nothing and lose nothing. A row that
 repeats a document is treated like it; rows that repeat an id with another text (told apart
@@ -49,6 +50,7 @@ SUFFIXES_AT_ONCE = 400_000
 ANCHORS_AT_ONCE = 1 << 20
 ANCHORS_PER_SHARD = 1_000_000
 FRAGMENTS_PER_SHARD = 60_000
+BYTES_PER_BUCKET = 256 << 20
 
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(7))
 
@@ -188,7 +190,7 @@ FRAGMENTS = ["shard", "known", "grams", "docs", "kinds", "starts", "offsets", "l
 def fragments(df: DataFrame, shards: int) -> DataFrame:
     """Packed fragments of (doc, variant, body, places, hot): one row for each shard that a batch has some for.
 
-    Rows that are ``known`` hold ranges without bytes: of a fragment that a smaller document of the batch has, too.
+    Of an anchor's hash the upper half is sent, which the shard does not tell; the bytes are compressed. Rows that are ``known`` hold ranges without bytes: of a fragment that a smaller document of the batch has, too.
     """
 
     def of_first(docs, pieces):
@@ -227,7 +229,8 @@ def fragments(df: DataFrame, shards: int) -> DataFrame:
                     out.extend(_known(held, lengths, ~own))
                 rows = np.flatnonzero(own)
                 for shard, chosen in _by_shard((held[0][rows] % np.uint64(shards)).astype(np.int64)):
-                    out.append((shard, False, *_arrays(held, lengths, rows[chosen]), b"".join(pieces[rows[chosen]])))
+                    body = pa.compress(b"".join(pieces[rows[chosen]]), "zstd", asbytes=True)
+                    out.append((shard, False, *_arrays(held, lengths, rows[chosen]), body))
             if out:
                 done = list(zip(*out, strict=True))
                 kinds_of = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
@@ -235,7 +238,7 @@ def fragments(df: DataFrame, shards: int) -> DataFrame:
 
     def _arrays(held, lengths, rows):
         grams, docs, kinds, starts, offsets = (c[rows] for c in held)
-        arrays = grams.astype("<u8"), docs.astype("<i8"), kinds.astype("<i8"), starts.astype("<u4"), offsets.astype(np.uint8), lengths[rows]
+        arrays = (grams >> np.uint64(32)).astype("<u4"), docs.astype("<i8"), kinds.astype("<i8"), starts.astype("<u4"), offsets.astype(np.uint8), lengths[rows]
         return [x.tobytes() for x in arrays]
 
     def _known(held, lengths, which):
@@ -308,18 +311,37 @@ def _strings(lengths: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.maximum(offsets - LEFT, 0), np.minimum(offsets, lengths - SPAN)
 
 
-def fragment_ranges(table: pa.Table) -> pa.Table:
-    """Ranges (d, v, starts, ends) that the fragments of a shard lose, joined within a document."""
+def _joined(d: np.ndarray, v: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges in the order of their documents, those of one document that touch as one."""
+    order = np.lexsort((start, v, d))
+    d, v, start, end = d[order], v[order], start[order], end[order]
+    same = np.zeros(len(d), bool)
+    same[1:] = (d[1:] == d[:-1]) & (v[1:] == v[:-1])
+    block = np.cumsum(~same) - 1
+    reach = np.maximum.accumulate(end + (block << 32)) - (block << 32)
+    new = ~same
+    new[1:] |= start[1:] > reach[:-1]
+    begin = np.flatnonzero(new)
+    end = reach[np.append(begin[1:], len(d)) - 1] if len(begin) else reach
+    return d[begin], v[begin], start[begin], end
+
+
+PACKED_RANGE = "bucket int, docs binary, kinds binary, starts binary, ends binary"
+
+
+def fragment_ranges(table: pa.Table, buckets: int) -> pa.Table:
+    """Packed ranges that the fragments of a shard lose, one row for each bucket of documents that loses some."""
     known = table.filter(table.column("known"))
     table = table.filter(pc.invert(table.column("known")))
 
     def arrays(table, name, kind):
-        return np.concatenate([np.empty(0, kind), *_unpacked(table, name, kind)]).astype(np.uint64 if kind == "<u8" else np.int64)
+        return np.concatenate([np.empty(0, kind), *_unpacked(table, name, kind)]).astype(np.int64)
 
-    grams, docs, kinds = (arrays(table, name, kind) for name, kind in (("grams", "<u8"), ("docs", "<i8"), ("kinds", "<i8")))
+    grams, docs, kinds = (arrays(table, name, kind) for name, kind in (("grams", "<u4"), ("docs", "<i8"), ("kinds", "<i8")))
     starts, offsets, sizes = (arrays(table, name, kind) for name, kind in (("starts", "<u4"), ("offsets", "u1"), ("lengths", "u1")))
     given = [arrays(known, name, kind) for name, kind in (("docs", "<i8"), ("kinds", "<i8"), ("starts", "<u4"), ("lengths", "u1"))]
-    body = b"".join(table.column("bytes").to_pylist())
+    amounts = [int(n.sum(dtype=np.int64)) for n in _unpacked(table, "lengths", "u1")]
+    body = b"".join([pa.decompress(x.as_buffer(), n, "zstd", asbytes=True) for x, n in zip(table.column("bytes"), amounts, strict=True)])
     ends = np.cumsum(sizes)
     pieces = np.empty(len(sizes), object)
     pieces[:] = [body[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
@@ -371,21 +393,20 @@ def fragment_ranges(table: pa.Table) -> pa.Table:
             for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
                 rows.append((docs[i], kinds[i], starts[i] + run[0], starts[i] + run[-1] + SPAN))
         out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
-    d, v, start, end = (np.concatenate([o[i] for o in out]) for i in range(4))
-    order = np.lexsort((start, v, d))
-    d, v, start, end = d[order], v[order], start[order], end[order]
-    # Ranges that touch the furthest end before them, in one document, are one.
-    same = np.zeros(len(d), bool)
-    same[1:] = (d[1:] == d[:-1]) & (v[1:] == v[:-1])
-    block = np.cumsum(~same) - 1
-    reach = np.maximum.accumulate(end + (block << 32)) - (block << 32)
-    new = ~same
-    new[1:] |= start[1:] > reach[:-1]
-    begin = np.flatnonzero(new)
-    start, end = start[begin], reach[np.append(begin[1:], len(d)) - 1] if len(begin) else reach
-    lists = _runs(block[begin])
-    of = begin[lists]
-    return pa.Table.from_arrays([pa.array(d[of]), pa.array(v[of]), _lists(start, lists), _lists(end, lists)], ["d", "v", "starts", "ends"])
+    columns = _joined(*(np.concatenate([o[i] for o in out]) for i in range(4)))
+    rows = []
+    for bucket, chosen in _by_shard((mix(columns[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)):
+        rows.append((bucket, *(c[chosen].astype(k).tobytes() for c, k in zip(columns, ("<i8", "<i8", "<u4", "<u4"), strict=True))))
+    done = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(done, [pa.int32(), *[pa.binary()] * 4], strict=True)], ["bucket", "docs", "kinds", "starts", "ends"])
+
+
+def bucket_ranges(table: pa.Table) -> pa.Table:
+    """Ranges (d, v, starts, ends) of a bucket's documents, one row each."""
+    names = (("docs", "<i8"), ("kinds", "<i8"), ("starts", "<u4"), ("ends", "<u4"))
+    d, v, start, end = _joined(*(np.concatenate(_unpacked(table, name, kind)).astype(np.int64) for name, kind in names))
+    lists = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])]))
+    return pa.Table.from_arrays([pa.array(d[lists]), pa.array(v[lists]), _lists(start, lists), _lists(end, lists)], ["d", "v", "starts", "ends"])
 
 
 RANGE = "d long, v long, starts array<int>, ends array<int>"
@@ -416,15 +437,16 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
         *(F.flatten(F.collect_list(F.when(F.col("hot") == kind, F.col("places")))).alias(name) for name, kind in (("places", False), ("hot", True)))
     )
     placed = texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")))
-    ranges = fragments(placed, shards).groupBy("shard").applyInArrow(fragment_ranges, RANGE)
+    buckets = shards_for(spark, size, BYTES_PER_BUCKET)
+
+    def ranges_of(table: pa.Table) -> pa.Table:
+        return fragment_ranges(table, buckets)
+
+    packed = fragments(placed, shards).groupBy("shard").applyInArrow(ranges_of, PACKED_RANGE)
+    ranges = packed.groupBy("bucket").applyInArrow(bucket_ranges, RANGE)
+    # Whole copies have no anchors here, so no document is in both.
     whole = copies.select("d", "v", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
-    out = written(
-        ranges.unionByName(whole)
-        .groupBy("d", "v")
-        .agg(F.collect_list(F.struct("starts", "ends")).alias("ranges"))
-        .select("d", "v", F.flatten("ranges.starts").alias("starts"), F.flatten("ranges.ends").alias("ends")),
-        "suffix-ranges",
-    )
+    out = written(ranges.unionByName(whole), "suffix-ranges")
     discard(shared, copies)
     release(spark)
     return out
@@ -439,9 +461,11 @@ def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: st
     plain = df.select(
         F.struct(*keep).alias("row"), F.col(ident).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("variant"), F.coalesce(F.col(text), F.lit("")).alias("body")
     )
-    joined = plain.join(
+    # A text that is kept travels in its row only.
+    sent, body = (plain.drop("body"), F.coalesce(F.col("row")[text], F.lit(""))) if text in keep else (plain, F.col("body"))
+    joined = sent.join(
         repeated_ranges(plain.select("doc", "variant", "body")), (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")), "left"
-    ).select("row", "body", "starts", "ends")
+    ).select("row", body.alias("body"), "starts", "ends")
 
     def cut(batches):
         for batch in batches:
