@@ -99,6 +99,25 @@ def test_phrases(docs, empty):
     assert phrases.without_repeats(empty, ["doc_id"]).count() == 0
 
 
+def test_words_of_an_automaton_branch_in_two_steps():
+    symbols = phrases.Symbols()
+    texts = {symbols[b"%d" % i] for i in range(200_000)}
+    assert len(texts) == 200_000 and symbols.UNKNOWN not in texts
+    first, second = ({t[i] for t in texts} for i in (0, 1))
+    assert len(first) < 200 and len(second) <= symbols.BASE and not first & second
+    assert not any(0xD800 <= ord(c) < 0xE000 for c in first | second)
+
+
+def test_passages_go_to_as_many_shards_as_the_words_need(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        few = spark.sparkContext.defaultParallelism
+        assert phrases.shard_count(spark, 10) == few
+        assert phrases.shard_count(spark, 50 * few * phrases.WORDS_PER_SHARD) == 50 * few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.mark.parametrize("most", [20_000, 1])
 def test_suffixes(docs, empty, monkeypatch, most):
     monkeypatch.setattr(suffixes, "MOST_COPIES", most)
