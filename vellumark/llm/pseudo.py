@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, prepare, texts_of, written
+from .common import WordHash, as_signed, prepare, release, texts_of, written
 
 LEAST_CLUSTERS = 64
 # Classes for each square root of the vocabulary, and the share of them that single words may have.
@@ -342,6 +342,9 @@ def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
         # A turn without targets (a corpus of one word) leaves the network as it is.
         if sums and sums[0].weight:
             network = shaped(np.concatenate([np.frombuffer(r.sums) / r.weight for r in sums]), clusters)
+        # The next turn deals the documents out again.
+        del parts, some, halves
+        release(spark)
     return network
 
 
