@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, prepare, release, texts_of, written
+from .common import WordHash, as_signed, discard, prepare, release, texts_of, written
 
 LEAST_CLUSTERS = 64
 # Classes for each square root of the vocabulary, and the share of them that single words may have.
@@ -338,12 +338,13 @@ def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
         # Sums in two steps, so that no group holds a part of every shard.
         some = parts.withColumn("some", (F.col("shard") / 64).cast("int"))
         halves = some.groupBy("block", "some").applyInPandas(_added, _PARTS)
-        sums = sorted(halves.groupBy("block").applyInPandas(_added, _PARTS).collect(), key=lambda r: r.block)
+        whole = written(halves.groupBy("block").applyInPandas(_added, _PARTS), "lm-network")
+        sums = sorted(whole.collect(), key=lambda r: r.block)
         # A turn without targets (a corpus of one word) leaves the network as it is.
         if sums and sums[0].weight:
             network = shaped(np.concatenate([np.frombuffer(r.sums) / r.weight for r in sums]), clusters)
-        # The next turn deals the documents out again.
-        del parts, some, halves
+        # The next turn deals the documents out again. What is written is held by no plan, so its shuffles can go.
+        discard(whole)
         release(spark)
     return network
 
