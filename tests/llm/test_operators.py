@@ -139,6 +139,19 @@ def test_ranges_of_a_shard_are_one_row_for_each_bucket():
     assert sorted((r["d"], r["starts"], r["ends"]) for r in got) == [(d, [0], [60]) for d in range(1, 30)]
 
 
+def test_anchors_of_a_shard_are_one_row_for_each_bucket():
+    """However many documents share an anchor, a shard gives no more rows than there are buckets."""
+    kinds = ("<i8", "<i8", "<u2", "<u4", "<u4", "<u4")
+    docs = np.arange(30)
+    columns = docs, docs + 500, np.tile(docs, 2), np.repeat([7, 8], 30), np.concatenate([docs + 9, docs + 3]), np.full(60, 1 << 16 | 1)
+    arrays = [pa.array([c.astype(k).tobytes()], pa.binary()) for c, k in zip(columns, kinds, strict=True)]
+    packed = suffixes.shared_anchors(pa.Table.from_arrays([pa.array([0], pa.int32()), *arrays], suffixes.PACKED), 3)
+    assert packed.num_rows <= 3
+    parts = [packed.filter(pc.equal(packed.column("bucket"), n)) for n in packed.column("bucket").to_pylist()]
+    got = sorted(tuple(r.values()) for part in parts for r in suffixes.document_anchors(part).to_pylist())
+    assert got == [(d, d + 500, [d + 3, d + 9], []) for d in range(30)]
+
+
 def test_previous_factors():
     text = "".join(DRAW.choice("ab") for _ in range(300)).encode()
     starts = np.arange(len(text) - suffixes.SPAN)

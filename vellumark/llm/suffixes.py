@@ -7,7 +7,8 @@ with a smaller doc_id.
    Equal strings have equal anchors. They travel once, packed: a task sends each shard one
    row of arrays. The shard drops anchors of one text only, and those whose ``SIDE`` bytes before
    and whose ``SIDE`` bytes after are both found in one document only: a string of
-   ``SPAN`` bytes reaches that far to one side at least.
+   ``SPAN`` bytes reaches that far to one side at least. What is left goes on packed, one row for
+   each shard and bucket of documents, and is put together by document there.
    Of equal texts only the first document goes on; later ones lose every byte.
 2. Around each anchor left, a fragment holds all strings that it anchors. Fragments are
    dealt out by the hash of their anchor, so all copies of a string meet in one shard.
@@ -134,7 +135,8 @@ def byte_anchors(df: DataFrame, shards: int) -> DataFrame:
 
 
 PACKED = ["shard", "docs", "kinds", "owners", "grams", "places", "sides"]
-SHARED = "d long, v long, hot boolean, places array<int>"
+SHARED = "bucket int, docs binary, kinds binary, hot binary, sizes binary, places binary"
+PLACED = "d long, v long, places array<int>, hot array<int>"
 
 
 def _unpacked(table: pa.Table, name: str, kind: str) -> list[np.ndarray]:
@@ -146,8 +148,21 @@ def _lists(values: np.ndarray, begins: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def shared_anchors(table: pa.Table) -> pa.Table:
-    """Places of a shard's anchors that two documents have with the same bytes before or after, by document."""
+def _bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(docs.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _by_bucket(rows: list[tuple], names: list[str]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    kinds = [pa.int32(), *[pa.binary()] * (len(names) - 1)]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def shared_anchors(table: pa.Table, buckets: int) -> pa.Table:
+    """Places of a shard's anchors that two documents have with the same bytes before or after.
+
+    One row for each bucket of documents that has some: documents, how many places each has, and the places.
+    """
     parts = _unpacked(table, "docs", "<i8")
     base = np.cumsum([0, *map(len, parts)])[:-1]
     docs, kinds = np.concatenate(parts), np.concatenate(_unpacked(table, "kinds", "<i8"))
@@ -177,11 +192,33 @@ def shared_anchors(table: pa.Table) -> pa.Table:
         wanted[shared(keys, rows[part[rows] > 0])[0]] = True
     rows = np.flatnonzero(wanted)
     rows = rows[np.lexsort((places[rows], hot[rows], text[rows]))]
-    begin = _runs(text[rows] * 2 + hot[rows])
-    of = text[rows[begin]]
-    return pa.Table.from_arrays(
-        [pa.array(docs[of]), pa.array(kinds[of]), pa.array(hot[rows[begin]]), _lists(places[rows], begin)], ["d", "v", "hot", "places"]
-    )
+    out = []
+    for bucket, chosen in _by_shard(_bucket(docs[text[rows]], buckets)):
+        at = rows[chosen]
+        begin = _runs(text[at] * 2 + hot[at])
+        of, sizes = text[at[begin]], np.diff(np.append(begin, len(at)))
+        arrays = docs[of], kinds[of], hot[at[begin]].astype("u1"), sizes.astype("<u4"), places[at].astype("<u4")
+        out.append((bucket, *(x.tobytes() for x in arrays)))
+    return _by_bucket(out, ["bucket", "docs", "kinds", "hot", "sizes", "places"])
+
+
+def document_anchors(table: pa.Table) -> pa.Table:
+    """(d, v, places, hot) of a bucket's documents, one row each: places of their anchors, and of those with many copies."""
+    names = (("docs", "<i8"), ("kinds", "<i8"), ("hot", "u1"), ("sizes", "<u4"), ("places", "<u4"))
+    docs, kinds, hot, sizes, places = (np.concatenate(_unpacked(table, name, kind)) for name, kind in names)
+    order = np.lexsort((kinds, docs))
+    new = np.ones(len(order), bool)
+    new[1:] = (docs[order[1:]] != docs[order[:-1]]) | (kinds[order[1:]] != kinds[order[:-1]])
+    number = np.empty(len(order), np.int32)
+    number[order] = np.cumsum(new) - 1
+    first = order[new]
+    number, hot = np.repeat(number, sizes), np.repeat(hot, sizes)
+    lists = []
+    for kind in (0, 1):
+        rows = np.flatnonzero(hot == kind)
+        rows = rows[np.lexsort((places[rows], number[rows]))]
+        lists.append(_lists(places[rows], np.searchsorted(number[rows], np.arange(len(first)))))
+    return pa.Table.from_arrays([pa.array(docs[first]), pa.array(kinds[first]), *lists], ["d", "v", "places", "hot"])
 
 
 FRAGMENTS = ["shard", "known", "grams", "docs", "kinds", "starts", "offsets", "lengths", "bytes"]
@@ -395,10 +432,9 @@ def fragment_ranges(table: pa.Table, buckets: int) -> pa.Table:
         out.append(tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)))
     columns = _joined(*(np.concatenate([o[i] for o in out]) for i in range(4)))
     rows = []
-    for bucket, chosen in _by_shard((mix(columns[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)):
+    for bucket, chosen in _by_shard(_bucket(columns[0], buckets)):
         rows.append((bucket, *(c[chosen].astype(k).tobytes() for c, k in zip(columns, ("<i8", "<i8", "<u4", "<u4"), strict=True))))
-    done = list(zip(*rows, strict=True)) or [()] * 5
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(done, [pa.int32(), *[pa.binary()] * 4], strict=True)], ["bucket", "docs", "kinds", "starts", "ends"])
+    return _by_bucket(rows, ["bucket", "docs", "kinds", "starts", "ends"])
 
 
 def bucket_ranges(table: pa.Table) -> pa.Table:
@@ -428,16 +464,18 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # Two anchors for each window of SPAN - GRAM + 1 bytes, and one more.
     shards = shards_for(spark, 2 * size // (SPAN - GRAM + 2), ANCHORS_PER_SHARD)
-    found = byte_anchors(texts, shards).groupBy("shard").applyInArrow(shared_anchors, SHARED)
-    shared = written(found.join(copies, ["d", "v"], "left_anti"), "suffix-shared")
+    buckets = shards_for(spark, size, BYTES_PER_BUCKET)
+
+    def shared_of(table: pa.Table) -> pa.Table:
+        return shared_anchors(table, buckets)
+
+    found = byte_anchors(texts, shards).groupBy("shard").applyInArrow(shared_of, SHARED)
+    per_doc = found.groupBy("bucket").applyInArrow(document_anchors, PLACED)
+    shared = written(per_doc.join(copies, ["d", "v"], "left_anti"), "suffix-shared")
     release(spark)
-    amount = shared.agg(F.sum(F.size("places"))).first()[0] or 0
+    amount = shared.agg(F.sum(F.size("places") + F.size("hot"))).first()[0] or 0
     shards = shards_for(spark, amount, FRAGMENTS_PER_SHARD)
-    per_doc = shared.groupBy("d", "v").agg(
-        *(F.flatten(F.collect_list(F.when(F.col("hot") == kind, F.col("places")))).alias(name) for name, kind in (("places", False), ("hot", True)))
-    )
-    placed = texts.join(per_doc, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")))
-    buckets = shards_for(spark, size, BYTES_PER_BUCKET)
+    placed = texts.join(shared, (F.col("doc") == F.col("d")) & (F.col("variant") == F.col("v")))
 
     def ranges_of(table: pa.Table) -> pa.Table:
         return fragment_ranges(table, buckets)
