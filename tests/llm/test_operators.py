@@ -118,6 +118,21 @@ def test_passages_go_to_as_many_shards_as_the_words_need(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_passages_go_only_to_documents_behind_their_owner(spark):
+    passages = spark.createDataFrame([(1, 5, [70, 71]), (2, 8, [72])], "key long, owner long, phrases array<long>")
+    rows = [(70, 5, 0), (70, 4, 1), (71, 4, 1), (71, 9, 2), (70, 6, 2), (72, 8, 0), (72, 7, 3)]
+    got = phrases.passage_shards(passages, spark.createDataFrame(rows, "phrase long, doc long, shard int"))
+    assert [tuple(r) for r in got.collect()] == [(1, 2)]
+
+
+def test_a_window_belongs_to_its_smallest_owner():
+    words = [b"w%d" % i for i in range(60)]
+    for passages in ([(3, words), (7, words)], [(7, words), (3, words)]):
+        automaton = phrases.PassageAutomaton(passages)
+        assert automaton.removed(3, words) is None
+        assert automaton.removed(4, words).all()
+
+
 @pytest.mark.parametrize("most", [20_000, 1])
 def test_suffixes(docs, empty, monkeypatch, most):
     monkeypatch.setattr(suffixes, "MOST_COPIES", most)
