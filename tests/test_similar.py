@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vellumark.operators import blocks
+from vellumark.operators import blocks, similar
 from vellumark.operators.probing import Probing, likely_codes
 from vellumark.operators.similar import WIDE_HASHING, Hashing, describe_pairs, pruning_report, similar_pairs
 from vellumark.plans import transform
@@ -189,3 +189,22 @@ def test_the_title_job_looks_into_no_buckets(spark, monkeypatch):
     titles = frame(spark, items).withColumnRenamed("v", "normalized_embedding").withColumns(columns)
     found = transform.similar_titles(titles).select("left_content_id", "right_content_id", "cosine_similarity")
     assert pairs_of(found) == brute_force(items, 0.75, 0.7, 3)
+
+
+def test_vectors_of_far_blocks_travel_once_for_many_blocks(spark):
+    """64 blocks of a bucket: a row goes to each run of 16 blocks, not to each block."""
+    rows = [(i, f"{i:04}", "b", i // 4, 63) for i in range(256)]
+    blocks = spark.createDataFrame(rows, "row long, id string, bucket string, block long, last_block long")
+    left, right = similar._far_places(blocks.filter("block <= last_block - 2"), blocks, 4)
+    assert left.count() + right.count() <= 256 * (64 // similar.FAR_BLOCKS + 2)
+    met = left.alias("l").join(right.alias("r"), ["bucket", "tile", "against"]).filter("r.block >= l.block + 2")
+    wanted = sum(64 - 2 - b for b in range(62)) * 16
+    assert met.count() == wanted == met.select("l.row", "r.row").distinct().count()
+
+
+def test_items_are_numbered_without_their_vectors(spark):
+    rows = spark.createDataFrame([(f"{i:03}", [float(i)], ["a", "b"]) for i in range(30)], "id string, unit array<double>, buckets array<string>")
+    blocks, units = similar._blocks(rows, 30, 8)
+    assert units.count() == 30 and "unit" not in blocks.columns
+    got = sorted((r["bucket"], r["id"], r["block"], r["last_block"]) for r in blocks.collect())
+    assert got == [(b, f"{i:03}", i // 8, 3) for b in "ab" for i in range(30)]

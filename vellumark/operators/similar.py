@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise, ship_package
-from .blocks import best_pairs, exact_pairs, pair_columns, search
+from .blocks import best_pairs, exact_pairs, merged, pair_columns, search
 from .probing import Probing, probed_pairs
 
 MAX_DISTANCE = 0.75
@@ -32,6 +32,8 @@ MIN_COSINE = 0.7
 NEIGHBOURS = 3
 BLOCK_ROWS = 2048
 MAX_SLABS = 10_000
+# Blocks on each side of a task that compares blocks far from each other: how often a vector travels falls by it.
+FAR_BLOCKS = 16
 
 PAIR_SCHEMA = "left_id string, right_id string, cosine_similarity double, embedding_distance double"
 _PAIR_NAMES = ["left_id", "right_id", "cosine_similarity", "embedding_distance"]
@@ -70,9 +72,9 @@ def _unit_rows(items: DataFrame, vector: str) -> DataFrame:
 
 
 def _buckets(rows: DataFrame, hashing: Hashing | None) -> DataFrame:
-    """One row per (item, bucket) it belongs to."""
+    """Add ``buckets``, those that an item belongs to."""
     if hashing is None:
-        return rows.withColumn("bucket", F.lit(""))
+        return rows.withColumn("buckets", F.array(F.lit("")))
     vectors = rows.withColumn("vector", array_to_vector("unit"))
     model = BucketedRandomProjectionLSH(
         inputCol="vector",
@@ -87,11 +89,13 @@ def _buckets(rows: DataFrame, hashing: Hashing | None) -> DataFrame:
         F.concat_ws("_", F.lit(str(i)), F.slice("values", i * width + 1, width)) for i in range(hashing.tables)
     ]
     hashed = model.transform(vectors).withColumn("values", values)
-    return hashed.select("id", "unit", F.explode_outer(F.array(*keys)).alias("bucket"))
+    return hashed.select("id", "unit", F.array(*keys).alias("buckets"))
 
 
-def _blocks(rows: DataFrame, total: int, block_rows: int) -> DataFrame:
-    """Cut each bucket into blocks of ``block_rows`` consecutive ids.
+def _blocks(rows: DataFrame, total: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Cut each bucket into blocks of ``block_rows`` consecutive ids: (row, id, bucket, block, last_block), and (row, unit).
+
+    Items are numbered without their vectors, which lie in one row each, however many buckets they are in.
 
     Ids are ranged into slabs, each small enough to number its rows per bucket
     in one task; the sizes of the earlier slabs shift these numbers, so no
@@ -100,7 +104,8 @@ def _blocks(rows: DataFrame, total: int, block_rows: int) -> DataFrame:
     slabs = min(MAX_SLABS, max(1, math.ceil(total / block_rows)))
     ranged = rows.repartitionByRange(slabs, "id").withColumn("slab", F.spark_partition_id())
     # Range borders are sampled, so the placement is written once and reread.
-    placed = materialise(ranged, "similar-rows")
+    written = materialise(ranged.withColumn("row", F.monotonically_increasing_id()), "similar-rows")
+    placed = written.select("row", "id", "slab", F.explode_outer("buckets").alias("bucket"))
     cells = placed.groupBy("bucket", "slab").agg(F.count("*").alias("cell_rows"))
     whole = Window.partitionBy("bucket")
     before = whole.orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,17 +117,18 @@ def _blocks(rows: DataFrame, total: int, block_rows: int) -> DataFrame:
     )
     within = Window.partitionBy("bucket", "slab").orderBy("id")
     place = F.col("before") + F.col("in_cell") - 1
-    return (
+    numbered = (
         placed.withColumn("in_cell", F.row_number().over(within))
         .join(sized, ["bucket", "slab"])
         .select(
+            "row",
+            "id",
             "bucket",
             F.floor(place / block_rows).alias("block"),
             F.floor((F.col("bucket_rows") - 1) / block_rows).alias("last_block"),
-            "id",
-            "unit",
         )
     )
+    return materialise(numbered, "similar-places"), written.select("row", "unit")
 
 
 def _search(left: pd.DataFrame, right: pd.DataFrame, limits: dict) -> pd.DataFrame:
@@ -133,7 +139,7 @@ def _search(left: pd.DataFrame, right: pd.DataFrame, limits: dict) -> pd.DataFra
     return pa.table(pair_columns(left_ids, found)).to_pandas()
 
 
-def _near_pairs(blocks: DataFrame, limits: dict) -> DataFrame:
+def _near_pairs(blocks: DataFrame, units: DataFrame, limits: dict) -> DataFrame:
     """Each block against itself and the block after it."""
     placed = blocks.select(
         "bucket",
@@ -143,9 +149,10 @@ def _near_pairs(blocks: DataFrame, limits: dict) -> DataFrame:
                 F.struct((F.col("block") - 1).alias("group"), F.lit(False).alias("own")),
             )
         ).alias("place"),
+        "row",
         "id",
-        "unit",
-    ).select("bucket", "place.group", "place.own", "id", "unit").filter(F.col("group") >= 0)
+    ).select("bucket", "place.group", "place.own", "row", "id").filter(F.col("group") >= 0)
+    placed = placed.join(units, "row").drop("row")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["own"]]
@@ -155,67 +162,76 @@ def _near_pairs(blocks: DataFrame, limits: dict) -> DataFrame:
     return placed.groupBy("bucket", "group").applyInPandas(compare, PAIR_SCHEMA + ", bucket string")
 
 
-def _far_pairs(blocks: DataFrame, near: DataFrame, limits: dict, block_rows: int) -> DataFrame:
-    """Items that are not settled against the blocks from the second next on."""
-    open_rows = blocks.filter(F.col("block") <= F.col("last_block") - 2)
-    if limits["neighbours"] is not None:
-        settled = (
-            near.groupBy("bucket", F.col("left_id").alias("id"))
-            .agg(F.count_if(F.col("cosine_similarity") >= 1.0).alias("equal"))
-            .filter(F.col("equal") >= limits["neighbours"])
-            .select("bucket", "id")
-        )
-        open_rows = open_rows.join(settled, ["bucket", "id"], "left_anti")
+def _far_places(open_rows: DataFrame, blocks: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(bucket, tile, against, block, row, id) of the left and of the right rows of each task.
+
+    A tile is a run of blocks with about ``FAR_BLOCKS`` blocks of open rows; it meets the later blocks of its bucket by as many.
+    """
     counted = open_rows.groupBy("bucket", "block", "last_block").agg(F.count("*").alias("open"))
     before = Window.partitionBy("bucket").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     tiled = counted.withColumn(
-        "tile", F.floor(F.coalesce(F.sum("open").over(before), F.lit(0)) / block_rows)
+        "tile", F.floor(F.coalesce(F.sum("open").over(before), F.lit(0)) / (FAR_BLOCKS * block_rows))
     )
+    against = F.sequence(F.floor((F.col("first_block") + 2) / FAR_BLOCKS), F.floor(F.col("last_block") / FAR_BLOCKS))
     meetings = (
         tiled.groupBy("bucket", "tile", "last_block")
         .agg(F.min("block").alias("first_block"))
-        .select(
-            "bucket",
-            "tile",
-            F.explode_outer(F.sequence(F.col("first_block") + 2, F.col("last_block"))).alias("against"),
-        )
+        .select("bucket", "tile", "first_block", F.explode_outer(against).alias("against"))
     )
     left = (
-        open_rows.select("bucket", "block", "id", "unit")
-        .join(tiled.select("bucket", "block", "tile"), ["bucket", "block"])
+        open_rows.join(tiled.select("bucket", "block", "tile"), ["bucket", "block"])
         .join(meetings, ["bucket", "tile"])
+        .filter(F.floor((F.col("block") + 2) / FAR_BLOCKS) <= F.col("against"))
     )
     right = (
-        blocks.select("bucket", F.col("block").alias("against"), "id", "unit")
+        blocks.withColumn("against", F.floor(F.col("block") / FAR_BLOCKS))
         .join(meetings, ["bucket", "against"])
-        .select(
-            *[F.col(name).alias(f"right_{name}") for name in ("bucket", "tile", "against")],
-            F.col("id").alias("right_id"),
-            F.col("unit").alias("right_unit"),
-        )
+        .filter(F.col("block") >= F.col("first_block") + 2)
     )
+    columns = ["bucket", "tile", "against", "block", "row", "id"]
+    return left.select(columns), right.select(columns)
+
+
+def _far_pairs(blocks: DataFrame, units: DataFrame, near: DataFrame, limits: dict, block_rows: int) -> DataFrame:
+    """Items that are not settled against the blocks from the second next on."""
+    open_rows = blocks.filter(F.col("block") <= F.col("last_block") - 2)
+    if limits["neighbours"] is not None:
+        settled = (
+            near.groupBy("bucket", F.col("left_id").alias("id"))
+            .agg(F.count_if(F.col("cosine_similarity") >= 1.0).alias("equal"))
+            .filter(F.col("equal") >= limits["neighbours"])
+            .select("bucket", "id")
+        )
+        open_rows = open_rows.join(settled, ["bucket", "id"], "left_anti")
+    left, right = (side.join(units, "row").drop("row") for side in _far_places(open_rows, blocks, block_rows))
 
     def compare(key: tuple, lefts: pd.DataFrame, rights: pd.DataFrame) -> pd.DataFrame:
-        lefts = lefts[lefts["block"] <= key[2] - 2]
         if not len(lefts) or not len(rights):
             return pd.DataFrame(columns=_PAIR_NAMES)
-        rights = rights.rename(columns={"right_id": "id", "right_unit": "unit"})
-        return _search(lefts, rights, limits)
-
-    left_groups = left.groupBy("bucket", "tile", "against")
+        lefts = lefts.sort_values(["block", "id"], kind="stable")
+        ids, vectors, held = lefts["id"].to_numpy(object), np.vstack(lefts["unit"].to_numpy()), lefts["block"].to_numpy()
+        found = []
+        for block, part in rights.groupby("right_block"):
+            part = part.sort_values("right_id", kind="stable")
+            # The left rows of the blocks up to the one before the last lie in front.
+            n = np.searchsorted(held, block - 2, side="right")
+            found += search(ids[:n], vectors[:n], part["right_id"].to_numpy(object), np.vstack(part["right_unit"].to_numpy()), limits)
+        return pa.table(pair_columns(ids, merged(ids, found, limits["neighbours"]))).to_pandas()
+
+    right = right.select(*[F.col(name).alias(f"right_{name}") for name in right.columns])
     right_groups = right.groupBy("right_bucket", "right_tile", "right_against")
-    return left_groups.cogroup(right_groups).applyInPandas(compare, PAIR_SCHEMA)
+    return left.groupBy("bucket", "tile", "against").cogroup(right_groups).applyInPandas(compare, PAIR_SCHEMA)
 
 
 def _bucket_pairs(rows: DataFrame, limits: dict, hashing: Hashing, block_rows: int) -> DataFrame:
     """Pairs that share a bucket of a table of whole hashes."""
     total = rows.count()
-    blocks = _blocks(_buckets(rows, hashing), total, block_rows)
-    near = _near_pairs(blocks, limits)
+    blocks, units = _blocks(_buckets(rows, hashing), total, block_rows)
+    near = _near_pairs(blocks, units, limits)
     pairs = near.drop("bucket")
     if total > 2 * block_rows:
         near = materialise(near, "similar-near")
-        pairs = near.drop("bucket").unionByName(_far_pairs(blocks, near, limits, block_rows))
+        pairs = near.drop("bucket").unionByName(_far_pairs(blocks, units, near, limits, block_rows))
     return best_pairs(pairs, limits["neighbours"])
 
 
