@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -118,6 +119,26 @@ def test_passages_go_to_as_many_shards_as_the_words_need(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_pooling_holds_few_words_at_once():
+    texts = [b"one two three four " * 5000] * 30
+    memo, vectors = classifier.WordHash(classifier.BUCKETS), np.ones((classifier.BUCKETS, classifier.WIDTH), np.float32)
+    tracemalloc.start()
+    try:
+        classifier.pooled(texts, vectors, memo)
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_scores_are_equal_with_and_without_the_kept_text(docs):
+    random = np.random.default_rng(2)
+    x, y, held = random.normal(size=(40, classifier.FEATURES)), np.arange(40) % 2, np.arange(40) % 5 == 0
+    vectors = random.normal(size=(classifier.BUCKETS, classifier.WIDTH)).astype(np.float32)
+    model = classifier.Model(vectors, classifier.Network(x, y, held))
+    kept, alone = (classifier.scored(docs, model, keep).select("row.doc_id", "score").collect() for keep in (docs.columns, ["doc_id"]))
+    assert sorted(map(tuple, kept), key=str) == sorted(map(tuple, alone), key=str)
+
+
 def test_passages_go_only_to_documents_behind_their_owner(spark):
     passages = spark.createDataFrame([(1, 5, [70, 71]), (2, 8, [72])], "key long, owner long, phrases array<long>")
     rows = [(70, 5, 0), (70, 4, 1), (71, 4, 1), (71, 9, 2), (70, 6, 2), (72, 8, 0), (72, 7, 3)]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, chunks, mix, prepare, texts_of
+from .common import WordHash, chunks, mix, prepare, texts_of, trimmed
 
 BUCKETS = 1 << 14
 WIDTH = 32
@@ -32,7 +32,7 @@ MAX_TRAINING_ROWS = 20_000
 HIDDEN = 32
 EPOCHS = 30
 THRESHOLD = 0.3
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 100_000
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +79,7 @@ def context_vectors(df: DataFrame, text: str = "text") -> np.ndarray:
         total = sum(np.frombuffer(blob, "<i8") for blob in frame["sums"])
         return pd.DataFrame({"block": [frame["block"].iloc[0]], "salt": [0], "sums": [total.tobytes()]})
 
-    partial = df.select(F.coalesce(F.col(text), F.lit("")).alias("body")).mapInArrow(gather, "block int, salt int, sums binary")
+    partial = df.select(F.coalesce(F.col(text), F.lit("")).alias("body")).mapInArrow(trimmed(gather), "block int, salt int, sums binary")
     schema = partial.schema
     # In two rounds, so that no group holds a part of every partition.
     rows = partial.groupBy("block", "salt").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema).collect()
@@ -213,7 +213,7 @@ def fitted(df: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) ->
             rows = pooled(texts_of(batch.column(1)), vectors, memo).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "x"])
 
-    found = chosen.select("doc_id", "text").mapInArrow(measure, "doc_id long, x binary").collect()
+    found = chosen.select("doc_id", "text").mapInArrow(trimmed(measure), "doc_id long, x binary").collect()
     found.sort(key=lambda row: (row.doc_id, row.x))
     x = np.array([np.frombuffer(row.x, "<f4") for row in found], np.float32).reshape(-1, FEATURES)
     y = np.array([truth[row.doc_id] for row in found], np.int64)
@@ -226,16 +226,19 @@ def fitted(df: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) ->
 def scored(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """A struct ``row`` of the columns ``keep``, and ``score``."""
     spark = prepare(df.sparkSession)
-    plain = df.select(F.struct(*keep).alias("row"), F.col(text).alias("body"))
+    # A text that is kept travels in its row only.
+    row = F.struct(*keep).alias("row")
+    plain = df.select(row) if text in keep else df.select(row, F.col(text).alias("body"))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         memo = WordHash(BUCKETS)
         for batch in batches:
-            score = shared.value.scores(texts_of(batch.column(1)), memo)
+            body = batch.column(0).field(text) if text in keep else batch.column(1)
+            score = shared.value.scores(texts_of(body), memo)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["row", "score"])
 
-    return plain.mapInArrow(run, f"row {plain.schema['row'].dataType.simpleString()}, score double")
+    return plain.mapInArrow(trimmed(run), f"row {plain.schema['row'].dataType.simpleString()}, score double")
 
 
 def quality_scores(df: DataFrame, labels: DataFrame) -> DataFrame:

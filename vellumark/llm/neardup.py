@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, chunks, discard, gram_hashes, mix, prepare, release, texts_of, written
+from .common import WordHash, as_signed, chunks, discard, gram_hashes, mix, prepare, release, texts_of, trimmed, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -178,7 +178,7 @@ def with_signatures(df: DataFrame) -> DataFrame:
                 ["doc", "digest", "bands", "brief"],
             )
 
-    return df.select("doc", "digest", "body").mapInArrow(run, "doc long, digest string, bands array<long>, brief binary")
+    return df.select("doc", "digest", "body").mapInArrow(trimmed(run), "doc long, digest string, bands array<long>, brief binary")
 
 
 def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
             keep = pa.array((one == two).mean(1) >= LEAST_AGREEMENT)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    near = written(briefs.select("a", "b", "brief_a", "brief_b").mapInArrow(screen, "a long, b long"), "near-pairs")
+    near = written(briefs.select("a", "b", "brief_a", "brief_b").mapInArrow(trimmed(screen), "a long, b long"), "near-pairs")
     involved = near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     bodies = written(texts.join(involved, "doc").select("doc", "body"), "near-texts")
     release(near.sparkSession)
@@ -218,7 +218,7 @@ def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-    return held.select("a", "b", "body_a", "body_b").mapInArrow(decide, "a long, b long")
+    return held.select("a", "b", "body_a", "body_b").mapInArrow(trimmed(decide), "a long, b long")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -283,7 +283,7 @@ def deviations(compared: DataFrame, texts: DataFrame) -> DataFrame:
             )
 
     schema = "centre long, doc long, class long, size long, inside long, outside array<long>"
-    return held.select("centre", "doc", "class", "body_centre", "body_doc").mapInArrow(compare, schema)
+    return held.select("centre", "doc", "class", "body_centre", "body_doc").mapInArrow(trimmed(compare), schema)
 
 
 def _sides(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
