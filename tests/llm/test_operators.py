@@ -4,8 +4,11 @@ import gzip
 import hashlib
 import io
 import random
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -628,3 +631,29 @@ def test_pseudo_likelihood_of_a_small_vocabulary_adds_up(spark):
 
 def as_signed_hashes(names):
     return np.array([int(np.uint64(pseudo.WordHash()[w.encode()]).view(np.int64)) for w in names], np.int64)
+
+
+def test_a_worker_gives_the_memory_of_a_group_back():
+    """Freed below what is still held, memory stays with the process unless it is trimmed."""
+    code = """
+import numpy as np, pyarrow as pa
+from vellumark.llm import common
+
+def resident():
+    return int(open("/proc/self/statm").read().split()[1]) * 4 // 1024
+
+kept = []
+def group(table):
+    parts = []
+    for _ in range(2000):
+        parts.append(np.ones(100_000, np.uint8))
+        kept.append(np.ones(1000, np.uint8))
+    return table
+
+run = getattr(common, "trimmed_groups", lambda f: f)(group)
+before = resident()
+run(pa.table({"x": [1]}))
+print(resident() - before)
+"""
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True)
+    assert int(said.stdout) < 60

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchors, chunks, covered, discard, gram_hashes, mix, prepare, release, shards_for, texts_of, written
+from .common import anchors, chunks, covered, discard, gram_hashes, mix, prepare, release, shards_for, texts_of, trimmed, trimmed_groups, written
 
 SPAN = 50
 GRAM = 16
@@ -47,7 +47,7 @@ LEFT = SPAN - GRAM
 SIDE = LEFT // 2
 MOST_COPIES = 20_000
 CHUNK_BYTES = 1 << 20
-SUFFIXES_AT_ONCE = 400_000
+SUFFIXES_AT_ONCE = 150_000
 ANCHORS_AT_ONCE = 1 << 20
 ANCHORS_PER_SHARD = 1_000_000
 FRAGMENTS_PER_SHARD = 60_000
@@ -131,7 +131,7 @@ def byte_anchors(df: DataFrame, shards: int) -> DataFrame:
             yield packed(held)
 
     schema = "shard int, " + ", ".join(f"{name} binary" for name in PACKED[1:])
-    return df.select("doc", "variant", "body").mapInArrow(find, schema)
+    return df.select("doc", "variant", "body").mapInArrow(trimmed(find), schema)
 
 
 PACKED = ["shard", "docs", "kinds", "owners", "grams", "places", "sides"]
@@ -296,7 +296,7 @@ def fragments(df: DataFrame, shards: int) -> DataFrame:
         return [hashes, docs[of], kinds[of], starts[of] + inside, offsets[of] - inside], strings
 
     schema = "shard int, known boolean, " + ", ".join(f"{name} binary" for name in FRAGMENTS[2:])
-    return df.select("doc", "variant", "body", "places", "hot").mapInArrow(cut, schema)
+    return df.select("doc", "variant", "body", "places", "hot").mapInArrow(trimmed(cut), schema)
 
 
 def suffix_order(suffixes: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -469,8 +469,8 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     def shared_of(table: pa.Table) -> pa.Table:
         return shared_anchors(table, buckets)
 
-    found = byte_anchors(texts, shards).groupBy("shard").applyInArrow(shared_of, SHARED)
-    per_doc = found.groupBy("bucket").applyInArrow(document_anchors, PLACED)
+    found = byte_anchors(texts, shards).groupBy("shard").applyInArrow(trimmed_groups(shared_of), SHARED)
+    per_doc = found.groupBy("bucket").applyInArrow(trimmed_groups(document_anchors), PLACED)
     shared = written(per_doc.join(copies, ["d", "v"], "left_anti"), "suffix-shared")
     release(spark)
     amount = shared.agg(F.sum(F.size("places") + F.size("hot"))).first()[0] or 0
@@ -480,8 +480,8 @@ def repeated_ranges(plain: DataFrame) -> DataFrame:
     def ranges_of(table: pa.Table) -> pa.Table:
         return fragment_ranges(table, buckets)
 
-    packed = fragments(placed, shards).groupBy("shard").applyInArrow(ranges_of, PACKED_RANGE)
-    ranges = packed.groupBy("bucket").applyInArrow(bucket_ranges, RANGE)
+    packed = fragments(placed, shards).groupBy("shard").applyInArrow(trimmed_groups(ranges_of), PACKED_RANGE)
+    ranges = packed.groupBy("bucket").applyInArrow(trimmed_groups(bucket_ranges), RANGE)
     # Whole copies have no anchors here, so no document is in both.
     whole = copies.select("d", "v", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
     out = written(ranges.unionByName(whole), "suffix-ranges")
@@ -525,4 +525,4 @@ def without_copies(df: DataFrame, keep: list[str], text: str = "text", ident: st
             )
 
     fields = plain.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"row {fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {kept or "string"}")
+    return joined.mapInArrow(trimmed(cut), f"row {fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {kept or "string"}")
