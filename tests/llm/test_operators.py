@@ -657,3 +657,29 @@ print(resident() - before)
 """
     said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True)
     assert int(said.stdout) < 60
+
+
+def test_pseudo_likelihood_keeps_a_shard_in_one_row(spark, monkeypatch):
+    """Turns and the scoring read the words where they are; the shares of several shards come from several ranges of hashes."""
+    monkeypatch.setattr(pseudo, "WORDS_PER_SHARD", 30_000)
+    draw = random.Random(8)
+    names = [f"w{i}" for i in range(9000)]
+    texts = {i: " ".join(draw.choices(names, [1 / (j + 1) for j in range(9000)], k=1000)) for i in range(80)}
+    texts[80], texts[81], texts[82] = " ".join(names), "", None
+    own = spark.createDataFrame([*texts.items(), (7, texts[7])], "doc_id long, text string")
+    counts = pseudo.word_counts(own, "text")
+    known = pseudo.vocabulary(counts)
+    rows = pseudo.numbered(own, "doc_id", "text", known)
+    kept = rows.collect()
+    assert len(kept) == len({r.shard for r in kept}) > 1
+    assert all(r.docs == sorted(r.docs) and 4 * sum(r.sizes) == len(r.ids) for r in kept)
+    assert sorted(d for r in kept for d in r.docs) == sorted([*texts, 7])
+    network = pseudo.new_network(known.clusters)
+    often = {r.word: r.n for r in counts.collect()}
+    got = {r.doc: (r.n, r.total) for r in pseudo.scored(rows, counts, known, network).collect()}
+    for doc in (3, 7, 80, 81, 82):
+        hashes = as_signed_hashes((texts[doc] or "").split())
+        ids = known.classes(hashes)
+        want = pseudo.log_probabilities(network, ids, np.zeros(len(ids), np.int64)).sum()
+        want += sum(np.log(often[int(h)] / known.occurrences[i - len(known.own)]) for h, i in zip(hashes, ids, strict=True) if i >= len(known.own))
+        assert got[doc] == (len(ids), pytest.approx(want, rel=1e-6))

@@ -13,7 +13,9 @@ of the log-probabilities of all words is the document's pseudo-log-likelihood.
 Every place of every document is a target in training, once: in turn t of ``ROUNDS`` the
 places whose number is the shard's plus t modulo ``ROUNDS``. Documents are dealt by a hash of
 their id into shards of a set number of words; each shard trains the common network further,
-and the results are averaged by words after each turn. Shards and their order follow from the
+and the results are averaged by words after each turn. A shard is written as one row, so its words
+are shuffled once, and neither a turn nor the scoring moves them again: for the shares only its distinct
+words meet their counts, packed by ranges of the hash, and 4 bytes for each word that shares a class. Shards and their order follow from the
 data alone, so runs agree. The vocabulary is a table; what is gathered is one network per
 shard and the words that have a class of their own.
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, as_signed, discard, prepare, release, texts_of, written
+from .common import WordHash, as_signed, discard, mix, prepare, release, shards_for, texts_of, trimmed, trimmed_groups, trimmed_pairs, written
 
 LEAST_CLUSTERS = 64
 # Classes for each square root of the vocabulary, and the share of them that single words may have.
@@ -47,6 +49,8 @@ BATCH = 1024
 SCORE_ROWS = 16_384
 WORDS_PER_SHARD = 2_000_000
 COUNTED_AT_ONCE = 2_000_000
+WORDS_PER_RANGE = 4_000_000
+PACKED_AT_ONCE = 1_000_000
 BLOCKS = 8
 SEED = 11
 # Bias of a class that no word has: its probability is 0, so training leaves it there.
@@ -176,11 +180,11 @@ def contexts(ids: np.ndarray, owner: np.ndarray, pad: int) -> np.ndarray:
 
 
 def _forward(network, around, upper):
-    x = network["embed"][around].reshape(len(around), -1)
+    x = network["embed"].take(around, 0).reshape(len(around), -1)
     hidden = np.tanh(x @ network["hidden"] + network["hidden_bias"])
     first = _softmax(hidden @ network["upper"] + network["upper_bias"])
-    told = np.tanh(hidden + network["knowing"][upper])
-    second = _softmax(told @ network["lower"] + network["lower_bias"][upper])
+    told = np.tanh(hidden + network["knowing"].take(upper, 0))
+    second = _softmax(told @ network["lower"] + network["lower_bias"].take(upper, 0))
     return x, hidden, first, told, second
 
 
@@ -208,15 +212,17 @@ def trained(network: dict[str, np.ndarray], around: np.ndarray, target: np.ndarr
             squares[name] += slope**2
             network[name] -= RATE * slope / np.sqrt(squares[name])
         else:
-            squares[name][rows] += slope**2
-            network[name][rows] -= RATE * slope / np.sqrt(squares[name][rows])
-
-    def summed(keys, values):
-        """Distinct keys and the sums of their rows."""
-        order = np.argsort(keys, kind="stable")
-        keys, values = keys[order], values[order]
+            square = squares[name].take(rows, 0) + slope**2
+            squares[name][rows] = square
+            network[name][rows] = network[name].take(rows, 0) - RATE * slope / np.sqrt(square)
+
+    def groups(keys, most):
+        """An order of keys below ``most``, those that occur, and where each begins in it."""
+        # Small numbers are sorted by their digits.
+        order = np.argsort(keys.astype(np.uint16) if most <= 1 << 16 else keys, kind="stable")
+        keys = keys[order]
         at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[at], np.add.reduceat(values, at, axis=0)
+        return order, keys[at], at
 
     for start in range(0, len(target), BATCH):
         near, ids = around[start : start + BATCH], target[start : start + BATCH]
@@ -237,16 +243,22 @@ def trained(network: dict[str, np.ndarray], around: np.ndarray, target: np.ndarr
             "hidden": x.T @ back,
             "hidden_bias": back.sum(0),
         }
-        rows = {"embed": summed(near.ravel(), back_x), "knowing": summed(upper, back_told), "lower_bias": summed(upper, second)}
+        by_near, by_upper = groups(near.ravel(), clusters**2 + 1), groups(upper, clusters)
+        rows = {"embed": (by_near, back_x), "knowing": (by_upper, back_told), "lower_bias": (by_upper, second)}
         for name, slope in slopes.items():
             update(name, slope)
-        for name, (which, slope) in rows.items():
-            update(name, slope, which)
+        for name, ((order, which, at), slope) in rows.items():
+            update(name, np.add.reduceat(slope.take(order, 0), at, axis=0), which)
 
 
 def numbered(df: DataFrame, ident: str, text: str, words: Vocabulary) -> DataFrame:
-    """(doc, shard, n, ids, shared): 32-bit class numbers of each row's words, and the hashes of those that share a class."""
+    """One row for each shard of (doc, text): its documents in the order of their ids, and their words.
+
+    ``docs``, ``sizes`` (words of each), ``ids`` (32-bit class numbers of all words), ``words`` (the distinct hashes, mixed and
+    ascending, of those that share a class) and ``shared`` (which of these each word that shares one is).
+    """
     known = df.sparkSession.sparkContext.broadcast(words)
+    kind = df.schema[ident].dataType.simpleString()
 
     def run(batches):
         memo, own = WordHash(), known.value
@@ -268,18 +280,32 @@ def numbered(df: DataFrame, ident: str, text: str, words: Vocabulary) -> DataFra
                 ["doc", "n", "ids", "shared"],
             )
 
-    plain = df.select(F.col(ident).alias("doc"), F.col(text).alias("body")).mapInArrow(
-        run, f"doc {df.schema[ident].dataType.simpleString()}, n long, ids binary, shared binary"
-    )
+    def packed(table: pa.Table) -> pa.Table:
+        order = pd.DataFrame({"doc": table.column("doc").to_pandas(), "ids": table.column("ids").to_pandas()}).sort_values(["doc", "ids"], kind="stable").index
+        table = table.take(pa.array(order.to_numpy()))
+        hashes = np.frombuffer(b"".join(table.column("shared").to_pylist()), "<u8")
+        distinct, which = np.unique(mix(hashes), return_inverse=True)
+        columns = [
+            table.column("shard")[:1],
+            pa.array([table.column("doc").to_pylist()], pa.list_(table.schema.field("doc").type)),
+            pa.array([table.column("n").to_pylist()], pa.list_(pa.int64())),
+            *(pa.array([x], pa.binary()) for x in (b"".join(table.column("ids").to_pylist()), distinct.astype("<u8").tobytes(), which.astype("<u4").tobytes())),
+        ]
+        return pa.Table.from_arrays(columns, SHARD)
+
+    plain = df.select(F.col(ident).alias("doc"), F.col(text).alias("body")).mapInArrow(trimmed(run), f"doc {kind}, n long, ids binary, shared binary")
     # A shard trains on its documents in the order of their ids; a repeated row counts each time.
     shards = max(1, -(-words.total // WORDS_PER_SHARD))
     shard = F.pmod(F.xxhash64("doc", F.lit(SEED), F.xxhash64("ids")), F.lit(shards)).cast("int")
-    return plain.select("doc", shard.alias("shard"), "n", "ids", "shared")
+    dealt = plain.select(shard.alias("shard"), "doc", "n", "ids", "shared").groupBy("shard")
+    return dealt.applyInArrow(trimmed_groups(packed), f"shard int, docs array<{kind}>, sizes array<long>, ids binary, words binary, shared binary")
 
 
-def _joined(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(b"".join(lists), "<u4").astype(np.int64)
-    return ids, np.repeat(np.arange(len(lists)), [len(x) // 4 for x in lists])
+SHARD = ["shard", "docs", "sizes", "ids", "words", "shared"]
+
+
+def _of(row: bytes | None, kind: str) -> np.ndarray:
+    return np.frombuffer(row or b"", kind)
 
 
 def targets(size: int, shard: int, turn: int) -> np.ndarray:
@@ -292,7 +318,8 @@ def used_classes(rows: DataFrame) -> np.ndarray:
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_joined(texts_of(batch.column(0)))[0]))], ["used"])
+            for ids in texts_of(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_of(ids, "<u4")).astype(np.int64))], ["used"])
 
     return np.array([r.used for r in rows.select("ids").mapInArrow(run, "used long").distinct().collect()], np.int64)
 
@@ -301,18 +328,22 @@ _PARTS = "shard int, block int, weight double, sums binary"
 
 
 def _training(shared, clusters: int, turn: int):
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        own = shaped(shared.value, clusters)
-        shard = int(frame["shard"].iloc[0])
-        frame = frame.sort_values(["doc", "ids"], kind="stable")
-        ids, owner = _joined(frame["ids"].tolist())
-        picked = targets(len(ids), shard, turn)
-        around = contexts(ids.astype(np.int32), owner, clusters**2)[picked]
-        order = np.random.default_rng([SEED, shard, turn]).permutation(len(picked))
-        trained(own, around[order], ids[picked][order])
-        weight = float(len(picked))
-        parts = np.array_split(flat(own).astype(np.float64) * weight, BLOCKS)
-        return pd.DataFrame({"shard": shard, "block": range(BLOCKS), "weight": weight, "sums": [p.tobytes() for p in parts]})
+    def train(batches):
+        for batch in batches:
+            for row, shard in enumerate(batch.column(0).to_pylist()):
+                ids = _of(batch.column(2)[row].as_py(), "<u4").astype(np.int64)
+                if not len(ids):
+                    continue
+                sizes = batch.column(1)[row].values.to_numpy()
+                own = shaped(shared.value, clusters)
+                picked = targets(len(ids), shard, turn)
+                around = contexts(ids.astype(np.int32), np.repeat(np.arange(len(sizes)), sizes), clusters**2)[picked]
+                order = np.random.default_rng([SEED, shard, turn]).permutation(len(picked))
+                trained(own, around[order], ids[picked][order])
+                weight = float(len(picked))
+                parts = np.array_split(flat(own).astype(np.float64) * weight, BLOCKS)
+                columns = [pa.array([shard] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()), pa.array([weight] * BLOCKS)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([p.tobytes() for p in parts], pa.binary())], ["shard", "block", "weight", "sums"])
 
     return train
 
@@ -331,10 +362,10 @@ def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
     spark = rows.sparkSession
     network = new_network(clusters)
     without_empty(network, used_classes(rows))
-    dealt = rows.filter("n > 0").select("shard", "doc", "ids")
+    dealt = rows.select("shard", "sizes", "ids")
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(flat(network))
-        parts = dealt.groupBy("shard").applyInPandas(_training(shared, clusters, turn), _PARTS)
+        parts = dealt.mapInArrow(trimmed(_training(shared, clusters, turn)), _PARTS)
         # Sums in two steps, so that no group holds a part of every shard.
         some = parts.withColumn("some", (F.col("shard") / 64).cast("int"))
         halves = some.groupBy("block", "some").applyInPandas(_added, _PARTS)
@@ -343,61 +374,124 @@ def fitted(rows: DataFrame, clusters: int) -> dict[str, np.ndarray]:
         # A turn without targets (a corpus of one word) leaves the network as it is.
         if sums and sums[0].weight:
             network = shaped(np.concatenate([np.frombuffer(r.sums) / r.weight for r in sums]), clusters)
-        # The next turn deals the documents out again. What is written is held by no plan, so its shuffles can go.
+        # What is written is held by no plan, so its shuffles can go.
         discard(whole)
         release(spark)
     return network
 
 
-def _sharing(batches):
-    """(shard, word): distinct words of each shard in a batch that share a class."""
-    for batch in batches:
-        lists = texts_of(batch.column(1))
-        word = np.frombuffer(b"".join(lists), "<i8")
-        shard = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in lists])
-        order = np.lexsort((word, shard))
-        word, shard = word[order], shard[order]
-        new = np.ones(len(word), bool)
-        new[1:] = (word[1:] != word[:-1]) | (shard[1:] != shard[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(shard[new], pa.int32()), pa.array(word[new], pa.int64())], ["shard", "word"])
+def _ranges(keys: np.ndarray, ranges: int):
+    """(number, slice) for each range of hashes that ascending ``keys`` have some of."""
+    number = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    begin = np.flatnonzero(np.concatenate([[len(keys) > 0], number[1:] != number[:-1]])) if len(keys) else np.empty(0, np.int64)
+    for first, last in zip(begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=False):
+        yield int(number[first]), slice(first, last)
+
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+
+_WANTED = {"at": pa.int32(), "shard": pa.int32(), "words": pa.binary()}
+_COUNTED = {"at": pa.int32(), "words": pa.binary(), "often": pa.binary()}
+_FOUND = {"shard": pa.int32(), "at": pa.int32(), "often": pa.binary()}
+
+
+def _wanted(rows: DataFrame, ranges: int) -> DataFrame:
+    """Distinct words of each shard that share a class, one row for each range of hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for shard, words in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                keys = _of(words, "<u8")
+                yield from _batch([(at, shard, keys[part].tobytes()) for at, part in _ranges(keys, ranges)], _WANTED).to_batches()
+
+    return rows.select("shard", "words").mapInArrow(trimmed(run), "at int, shard int, words binary")
+
+
+def _counted(counts: DataFrame, ranges: int) -> DataFrame:
+    """Rows of ``word_counts``, packed by ranges of hashes."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def packed():
+            keys, often = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(keys)
+            keys, often = keys[order], often[order]
+            return _batch([(at, keys[part].tobytes(), often[part].tobytes()) for at, part in _ranges(keys, ranges)], _COUNTED).to_batches()
+
+        for batch in batches:
+            held.append((mix(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= PACKED_AT_ONCE:
+                yield from packed()
+                held, size = [], 0
+        if size:
+            yield from packed()
+
+    return counts.select("word", "n").mapInArrow(trimmed(run), "at int, words binary, often binary")
+
+
+def _found(wanted: pa.Table, counted: pa.Table) -> pa.Table:
+    """How often the wanted words of a range occur, in their order."""
+    keys, often = (np.concatenate([np.empty(0, kind), *(_of(x, kind) for x in counted.column(name).to_pylist())]) for name, kind in (("words", "<u8"), ("often", "<i8")))
+    order = np.argsort(keys)
+    keys, often = keys[order], often[order]
+    rows = zip(*(wanted.column(name).to_pylist() for name in ("shard", "at", "words")), strict=True)
+    return _batch([(shard, at, often[np.searchsorted(keys, _of(words, "<u8"))].tobytes()) for shard, at, words in rows], _FOUND)
 
 
 def scored(rows: DataFrame, counts: DataFrame, words: Vocabulary, network: dict[str, np.ndarray]) -> DataFrame:
-    """(doc, n, total): the sum of log-probabilities of each row of ``numbered``."""
-    context = rows.sparkSession.sparkContext
-    shared, known = context.broadcast(flat(network)), context.broadcast(words)
-    kind = rows.schema["doc"].dataType.simpleString()
+    """(doc, n, total): the sum of log-probabilities of each document of ``numbered``."""
+    spark = rows.sparkSession
+    shared, known = spark.sparkContext.broadcast(flat(network)), spark.sparkContext.broadcast(words)
+    kind = rows.schema["docs"].dataType.elementType.simpleString()
 
-    def score(docs: pa.Table, numbers: pa.Table) -> pa.Table:
+    def score(batches):
         vocabulary = known.value
         own = shaped(shared.value, vocabulary.clusters)
-        found, often = numbers.column("word").to_numpy(), numbers.column("n").to_numpy()
-        order = np.argsort(found)
-        found, often = found[order], np.log(often[order].astype(np.float64))
-        lists, hashes = (texts_of(docs.column(name).combine_chunks()) for name in ("ids", "shared"))
-        sums = np.zeros(len(lists))
-        start = 0
-        while start < len(lists):
-            end, size = start, 0
-            while end < len(lists) and (end == start or size + len(lists[end]) < 800_000):
-                size += len(lists[end])
-                end += 1
-            ids, owner = _joined(lists[start:end])
-            if len(ids):
-                sums[start:end] = np.bincount(owner, log_probabilities(own, ids, owner), end - start)
-            word = np.frombuffer(b"".join(hashes[start:end]), "<i8")
-            if len(word):
-                owner = np.repeat(np.arange(end - start), [len(x) // 8 for x in hashes[start:end]])
-                group = vocabulary.occurrences[np.mod(word, len(vocabulary.occurrences))]
-                share = often[np.searchsorted(found, word)] - np.log(group.astype(np.float64))
-                sums[start:end] += np.bincount(owner, share, end - start)
-            start = end
-        return pa.table({"doc": docs.column("doc"), "n": docs.column("n"), "total": pa.array(sums)})
-
-    wanted = rows.select("shard", "shared").mapInArrow(_sharing, "shard int, word long").distinct()
-    numbers = wanted.join(counts, "word").select("shard", "word", "n")
-    docs = rows.select("shard", "doc", "n", "ids", "shared")
-    return docs.groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(score, f"doc {kind}, n long, total double")
+        first = len(vocabulary.own)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sizes = batch.column(2)[row].values.to_numpy()
+                every = _of(batch.column(3)[row].as_py(), "<u4")
+                ends = np.cumsum(sizes)
+                sums, number = np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
+                start = 0
+                while start < len(sizes):
+                    begin = ends[start] - sizes[start]
+                    end = max(start + 1, int(np.searchsorted(ends, begin + 200_000)))
+                    ids = every[begin : ends[end - 1]].astype(np.int64)
+                    if len(ids):
+                        owner = np.repeat(np.arange(end - start), sizes[start:end])
+                        behind = ids >= first
+                        number[start:end] = np.bincount(owner[behind], minlength=end - start)
+                        sums[start:end] = np.bincount(owner, log_probabilities(own, ids, owner), end - start)
+                        group = np.log(vocabulary.occurrences[ids[behind] - first].astype(np.float64))
+                        sums[start:end] -= np.bincount(owner[behind], group, end - start)
+                    start = end
+                columns = [x.slice(row, 1) for x in (batch.column(0), batch.column(1), batch.column(2), batch.column(4))]
+                lists = [pa.array([x]) for x in (sums, number)]
+                yield pa.RecordBatch.from_arrays([*columns, *lists], ["shard", "docs", "sizes", "shared", "sums", "number"])
+
+    def with_shares(docs: pa.Table, found: pa.Table) -> pa.Table:
+        at = np.argsort(found.column("at").to_numpy())
+        lists = found.column("often").to_pylist()
+        often = np.log(np.concatenate([np.empty(0, "<i8"), *(_of(lists[i], "<i8") for i in at)]).astype(np.float64))
+        docs = docs.combine_chunks()
+        which = _of(b"".join(docs.column("shared").to_pylist()), "<u4")
+        doc, n, sums, number = (docs.column(name).combine_chunks().flatten() for name in ("docs", "sizes", "sums", "number"))
+        owner = np.repeat(np.arange(len(number)), number.to_numpy())
+        total = sums.to_numpy() + np.bincount(owner, often[which], len(number))
+        return pa.Table.from_arrays([doc, n, pa.array(total)], ["doc", "n", "total"])
+
+    ranges = shards_for(spark, counts.count(), WORDS_PER_RANGE)
+    found = _wanted(rows, ranges).groupBy("at").cogroup(_counted(counts, ranges).groupBy("at")).applyInArrow(trimmed_pairs(_found), "shard int, at int, often binary")
+    schema = f"shard int, docs array<{kind}>, sizes array<long>, shared binary, sums array<double>, number array<long>"
+    docs = rows.select("shard", "docs", "sizes", "ids", "shared").mapInArrow(trimmed(score), schema)
+    return docs.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(trimmed_pairs(with_shares), f"doc {kind}, n long, total double")
 
 
 def pseudo_likelihood(df: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -405,7 +499,9 @@ def pseudo_likelihood(df: DataFrame, ident: str = "doc_id", text: str = "text")
     prepare(df.sparkSession)
     counts = written(word_counts(df, text), "lm-counts")
     words = vocabulary(counts)
-    rows = written(numbered(df, ident, text, words), "lm-words")
+    # A file for each shard: readers deal them out evenly.
+    rows = written(numbered(df, ident, text, words), "lm-words", maxRecordsPerFile=1)
+    release(df.sparkSession)
     out = scored(rows, counts, words, fitted(rows, words.clusters))
     return out.select(
         F.col("doc").alias(ident),
