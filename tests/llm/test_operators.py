@@ -425,6 +425,17 @@ def test_bpe_of_short_pieces_builds_no_states(ranks):
     assert len(encoder.transducer.items) > 1
 
 
+def test_bpe_of_short_pieces_passes_through_the_transducer(ranks):
+    table, plain = bpe.parse_ranks(ranks), tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(ranks), special_tokens={})
+    encoder, draw = bpe.Encoder(table, public_tokenizers.PATTERN), random.Random(12)
+    pieces = ["".join(draw.choice("aeinorstbcdh") for _ in range(draw.randint(1, 64))) for _ in range(2000)]
+    for piece in pieces:
+        assert encoder.transducer.encode(piece.encode()) == plain.encode_ordinary(piece)
+        assert np.frombuffer(encoder.encode(piece), "<u4").tolist() == plain.encode_ordinary(piece)
+    # What it knows of neighbouring tokens comes from its steps only.
+    assert len(encoder.transducer.fits) > 1000
+
+
 def test_bpe_at_spaces_beside_other_white_space(ranks):
     table = bpe.parse_ranks(ranks)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
