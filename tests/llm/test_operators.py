@@ -395,6 +395,28 @@ def ranks():
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def test_recurring_windows_travel_packed(spark):
+    passage, draw = words(80), random.Random(5)
+    texts = {doc: [*words(draw.randint(0, 60)), *passage[draw.randint(0, 9) :], *words(20)] for doc in (-(1 << 62), -3, 4, 9, 300, 1 << 62)}
+    texts[12] = words(200)
+    first, last = {}, {}
+    for doc, text in sorted(texts.items()):
+        for at in range(len(text) - phrases.SPAN + 1):
+            window = tuple(text[at : at + phrases.SPAN])
+            first.setdefault(window, (doc, at))
+            last[window] = doc
+    rows = [(doc, " ".join(text), list(range(len(text) - phrases.PHRASE + 1))) for doc, text in texts.items()]
+    for buckets in (1, 3, 50):
+        frame = spark.createDataFrame(rows * 20, "doc long, body string, places array<int>").repartition(2)
+        packed = phrases.candidate_windows(frame, buckets)
+        # A bucket is one row for each batch, and a window is in it twice at most, however many documents hold it.
+        assert packed.count() <= 2 * buckets
+        assert packed.agg(F.sum(F.length("one"))).first()[0] <= 2 * 2 * 8 * len(first)
+        found = phrases.owned_windows(packed).collect()
+        assert sorted(map(tuple, found)) == sorted(place for window, place in first.items() if place[0] < last[window])
+    assert phrases.owned_windows(phrases.candidate_windows(frame.limit(0), 3)).count() == 0
+
+
 def test_bpe(docs, empty, ranks):
     table = bpe.parse_ranks(ranks)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
